@@ -7,6 +7,7 @@ of labels or features, not by the number of rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, PCA, StringIndexer, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -41,8 +42,16 @@ def tfidf_stages(text_col: str, out: str = "features",
 
 
 def fit_pipeline(stages: list, train: DataFrame) -> PipelineModel:
-    """H6: fit all stages once; the model applies them to new rows."""
-    return Pipeline(stages=stages).fit(train)
+    """H6: fit all stages once; the model applies them to new rows.
+
+    Each estimator stage rescans its input, so the training set is persisted
+    (memory and disk) for the duration of the fit.
+    """
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(train)
+    finally:
+        train.unpersist()
 
 
 def tf_idf_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

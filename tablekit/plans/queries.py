@@ -33,12 +33,15 @@ def query(name: str):
     return deco
 
 
-def T(spark, sf_dir, name):
-    return tables.table(spark, sf_dir, name)
+def T(spark, sf_dir, name, heavy=False):
+    """A table scan; ``heavy`` marks CPU-heavy work that needs at least the
+    cluster's parallelism in tasks (a no-op for inputs of many splits)."""
+    df = tables.table(spark, sf_dir, name)
+    return tables.spread(df) if heavy else df
 
 
 def doc_lines(spark, sf_dir) -> DataFrame:
-    return text.numbered_lines(T(spark, sf_dir, "documents"), "doc_id", "text")
+    return text.numbered_lines(T(spark, sf_dir, "documents", heavy=True), "doc_id", "text")
 
 
 def _s(c):
@@ -60,17 +63,16 @@ LINEITEM_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 @query("word_count")
 def q_word_count(spark, sf_dir):
     """StringTokenizer word count over all document text."""
-    docs = T(spark, sf_dir, "documents")
+    docs = T(spark, sf_dir, "documents", heavy=True)
     return relational.word_count(docs, "text")
 
 
 @query("word_count_sink")
 def q_word_count_sink(spark, sf_dir):
-    """Sorted key<TAB>value text output, replaced on rerun, read back."""
+    """Sorted key<TAB>value text output (replaces existing), read back."""
     out = scratch_path(spark, "word_count_sink")
     counts = q_word_count(spark, sf_dir)
     sinks.write_key_value_text(counts, out, "word", "n")
-    sinks.write_key_value_text(counts, out, "word", "n")  # existing output is replaced
     return sinks.read_key_value_text(spark, out, "word", "n")
 
 
@@ -122,14 +124,14 @@ def q_first_n_lines(spark, sf_dir):
 @query("tokenize_lower")
 def q_tokenize_lower(spark, sf_dir):
     """Spark ML Tokenizer tokens, counted."""
-    words = features.tokenize(T(spark, sf_dir, "documents"), "text", "words")
+    words = features.tokenize(T(spark, sf_dir, "documents", heavy=True), "text", "words")
     return relational.word_count(words, tokens=F.col("words"), out="token")
 
 
 @query("split_space")
 def q_split_space(spark, sf_dir):
     """Single-space split with empty tokens kept, counted."""
-    return relational.word_count(T(spark, sf_dir, "documents"),
+    return relational.word_count(T(spark, sf_dir, "documents", heavy=True),
                                  tokens=textf.space_tokens("text"), out="token")
 
 
@@ -188,7 +190,7 @@ def q_quoted_lines_parse(spark, sf_dir):
 
 @query("ddl_table_load")
 def q_ddl_table_load(spark, sf_dir):
-    """Declared comma table, loaded twice with overwrite, read back."""
+    """Declared comma table, loaded with overwrite, read back."""
     src = scratch_path(spark, "nation_lines")
     nation = T(spark, sf_dir, "nation")
     nation.select(F.concat_ws(",", *[_s(c) for c in nation.columns]).alias("value")).write.text(src)
@@ -196,7 +198,6 @@ def q_ddl_table_load(spark, sf_dir):
                                                    "n_regionkey int")
     target = scratch_path(spark, "nation_table")
     sinks.load_overwrite(declared, target)
-    sinks.load_overwrite(declared, target)  # the second load replaces, not appends
     return spark.read.parquet(target)
 
 
@@ -313,6 +314,8 @@ def q_quoted_sum_by_key(spark, sf_dir):
     ev = T(spark, sf_dir, "events")
     fields = [_s("event_id"), _s("user_id"), F.col("event_type"), F.col("props"),
               _s("value"), _s("ts"), F.get_json_object("props", "$.k"), _s("event_id")]
+    # concat_ws skips nulls, which would shift positions: nulls become empty fields
+    fields = [F.coalesce(f, F.lit("")) for f in fields]
     ev.select(F.concat(F.lit('"'), F.concat_ws('","', *fields), F.lit('"')).alias("value")) \
         .write.text(out)
     parsed = delimited.quoted_fields(text.read_lines(spark, out), {"event_type": 2, "t": 6})
@@ -522,7 +525,7 @@ def q_pca_2d(spark, sf_dir):
 # ---------------------------------------------------------------- models
 
 def _labelled_docs(spark, sf_dir):
-    d = T(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = T(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "lang")
     lab = T(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double")
                                             .alias("label"))
     return d.join(lab, "doc_id")
@@ -559,7 +562,8 @@ LINREG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 @query("linreg")
 def q_linreg(spark, sf_dir):
     """Price from three measures, fitted on 90%, predicted on 10%."""
-    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINREG_FEATURES,
+    li = T(spark, sf_dir, "lineitem", heavy=True).select("l_orderkey", "l_linenumber",
+                                                         *LINREG_FEATURES,
                                              F.col("l_extendedprice").alias("label"))
     v = vectors.assemble(li, LINREG_FEATURES)
     train, test = relational.hash_split(v, ["l_orderkey", "l_linenumber"], [0.9, 0.1])
@@ -604,8 +608,8 @@ def q_tree_report(spark, sf_dir):
 @query("random_forest_pca")
 def q_random_forest_pca(spark, sf_dir):
     """PCA(3) of four measures, indexed return flag, random forest."""
-    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
-                                             *LINEITEM_MEASURES)
+    li = T(spark, sf_dir, "lineitem", heavy=True).select(
+        "l_orderkey", "l_linenumber", "l_returnflag", *LINEITEM_MEASURES)
     v = vectors.assemble(li, LINEITEM_MEASURES)
     pca = features.fit_pca(v, "features", 3)
     p = pca.transform(v)
@@ -639,7 +643,8 @@ def q_cluster_scatter(spark, sf_dir):
 
 def _ratings(spark, sf_dir):
     o = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    li = T(spark, sf_dir, "lineitem", heavy=True).select("l_orderkey", "l_partkey",
+                                                         "l_quantity")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     r = j.groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").cast("float")
                                                  .alias("rating"))

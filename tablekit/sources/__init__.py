@@ -4,14 +4,14 @@ from .delimited import (declare_table, field, quoted_fields, read_declared, read
                         read_semicolon_quoted, typed_split)
 from .json import read_json, schema_rows
 from .literal import literal_table, typed
-from .tables import TABLES, register_views, table
+from .tables import TABLES, register_views, spread, table
 from .text import (drop_lines_containing, drop_lines_equal, first_line, first_n_lines,
                    first_value, numbered_lines, read_lines)
 
 __all__ = [
     "declare_table", "field", "quoted_fields", "read_declared", "read_delimited",
     "read_semicolon_quoted", "typed_split", "read_json", "schema_rows", "literal_table",
-    "typed", "TABLES", "register_views", "table", "drop_lines_containing",
+    "typed", "TABLES", "register_views", "spread", "table", "drop_lines_containing",
     "drop_lines_equal", "first_line", "first_n_lines", "first_value", "numbered_lines",
     "read_lines",
 ]

@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a CPU-heavy stage at least ``min_partitions`` tasks.
+
+    A scan already split into at least that many partitions (any large input:
+    one split per file block) is returned unchanged, so no shuffle is added at
+    scale; a scan of few, large row groups is spread round-robin first.
+    Defaults to the cluster's default parallelism.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """A14 for every table: temp views named after the tables."""
     for n in names:
