@@ -1,5 +1,8 @@
 """DuckDB SQL oracles for the named queries (same column names and types).
 
+Every rounded value gets ``+ 0.0``: DuckDB's round can give -0.0 where
+Spark's (decimal based) round gives 0.0.
+
 Used by the correctness check: each statement runs on the same parquet
 tables (views named after the tables) and must give the same multiset of
 rows as the Spark query. Queries whose result is a fitted model's output
@@ -40,7 +43,7 @@ def _summary_sql() -> str:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", "
-            f"round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS stddev, "
+            f"(round(avg({x}), 6) + 0.0) AS mean, (round(stddev_samp({x}), 6) + 0.0) AS stddev, "
             f"min({x}) AS \"min\", max({x}) AS \"max\" FROM lineitem")
     return " UNION ALL ".join(parts)
 
@@ -52,21 +55,21 @@ def _corr_sql(target: str = "l_extendedprice") -> str:
         x = f"CAST({c} AS DOUBLE)"
         den = f"(stddev_samp({t}) * stddev_samp({x}))"
         parts.append(
-            f"SELECT '{c}' AS \"column\", round(CASE WHEN {den} = 0 OR {den} IS NULL "
-            f"THEN 'NaN'::DOUBLE ELSE covar_samp({t}, {x}) / {den} END, 8) AS corr "
+            f"SELECT '{c}' AS \"column\", (round(CASE WHEN {den} = 0 OR {den} IS NULL "
+            f"THEN 'NaN'::DOUBLE ELSE covar_samp({t}, {x}) / {den} END, 8) + 0.0) AS corr "
             f"FROM lineitem")
     return " UNION ALL ".join(parts)
 
 
 def _mean_std_sql() -> str:
-    cols = ", ".join(f"round(avg({c}), 6) AS mean_{c}, round(stddev_samp({c}), 6) AS std_{c}"
+    cols = ", ".join(f"(round(avg({c}), 6) + 0.0) AS mean_{c}, (round(stddev_samp({c}), 6) + 0.0) AS std_{c}"
                      for c in MEASURES)
     return f"SELECT {cols} FROM lineitem"
 
 
 def _center_scale_sql() -> str:
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in MEASURES)
-    cols = ", ".join(f"round(({c} - s.m_{c}) / s.s_{c}, 6) AS {c}" for c in MEASURES)
+    cols = ", ".join(f"(round(({c} - s.m_{c}) / s.s_{c}, 6) + 0.0) AS {c}" for c in MEASURES)
     return (f"SELECT l_orderkey, l_linenumber, {cols} FROM lineitem, "
             f"(SELECT {stats} FROM lineitem) s")
 
@@ -84,8 +87,8 @@ v AS (SELECT x1 * sg1 AS x1, y1 * sg1 AS y1, -y1 * sg2 AS x2, x1 * sg2 AS y2
                    CASE WHEN abs(y1) >= abs(x1) THEN sign(-y1) ELSE sign(x1) END AS sg2
             FROM u))
 SELECT l_orderkey, l_linenumber,
-       round(l_quantity * v.x1 + l_discount * v.y1, 4) AS pc1,
-       round(l_quantity * v.x2 + l_discount * v.y2, 4) AS pc2
+       (round(l_quantity * v.x1 + l_discount * v.y1, 4) + 0.0) AS pc1,
+       (round(l_quantity * v.x2 + l_discount * v.y2, 4) + 0.0) AS pc2
 FROM lineitem, v
 """
 
@@ -95,8 +98,8 @@ terms AS (SELECT item_id, unnest({LOWER_TOKENS.format(t='text')}) AS term FROM d
 tf AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS tf FROM terms GROUP BY item_id, term),
 dfreq AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM tf GROUP BY term),
 m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM docs)
-SELECT item_id, term, tf, df, round(ln((m + 1) / (df + 1)), 8) AS idf,
-       round(tf * ln((m + 1) / (df + 1)), 8) AS tf_idf
+SELECT item_id, term, tf, df, (round(ln((m + 1) / (df + 1)), 8) + 0.0) AS idf,
+       (round(tf * ln((m + 1) / (df + 1)), 8) + 0.0) AS tf_idf
 FROM tf JOIN dfreq USING (term), m
 """
 
@@ -111,8 +114,8 @@ s AS (SELECT n.label, f.feature,
       FROM n, f),
 sk AS (SELECT label, sum(s_kj) AS s_k FROM s GROUP BY label)
 SELECT s.label, s.feature,
-       round(ln(n.nk + 1) - ln(tot.n_all + tot.k), 8) AS log_prior,
-       round(ln(s.s_kj + 1) - ln(sk.s_k + 4), 8) AS log_theta
+       (round(ln(n.nk + 1) - ln(tot.n_all + tot.k), 8) + 0.0) AS log_prior,
+       (round(ln(s.s_kj + 1) - ln(sk.s_k + 4), 8) + 0.0) AS log_theta
 FROM s JOIN n ON s.label = n.label JOIN sk ON s.label = sk.label, tot
 """
 
@@ -181,11 +184,11 @@ ORACLES: dict[str, str] = {
                           "FROM events) GROUP BY event_type"),
     "distinct_set_line": ("SELECT string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) "
                           "AS segments FROM customer"),
-    "filtered_sum": ("SELECT round(sum(c_acctbal), 2) AS total FROM customer "
+    "filtered_sum": ("SELECT (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
                      "WHERE c_mktsegment = 'BUILDING'"),
-    "grouped_sum": ("SELECT n_name, round(sum(c_acctbal), 2) AS total FROM customer "
+    "grouped_sum": ("SELECT n_name, (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
                     "JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
-    "sql_grouped_sum": ("SELECT c_mktsegment, round(sum(c_acctbal), 2) AS total FROM customer "
+    "sql_grouped_sum": ("SELECT c_mktsegment, (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
                         "GROUP BY c_mktsegment"),
     "global_count": "SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem",
     "inner_join_comma": ("SELECT o.o_orderkey, c.c_name, o.o_totalprice FROM orders o, "
@@ -229,11 +232,11 @@ ORACLES: dict[str, str] = {
     "tf_idf": TF_IDF_SQL,
     "pca_2d": PCA_SQL,
     "nb_flags": NB_FLAGS_SQL,
-    "linreg_report": ("SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, "
-                      "round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, "
-                      "round(regr_r2(l_extendedprice, l_quantity), 8) AS r2 FROM lineitem"),
-    "accuracy": (f"SELECT round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END)::DOUBLE,"
-                 f" 10) AS accuracy FROM ({RULE})"),
+    "linreg_report": ("SELECT (round(regr_slope(l_extendedprice, l_quantity), 4) + 0.0) AS slope, "
+                      "(round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0) AS intercept, "
+                      "(round(regr_r2(l_extendedprice, l_quantity), 8) + 0.0) AS r2 FROM lineitem"),
+    "accuracy": (f"SELECT (round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END)::DOUBLE,"
+                 f" 10) + 0.0) AS accuracy FROM ({RULE})"),
     "confusion": (f"SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM ({RULE}) "
                   "GROUP BY label, prediction"),
     "stream_word_count": ("SELECT token, CAST(count(*) AS BIGINT) AS n FROM "
@@ -248,7 +251,7 @@ ORACLES: dict[str, str] = {
     "udf_explode": ("SELECT o_orderkey, CAST(generate_subscripts(p, 1) AS INTEGER) AS pos, "
                     "unnest(p) AS part FROM (SELECT o_orderkey, "
                     "string_split(o_orderpriority, '-') AS p FROM orders)"),
-    "udf_agg": ("SELECT o_orderstatus, round(sum(o_totalprice), 2) AS total FROM orders "
+    "udf_agg": ("SELECT o_orderstatus, (round(sum(o_totalprice), 2) + 0.0) AS total FROM orders "
                 "GROUP BY o_orderstatus"),
 }
 
