@@ -153,6 +153,9 @@ ORACLES: dict[str, str] = {
         "c_name, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment) "
         "|| '\"', '\",\"') AS p FROM customer)"),
     "ddl_table_load": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "ddl_sql_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "sql_filtered_sum": ("SELECT (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
+                         "WHERE c_mktsegment = 'BUILDING'"),
     "json_scan": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
                   "FROM orders"),
     "json_group_count": ("SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n FROM orders "

@@ -201,6 +201,19 @@ def q_ddl_table_load(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query("ddl_sql_table")
+def q_ddl_sql_table(spark, sf_dir):
+    """A11 A12 T5 in SQL: CREATE TABLE ... USING csv, then INSERT OVERWRITE twice."""
+    nation = T(spark, sf_dir, "nation")
+    nation.createOrReplaceTempView("tk_nation_src")
+    delimited.create_csv_table(spark, "tk_nation", "n_nationkey int, n_name string, "
+                               "n_regionkey int", scratch_path(spark, "nation_csv"))
+    for _ in range(2):  # the second load replaces the first
+        sinks.insert_overwrite(spark, "tk_nation", "SELECT n_nationkey, n_name, n_regionkey "
+                                                   "FROM tk_nation_src")
+    return spark.table("tk_nation")  # resolved after the loads: current file listing
+
+
 # ---------------------------------------------------------------- JSON / SQL lab
 
 ORDERS_JSON_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -271,8 +284,8 @@ def q_literal_rows(spark, sf_dir):
 
 @query("preview_bounded")
 def q_preview_bounded(spark, sf_dir):
-    """Cached frame, ten largest orders (a preview is the feature)."""
-    orders = sinks.cached(T(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"))
+    """The ten largest orders (a preview is the feature)."""
+    orders = T(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return relational.top_n(orders, 10, F.col("o_totalprice").desc(), F.col("o_orderkey"))
 
 
@@ -354,6 +367,14 @@ def q_sql_grouped_sum(spark, sf_dir):
                      "FROM customer GROUP BY c_mktsegment")
 
 
+@query("sql_filtered_sum")
+def q_sql_filtered_sum(spark, sf_dir):
+    """Filtered global sum in SQL over a view."""
+    tables.register_views(spark, sf_dir, ["customer"])
+    return spark.sql(f"SELECT round(sum(c_acctbal), 2) AS total FROM customer "
+                     f"WHERE c_mktsegment = '{SEGMENT}'")
+
+
 @query("global_count")
 def q_global_count(spark, sf_dir):
     """Row count."""
@@ -666,6 +687,16 @@ def q_als_factors(spark, sf_dir):
     return models.factors(model, "user")
 
 
+@query("als_fit")
+def q_als_fit(spark, sf_dir):
+    """I8: the fitted model's shape: rank and factor rows per side."""
+    model, _ = _als(spark, sf_dir)
+    n_users = model.userFactors.agg(F.count(F.lit(1)).alias("num_users"))
+    n_items = model.itemFactors.agg(F.count(F.lit(1)).alias("num_items"))
+    return n_users.select(F.lit(model.rank).alias("rank"), "num_users",
+                          n_items.scalar().alias("num_items"))
+
+
 @query("als_predict")
 def q_als_predict(spark, sf_dir):
     """Predicted ratings for held-out (user, item) pairs; unseen -> NaN."""

@@ -42,6 +42,11 @@ def load_overwrite(df: DataFrame, path: str | None = None, table: str | None = N
         raise ValueError("give a path or a table name")
 
 
+def insert_overwrite(spark: SparkSession, table: str, query: str) -> None:
+    """A12 in SQL: ``INSERT OVERWRITE TABLE t <query>`` replaces the content."""
+    spark.sql(f"INSERT OVERWRITE TABLE {table} {query}")
+
+
 def preview(df: DataFrame, n: int = 20, truncate: bool | int = True) -> None:
     """Console preview of the first ``n`` rows."""
     df.show(n, truncate=truncate)
@@ -57,5 +62,6 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-__all__ = ["write_key_value_text", "read_key_value_text", "load_overwrite", "preview",
+__all__ = ["write_key_value_text", "read_key_value_text", "load_overwrite",
+           "insert_overwrite", "preview",
            "take_bounded", "cached"]

@@ -47,6 +47,16 @@ def read_declared(spark: SparkSession, path: str | list[str], ddl: str,
                           mode="PERMISSIVE")
 
 
+def create_csv_table(spark: SparkSession, name: str, ddl: str, path: str,
+                     sep: str = ",") -> DataFrame:
+    """A11 in SQL: ``CREATE TABLE ... USING csv`` over a folder, Hive-like
+    (fields not unquoted, bad or missing fields null). Returns the table."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING csv OPTIONS (path '{path}', "
+              f"sep '{sep}', quote '', mode 'PERMISSIVE')")
+    return spark.table(name)
+
+
 def field(line: Column | str, sep: str, index: int) -> Column:
     """Field ``index`` of ``line`` split on the literal ``sep``.
 

@@ -23,8 +23,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scale; a scan of few, large row groups is spread round-robin first.
     Defaults to the cluster's default parallelism.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
+        return df
+    return df if have >= n else df.repartition(n)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

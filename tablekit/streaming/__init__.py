@@ -57,12 +57,12 @@ def per_batch_word_count(lines: DataFrame, sink: str, checkpoint: str,
     return writer.start()
 
 
-def console_first_rows(counts: DataFrame, checkpoint: str, n: int = 10,
+def console_first_rows(lines: DataFrame, checkpoint: str, n: int = 10,
                        processing_time: str = "10 seconds") -> StreamingQuery:
-    """Print the first ``n`` rows of every batch's counts."""
+    """Print the first ``n`` word counts of every batch (``pprint``)."""
     def show(batch: DataFrame, batch_id: int) -> None:
         batch_word_count(batch).show(n)
-    return (counts.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
+    return (lines.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
             .trigger(processingTime=processing_time).start())
 
 
