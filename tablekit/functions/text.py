@@ -38,13 +38,14 @@ def lower_tokens(c: Column | str) -> Column:
     Same result as ``pyspark.ml.feature.Tokenizer``; leading and inner empty
     tokens stay (Java ``String.split`` semantics).
     """
-    parts = F.split(F.lower(_c(c)), "\\s", -1)
-    # Drop the run of empty tokens at the end, as String.split does; an empty
-    # input has no match and comes back as the one empty token.
-    from_end = F.array_position(F.reverse(F.transform(parts, lambda t: t != "")), F.lit(True))
-    n_keep = F.when(from_end == 0, F.lit(0)).otherwise(F.size(parts) - from_end + 1)
-    return F.when(_c(c) == "", F.array(F.lit(""))).otherwise(
-        F.slice(parts, F.lit(1), n_keep))
+    # String.split drops the run of empty tokens at the end: cutting trailing
+    # whitespace first gives the same tokens with plain built-ins. An empty
+    # input has no match and comes back as the one empty token; an all-blank
+    # input has only trailing empties and gives no token.
+    trimmed = F.regexp_replace(F.lower(_c(c)), "\\s+\\z", "")
+    return (F.when(_c(c) == "", F.array(F.lit("")))
+             .when(trimmed == "", F.array().cast("array<string>"))
+             .otherwise(F.split(trimmed, "\\s", -1)))
 
 
 def explode_tokens(df: DataFrame, tokens: Column, out: str = "word",

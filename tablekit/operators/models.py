@@ -117,13 +117,29 @@ def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame | N
 
     Returns the frame with ``out`` and the mapping (None when cast directly).
     """
-    bounds = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if bounds["lo"] is None or (bounds["lo"] >= 0 and bounds["hi"] <= INT_MAX):
-        return df.withColumn(out, F.col(col).cast("int")), None
-    keys = df.select(col).distinct()
-    mapping = (keys.rdd.map(lambda r: r[0]).zipWithIndex()
-               .toDF([col, out]).withColumn(out, F.col(out).cast("int")))
-    return df.join(mapping, col), mapping
+    df, maps = int_id_columns(df, {col: out})
+    return df, maps[col]
+
+
+def int_id_columns(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, dict]:
+    """``int_ids`` for several key columns with ONE pass for all key ranges."""
+    aggs = []
+    for c in cols:
+        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
+    bounds = df.agg(*aggs).first()
+    maps: dict = {}
+    for c, out in cols.items():
+        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        if lo is None or (lo >= 0 and hi <= INT_MAX):
+            df = df.withColumn(out, F.col(c).cast("int"))
+            maps[c] = None
+            continue
+        keys = df.select(c).distinct()
+        mapping = (keys.rdd.map(lambda r: r[0]).zipWithIndex()
+                   .toDF([c, out]).withColumn(out, F.col(out).cast("int")))
+        df = df.join(mapping, c)
+        maps[c] = mapping
+    return df, maps
 
 
 def als(train: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",

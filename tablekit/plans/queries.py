@@ -123,9 +123,12 @@ def q_first_n_lines(spark, sf_dir):
 
 @query("tokenize_lower")
 def q_tokenize_lower(spark, sf_dir):
-    """Spark ML Tokenizer tokens, counted."""
-    words = features.tokenize(T(spark, sf_dir, "documents", heavy=True), "text", "words")
-    return relational.word_count(words, tokens=F.col("words"), out="token")
+    """Tokenizer tokens (lower case, split on whitespace), counted.
+
+    Uses the built-in expression form of the ML Tokenizer (same tokens,
+    property-tested), which stays in generated code."""
+    return relational.word_count(T(spark, sf_dir, "documents", heavy=True),
+                                 tokens=textf.lower_tokens("text"), out="token")
 
 
 @query("split_space")
@@ -632,11 +635,11 @@ def q_random_forest_pca(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem", heavy=True).select(
         "l_orderkey", "l_linenumber", "l_returnflag", *LINEITEM_MEASURES)
     v = vectors.assemble(li, LINEITEM_MEASURES)
-    pca = features.fit_pca(v, "features", 3)
-    p = pca.transform(v)
-    p, _ = features.string_index(p, "l_returnflag", "indexed")
-    train, test = relational.hash_split(p, ["l_orderkey", "l_linenumber"], [0.7, 0.3])
-    rf = models.random_forest(train, features="__pca", label="indexed")
+    with sinks.persisted(v) as kept:  # PCA, indexer and forest fits reuse it
+        pca = features.fit_pca(kept, "features", 3)
+        p, _ = features.string_index(pca.transform(kept), "l_returnflag", "indexed")
+        train, test = relational.hash_split(p, ["l_orderkey", "l_linenumber"], [0.7, 0.3])
+        rf = models.random_forest(train, features="__pca", label="indexed")
     return rf.transform(test).select("l_orderkey", "l_linenumber", "indexed", "prediction")
 
 
@@ -667,17 +670,16 @@ def _ratings(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem", heavy=True).select("l_orderkey", "l_partkey",
                                                          "l_quantity")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    r = j.groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").cast("float")
-                                                 .alias("rating"))
-    r, _ = models.int_ids(r, "o_custkey", "user")
-    r, _ = models.int_ids(r, "l_partkey", "item")
-    return r
+    return j.groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").cast("float")
+                                                    .alias("rating"))
 
 
 def _als(spark, sf_dir):
-    r = _ratings(spark, sf_dir)
-    train, test = relational.hash_split(r, ["user", "item"], [0.9, 0.1])
-    return models.als(train), test
+    with sinks.persisted(_ratings(spark, sf_dir)) as kept:  # id ranges and fit reuse it
+        r, _ = models.int_id_columns(kept, {"o_custkey": "user", "l_partkey": "item"})
+        train, test = relational.hash_split(r, ["user", "item"], [0.9, 0.1])
+        model = models.als(train)
+    return model, test
 
 
 @query("als_factors")
@@ -737,7 +739,7 @@ def q_stream_word_count(spark, sf_dir):
     streaming.replay_as_files(T(spark, sf_dir, "documents"), feed, files=8, col="text")
     sink = scratch_path(spark, "stream_sink")
     ckpt = scratch_path(spark, "stream_ckpt")
-    lines = streaming.file_lines(spark, feed, max_files_per_trigger=2)
+    lines = streaming.file_lines(spark, feed, max_files_per_trigger=4)
     q = streaming.per_batch_word_count(lines, sink, ckpt, available_now=True)
     q.awaitTermination()
     per_batch = streaming.read_batches(spark, sink)

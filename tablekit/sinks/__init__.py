@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,18 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+@contextmanager
+def persisted(df: DataFrame):
+    """A20 for a bounded span: the frame is kept while several passes
+    (e.g. estimator fits) reuse it, and released afterwards, so no cached
+    data outlives the work that needed it."""
+    kept = cached(df)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 __all__ = ["write_key_value_text", "read_key_value_text", "load_overwrite",
            "insert_overwrite", "preview",
-           "take_bounded", "cached"]
+           "take_bounded", "cached", "persisted"]
