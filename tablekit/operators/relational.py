@@ -43,14 +43,25 @@ def sum_by_key_or_zero(df: DataFrame, key: str, text: Column | str,
     return df.groupBy(key).agg(F.sum(parse_long_or_zero(text)).alias(out))
 
 
-def distinct_set_line(df: DataFrame, col: str, sep: str = ",", out: str = "values") -> DataFrame:
+MAX_LINE_VALUES = 1_000_000
+
+
+def distinct_set_line(df: DataFrame, col: str, sep: str = ",", out: str = "values",
+                      max_values: int = MAX_LINE_VALUES) -> DataFrame:
     """The distinct values of ``col`` as one sorted, joined string.
 
     ``distinct`` runs first as a parallel shuffle on the value, so the final
-    one-row aggregate only sees each value once; its size is the column's
-    cardinality, which for this operator (a category list) is small.
+    one-row aggregate sees each value once. That row is the whole result by
+    definition, so its size is checked before it is built: a distributed count
+    of the distinct values must be at most ``max_values``; beyond it this
+    raises instead of gathering an unbounded set in one task (write the
+    distinct values with a sink instead).
     """
     vals = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
+    n = vals.count()
+    if n > max_values:
+        raise ValueError(f"{n} distinct values of {col!r} exceed the one-line bound "
+                         f"{max_values}")
     return vals.agg(F.array_join(F.sort_array(F.collect_list("v")), sep).alias(out))
 
 

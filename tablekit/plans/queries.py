@@ -282,7 +282,9 @@ def q_literal_rows(spark, sf_dir):
     labels = literal.literal_table(spark, [("F", "finished"), ("O", "open"), ("P", "partial")],
                                    "o_orderstatus string, status_label string")
     counts = relational.count_by_key(T(spark, sf_dir, "orders"), "o_orderstatus")
-    return counts.join(labels, "o_orderstatus", "left")
+    # A literal table has a known size (its rows are in the plan), so it is
+    # broadcast; a frame made from local rows carries no size statistics.
+    return counts.join(F.broadcast(labels), "o_orderstatus", "left")
 
 
 @query("preview_bounded")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablekit.operators import relational
@@ -48,6 +49,8 @@ def test_distinct_set_line(spark):
     df = spark.createDataFrame([("Asia",), ("Europe",), ("Asia",), (None,), ("Africa",)],
                                "c string")
     assert relational.distinct_set_line(df, "c").first()[0] == "Africa,Asia,Europe"
+    with pytest.raises(ValueError):
+        relational.distinct_set_line(df, "c", max_values=2)
 
 
 def test_hash_split_is_stable_across_partitionings(spark):
