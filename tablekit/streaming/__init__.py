@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import space_tokens
 from ..operators.relational import word_count
+from ..sources.tables import spread
 
 
 def socket_lines(spark: SparkSession, host: str = "localhost", port: int = 7070) -> DataFrame:
@@ -30,8 +31,11 @@ def file_lines(spark: SparkSession, folder: str, max_files_per_trigger: int = 1)
 
 
 def replay_as_files(lines: DataFrame, folder: str, files: int, col: str = "value") -> None:
-    """K4: write lines as ``files`` text files to feed a file stream."""
-    lines.select(F.col(col).alias("value")).repartition(files).write.mode("overwrite").text(folder)
+    """K4: write lines as text files to feed a file stream, at least ``files``
+    of them (an input already in that many partitions is written as it is,
+    without a shuffle)."""
+    out = spread(lines.select(F.col(col).alias("value")), files)
+    out.write.mode("overwrite").text(folder)
 
 
 def batch_word_count(batch: DataFrame, col: str = "value") -> DataFrame:

@@ -84,3 +84,22 @@ def test_sum_by_key_and_filtered_sum(spark):
 
 def test_global_count(spark):
     assert relational.global_count(spark.range(123)).first().n == 123
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    from tablekit import sinks
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    sinks.write_bucketed(orders.select("o_orderkey", "o_custkey"), "tk_b_orders", "o_custkey",
+                         8, path=tmp_dir + "/o")
+    sinks.write_bucketed(cust.select("c_custkey", "c_name"), "tk_b_cust", "c_custkey", 8,
+                         path=tmp_dir + "/c")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("tk_b_orders").join(spark.table("tk_b_cust"),
+                                            F.col("o_custkey") == F.col("c_custkey"))
+        plan = plan_text(j)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan.split("\n\n")[0]
+        assert j.count() == orders.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
