@@ -9,10 +9,10 @@ import sys as _sys
 
 from pyspark import cloudpickle as _cloudpickle
 
-from .session import checkpoint_root, get_session, scratch_path
+from .session import checkpoint_root, get_session, scale_conf, scratch_path
 
 # Functions of this package that run inside tasks (pandas UDFs, mapInPandas
 # bodies) are shipped by value, so executors need no installed copy of it.
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
-__all__ = ["checkpoint_root", "get_session", "scratch_path"]
+__all__ = ["checkpoint_root", "get_session", "scale_conf", "scratch_path"]

@@ -50,14 +50,15 @@ def fold_by_key(df: DataFrame, key: str, value: str,
     key_type = df.schema[key].dataType.simpleString()
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict = {}
+        # One running partial per key of this partition: memory is bounded by
+        # the partition's distinct keys, not by its rows or batches.
+        acc: pd.Series | None = None
         for pdf in batches:
-            for k, v in pdf.groupby(key, dropna=False, sort=False)[value]:
-                acc.setdefault(k, []).append(fold(v))
-        if acc:
-            keys = list(acc)
-            yield pd.DataFrame({key: keys,
-                                "__partial": [float(merge(pd.Series(acc[k]))) for k in keys]})
+            part = pdf.groupby(key, dropna=False, sort=False)[value].agg(fold)
+            acc = part if acc is None else (
+                pd.concat([acc, part]).groupby(level=0, dropna=False, sort=False).agg(merge))
+        if acc is not None and len(acc):
+            yield pd.DataFrame({key: acc.index, "__partial": acc.to_numpy(dtype="float64")})
 
     partials = df.select(key, value).mapInPandas(partial, f"{key} {key_type}, __partial double")
 

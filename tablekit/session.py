@@ -49,6 +49,25 @@ def get_session(master: str | None = None, app: str = "tablekit",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized to an input, for ``get_session(extra=...)``.
+
+    The initial shuffle width gives each reducer about ``target_partition_bytes``
+    of input (at least 2 tasks per core); AQE then coalesces partitions towards
+    its advisory size and splits skewed ones, so the width only needs to be
+    large enough for the biggest shuffle. Scan splits stay at 128 MB.
+    """
+    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 

@@ -68,3 +68,10 @@ def test_flat_map_and_vector_udfs(spark):
     pred = udfs.predicate_udf(lambda s: s.str.len() > 1)
     assert df.where(pred("s")).count() == 1
     assert df.select(udfs.shared_value(80.0).alias("c")).first().c == 80.0
+
+
+def test_scale_conf_widths():
+    from tablekit import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
