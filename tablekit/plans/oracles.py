@@ -152,6 +152,14 @@ ORACLES: dict[str, str] = {
         "FROM (SELECT string_split('\"' || concat_ws('\",\"', CAST(c_custkey AS VARCHAR), "
         "c_name, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment) "
         "|| '\"', '\",\"') AS p FROM customer)"),
+    "message_lines_parse": (
+        "SELECT CAST(CASE WHEN l.quality = 1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
+        "replace(d.text, chr(10), ' ') AS message FROM documents d "
+        "JOIN labels l ON d.doc_id = l.doc_id"),
+    "message_lines_truncated": (
+        "SELECT CAST(CASE WHEN l.quality = 1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
+        "string_split(replace(d.text, chr(10), ' '), ',')[1] AS message FROM documents d "
+        "JOIN labels l ON d.doc_id = l.doc_id"),
     "ddl_table_load": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "ddl_sql_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "sql_filtered_sum": ("SELECT (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "

@@ -191,6 +191,31 @@ def q_quoted_lines_parse(spark, sf_dir):
                                            "segment_text": 4})
 
 
+def _message_lines(spark, sf_dir) -> str:
+    """Labelled documents as ``kind,text`` lines (newlines in the text as blanks)."""
+    out = scratch_path(spark, "message_lines")
+    d = T(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = T(spark, sf_dir, "labels").select("doc_id", "quality")
+    kind = F.when(F.col("quality") == 1, F.lit("ham")).otherwise(F.lit("spam"))
+    d.join(lab, "doc_id").select(
+        F.concat_ws(",", kind, F.regexp_replace("text", "\n", " ")).alias("value")).write.text(out)
+    return out
+
+
+@query("message_lines_parse")
+def q_message_lines_parse(spark, sf_dir):
+    """Kind,message lines; the message keeps its own commas."""
+    lines = text.read_lines(spark, _message_lines(spark, sf_dir))
+    return delimited.labelled_messages(lines)
+
+
+@query("message_lines_truncated")
+def q_message_lines_truncated(spark, sf_dir):
+    """The literal split(",")[1]: the message ends at its first comma."""
+    lines = text.read_lines(spark, _message_lines(spark, sf_dir))
+    return delimited.labelled_messages(lines, truncate_at_comma=True)
+
+
 @query("ddl_table_load")
 def q_ddl_table_load(spark, sf_dir):
     """Declared comma table, loaded with overwrite, read back."""

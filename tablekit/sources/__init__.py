@@ -1,6 +1,7 @@
 """Sources: parquet tables, text lines, delimited text, JSON, literal rows."""
 
-from .delimited import (create_csv_table, declare_table, field, quoted_fields, read_declared, read_delimited,
+from .delimited import (create_csv_table, declare_table, field, labelled_messages,
+                        quoted_fields, read_declared, read_delimited,
                         read_semicolon_quoted, typed_split)
 from .json import read_json, schema_rows
 from .literal import literal_table, typed
@@ -9,7 +10,7 @@ from .text import (drop_lines_containing, drop_lines_equal, first_line, first_n_
                    first_value, numbered_lines, read_lines)
 
 __all__ = [
-    "create_csv_table", "declare_table", "field", "quoted_fields", "read_declared", "read_delimited",
+    "create_csv_table", "declare_table", "field", "labelled_messages", "quoted_fields", "read_declared", "read_delimited",
     "read_semicolon_quoted", "typed_split", "read_json", "schema_rows", "literal_table",
     "typed", "TABLES", "register_views", "spread", "table", "drop_lines_containing",
     "drop_lines_equal", "first_line", "first_n_lines", "first_value", "numbered_lines",

@@ -80,6 +80,21 @@ def quoted_fields(lines: DataFrame, picks: dict[str, int], col: str = "value") -
     return lines.select(*[parts.getItem(i).alias(name) for name, i in picks.items()])
 
 
+def labelled_messages(lines: DataFrame, positive: str = "ham", truncate_at_comma: bool = False,
+                      col: str = "value") -> DataFrame:
+    """``kind,message`` lines to ``(label, message)``; ``positive`` -> 0.0,
+    anything else 1.0.
+
+    By default only the first comma separates, so a message keeps its own
+    commas; ``truncate_at_comma=True`` keeps just the text up to the second
+    comma, as ``line.split(",")[1]`` does.
+    """
+    parts = F.split(F.col(col), ",", -1 if truncate_at_comma else 2)
+    kind = parts.getItem(0)
+    label = F.when(kind == F.lit(positive), F.lit(0.0)).otherwise(F.lit(1.0))
+    return lines.select(label.alias("label"), parts.getItem(1).alias("message"))
+
+
 def typed_split(lines: DataFrame, sep: str, fields: list[tuple[str, int, str]],
                 col: str = "value") -> DataFrame:
     """Split each line and cast chosen fields, e.g. ``[("MPG", 0, "double")]``.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablekit import sinks
 from tablekit.sources import (declare_table, drop_lines_containing, drop_lines_equal,
+                              labelled_messages,
                               first_line, first_n_lines, literal_table, numbered_lines,
                               quoted_fields, read_declared, read_delimited, read_json,
                               read_lines, read_semicolon_quoted, schema_rows, typed,
@@ -150,3 +151,12 @@ def test_load_overwrite_replaces(spark, tmp_dir):
 
 def test_take_bounded(spark):
     assert len(sinks.take_bounded(spark.range(100), 5)) == 5
+
+
+def test_second_comma_kept_or_cut(spark, tmp_dir):
+    path = write_lines(tmp_dir, "sms.csv", ["ham,a,b", "spam,win now", "other,x"])
+    lines = read_lines(spark, path)
+    kept = [(r.label, r.message) for r in labelled_messages(lines).collect()]
+    assert kept == [(0.0, "a,b"), (1.0, "win now"), (1.0, "x")]
+    cut = [r.message for r in labelled_messages(lines, truncate_at_comma=True).collect()]
+    assert cut == ["a", "win now", "x"]
