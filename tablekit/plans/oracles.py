@@ -119,6 +119,32 @@ SELECT s.label, s.feature,
 FROM s JOIN n ON s.label = n.label JOIN sk ON s.label = sk.label, tot
 """
 
+# Least squares with three features by Cramer's rule on the covariance matrix.
+LINREG3_SQL = """
+WITH c AS (SELECT
+    covar_samp(l_quantity, l_quantity) AS a11, covar_samp(l_quantity, l_discount) AS a12,
+    covar_samp(l_quantity, l_tax) AS a13, covar_samp(l_discount, l_discount) AS a22,
+    covar_samp(l_discount, l_tax) AS a23, covar_samp(l_tax, l_tax) AS a33,
+    covar_samp(l_quantity, l_extendedprice) AS b1, covar_samp(l_discount, l_extendedprice) AS b2,
+    covar_samp(l_tax, l_extendedprice) AS b3,
+    avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3,
+    avg(l_extendedprice) AS my FROM lineitem),
+d AS (SELECT *,
+    a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13)
+      + a13 * (a12 * a23 - a22 * a13) AS det,
+    b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3)
+      + a13 * (b2 * a23 - a22 * b3) AS d1,
+    a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13)
+      + a13 * (a12 * b3 - b2 * a13) AS d2,
+    a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13)
+      + b1 * (a12 * a23 - a22 * a13) AS d3 FROM c),
+beta AS (SELECT d1 / det AS c1, d2 / det AS c2, d3 / det AS c3, m1, m2, m3, my FROM d)
+SELECT 'l_quantity' AS term, (round(c1, 4) + 0.0) AS value FROM beta
+UNION ALL SELECT 'l_discount', (round(c2, 4) + 0.0) FROM beta
+UNION ALL SELECT 'l_tax', (round(c3, 4) + 0.0) FROM beta
+UNION ALL SELECT 'intercept', (round(my - c1 * m1 - c2 * m2 - c3 * m3, 4) + 0.0) FROM beta
+"""
+
 RULE = ("SELECT CAST(l.quality AS DOUBLE) AS label, "
         "CAST(CASE WHEN d.n_chars >= 2000 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction "
         "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
@@ -246,6 +272,7 @@ ORACLES: dict[str, str] = {
     "linreg_report": ("SELECT (round(regr_slope(l_extendedprice, l_quantity), 4) + 0.0) AS slope, "
                       "(round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0) AS intercept, "
                       "(round(regr_r2(l_extendedprice, l_quantity), 8) + 0.0) AS r2 FROM lineitem"),
+    "linreg_coefficients": LINREG3_SQL,
     "accuracy": (f"SELECT (round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END)::DOUBLE,"
                  f" 10) + 0.0) AS accuracy FROM ({RULE})"),
     "confusion": (f"SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM ({RULE}) "

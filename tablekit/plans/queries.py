@@ -635,6 +635,16 @@ def q_linreg_report(spark, sf_dir):
                      F.round("r2", 8).alias("r2"))
 
 
+@query("linreg_coefficients")
+def q_linreg_coefficients(spark, sf_dir):
+    """Three-feature least squares over all rows; coefficients and intercept."""
+    li = T(spark, sf_dir, "lineitem").select(*LINREG_FEATURES,
+                                             F.col("l_extendedprice").alias("label"))
+    model = models.linear_regression(vectors.assemble(li, LINREG_FEATURES))
+    rep = models.regression_report(spark, model, LINREG_FEATURES)
+    return rep.select("term", F.round("value", 4).alias("value"))
+
+
 def _embeddings(spark, sf_dir):
     e = T(spark, sf_dir, "embeddings")
     return vectors.array_as_vector(e, "embedding").withColumn("label",

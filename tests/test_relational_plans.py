@@ -103,3 +103,27 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
         assert j.count() == orders.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """One key holds a third of the fact rows: AQE splits its partition."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"),
+            F.col("id").alias("v"))
+        dim = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        j = relational.join(fact, dim, "k")
+        assert j.count() == 60000
+        j.collect()
+        final = plan_text(j)
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
