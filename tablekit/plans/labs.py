@@ -24,6 +24,33 @@ from ..sources import (drop_lines_containing, drop_lines_equal, labelled_message
 
 SEED = 42
 
+# Fixed values that must equal the programs' own for the same results:
+# header tokens, recode words, the horsepower fill value, the key of the
+# distinct line, and the model settings of each program.
+CONTINENTS_KEY = "continents"
+MPG_HEADER_TOKEN = "CYLINDERS"
+HORSEPOWER_FILL = 80.0
+MPG_SPLIT = [0.9, 0.1]
+MPG_MAX_ITER = 200
+IRIS_HEADER_TOKEN = "Sepal"
+IRIS_SPLIT = [0.9, 0.1]
+IRIS_MAX_DEPTH = 2
+AUTO_DOORS_ONE = "two"
+AUTO_BODY_ONE = "sedan"
+AUTO_K = 5
+AUTO_SEED = 1
+SMS_NEGATIVE = "ham"
+SMS_MIN_PARTITIONS = 2
+SMS_SPLIT = [0.9, 0.1]
+BANK_NO = "no"
+BANK_MARITAL = {"SINGLE": "single", "MARRIED": "married", "DIVORCED": "divorced"}
+BANK_EDUCATION = {"PRIMARY": "primary", "SECONDARY": "secondary", "TERTIARY": "tertiary"}
+BANK_PCA_K = 3
+BANK_SPLIT = [0.7, 0.3]
+ALS_RANK = 10
+ALS_MAX_ITER = 5
+TURKEY_CODE = "TUR"
+
 # ---------------------------------------------------------------- MapReduce jobs
 
 
@@ -55,7 +82,7 @@ def continents_job(spark: SparkSession, in_path: str, out_path: str) -> DataFram
     """One line ``continents<TAB>A,B,...``: the sorted distinct continents."""
     fields = quoted_fields(read_lines(spark, in_path), {"continent": 2})
     line = relational.distinct_set_line(fields, "continent", out="values").select(
-        F.lit("continents").alias("key"), "values")
+        F.lit(CONTINENTS_KEY).alias("key"), "values")
     sinks.write_key_value_text(line, out_path, "key", "values", sort=False)
     return line
 
@@ -85,16 +112,18 @@ def world_json_lab(spark: SparkSession, path: str, min_population: int = 10_000_
 # ---------------------------------------------------------------- streaming lab
 
 
-def network_word_count(spark: SparkSession, host: str = "localhost", port: int = 7070,
-                       checkpoint: str | None = None, interval: str = "10 seconds",
-                       seconds: float = 100, lines: DataFrame | None = None) -> None:
+def network_word_count(spark: SparkSession, host: str = "localhost",
+                       port: int = streaming.SOCKET_PORT, checkpoint: str | None = None,
+                       interval: str = streaming.BATCH_INTERVAL,
+                       seconds: float = streaming.RUN_SECONDS,
+                       lines: DataFrame | None = None) -> None:
     """Per-batch word count of a socket line stream, first ten counts of each
     batch printed, run for a bounded time. ``lines`` replaces the socket (for
     a file stream)."""
     from ..session import scratch_path
     src = lines if lines is not None else streaming.socket_lines(spark, host, port)
     q = streaming.console_first_rows(src, checkpoint or scratch_path(spark, "net_wc"),
-                                     10, interval)
+                                     streaming.FIRST_ROWS, interval)
     streaming.run_for(q, seconds)
 
 
@@ -109,11 +138,11 @@ BANK_FEATURES = ["AGE", "BALANCE", "DEFAULT", "DIVORCED", "LOAN", "MARRIED", "PR
                  "SECONDARY", "SINGLE", "TERTIARY"]
 
 
-def mpg_regression(spark: SparkSession, path: str, sentinel_value: float = 80.0,
+def mpg_regression(spark: SparkSession, path: str, sentinel_value: float = HORSEPOWER_FILL,
                    seed: int = SEED) -> dict[str, DataFrame]:
     """Clean (header by token, '?' horsepower imputed), correlate every numeric
     column with MPG, fit least squares on 90%, report and evaluate on 10%."""
-    lines = drop_lines_containing(read_lines(spark, path), "CYLINDERS")
+    lines = drop_lines_containing(read_lines(spark, path), MPG_HEADER_TOKEN)
     parts = F.split("value", ",", -1)
     cols = []
     for i, name in enumerate(MPG_FIELDS):
@@ -126,8 +155,8 @@ def mpg_regression(spark: SparkSession, path: str, sentinel_value: float = 80.0,
     data = lines.select(*cols)
     corr = profile.corr_with_target(data, "MPG", numeric_columns(data))
     lp = assemble(data, MPG_FEATURES).select(F.col("MPG").alias("label"), "features")
-    train, test = relational.random_split(lp, [0.9, 0.1], seed)
-    model = models.linear_regression(train, max_iter=200)
+    train, test = relational.random_split(lp, MPG_SPLIT, seed)
+    model = models.linear_regression(train, max_iter=MPG_MAX_ITER)
     pred = model.transform(test)
     return {"data": data, "corr": corr,
             "coefficients": models.regression_report(spark, model, MPG_FEATURES),
@@ -138,15 +167,15 @@ def mpg_regression(spark: SparkSession, path: str, sentinel_value: float = 80.0,
 def iris_tree(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, DataFrame]:
     """Index the species, profile, correlate, depth-2 tree on 90%, accuracy and
     confusion on 10%."""
-    lines = drop_lines_containing(read_lines(spark, path), "Sepal")
+    lines = drop_lines_containing(read_lines(spark, path), IRIS_HEADER_TOKEN)
     data = typed_split(lines, ",", [(n, i, "string" if n == "SPECIES" else "double")
                                     for i, n in enumerate(IRIS_FIELDS)])
     indexed, _ = features.string_index(data, "SPECIES", "IND_SPECIES")
     num = numeric_columns(indexed)
     lp = assemble(indexed, IRIS_FIELDS[:4]).select(
         F.col("SPECIES").alias("species"), F.col("IND_SPECIES").alias("label"), "features")
-    train, test = relational.random_split(lp, [0.9, 0.1], seed)
-    model = models.decision_tree(train, max_depth=2, seed=seed)
+    train, test = relational.random_split(lp, IRIS_SPLIT, seed)
+    model = models.decision_tree(train, max_depth=IRIS_MAX_DEPTH, seed=seed)
     pred = model.transform(test)
     return {"data": indexed,
             "species_index": relational.distinct_rows(indexed, "SPECIES", "IND_SPECIES"),
@@ -158,14 +187,14 @@ def iris_tree(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, Dat
 
 
 def auto_clusters(spark: SparkSession, path: str,
-                  scaled: tuple[str, ...] = ("DOORS", "BODY", "HP", "RPM"), k: int = 5,
-                  seed: int = 1) -> dict[str, DataFrame]:
+                  scaled: tuple[str, ...] = ("DOORS", "BODY", "HP", "RPM"), k: int = AUTO_K,
+                  seed: int = AUTO_SEED) -> dict[str, DataFrame]:
     """Drop the header line, recode doors/body, centre and scale the chosen
     columns, k-means, and the (cluster, x, y) table behind the scatter plot."""
     lines = drop_lines_equal(read_lines(spark, path))
     parts = F.split("value", ",", -1)
-    data = lines.select(recode_binary(parts.getItem(3), "two", 1.0, 2.0).alias("DOORS"),
-                        recode_binary(parts.getItem(4), "sedan", 1.0, 2.0).alias("BODY"),
+    data = lines.select(recode_binary(parts.getItem(3), AUTO_DOORS_ONE, 1.0, 2.0).alias("DOORS"),
+                        recode_binary(parts.getItem(4), AUTO_BODY_ONE, 1.0, 2.0).alias("BODY"),
                         parts.getItem(7).cast("double").alias("HP"),
                         parts.getItem(8).cast("double").alias("RPM"),
                         parts.getItem(9).cast("double").alias("MPG"))
@@ -183,9 +212,9 @@ def sms_naive_bayes(spark: SparkSession, path: str, truncate_at_comma: bool = Fa
                     seed: int = SEED) -> dict[str, DataFrame]:
     """ham/spam lines, 90/10 split, Tokenizer -> HashingTF -> IDF -> NaiveBayes
     pipeline, accuracy and confusion."""
-    msgs = labelled_messages(read_lines(spark, path, min_partitions=2),
-                             truncate_at_comma=truncate_at_comma)
-    train, test = relational.random_split(msgs, [0.9, 0.1], seed)
+    msgs = labelled_messages(read_lines(spark, path, min_partitions=SMS_MIN_PARTITIONS),
+                             positive=SMS_NEGATIVE, truncate_at_comma=truncate_at_comma)
+    train, test = relational.random_split(msgs, SMS_SPLIT, seed)
     model = features.fit_pipeline(features.tfidf_stages("message")
                                   + [models.naive_bayes()], train)
     pred = model.transform(test)
@@ -199,21 +228,19 @@ def bank_forest(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, D
     lines = drop_lines_equal(read_lines(spark, path))
     parts = F.split(remove_char("value", '"'), ";", -1)
     data = lines.select(
-        recode_binary(parts.getItem(16), "no", 0.0, 1.0).alias("OUTCOME"),
+        recode_binary(parts.getItem(16), BANK_NO, 0.0, 1.0).alias("OUTCOME"),
         parts.getItem(0).cast("double").alias("AGE"),
-        *indicators(parts.getItem(2), {"SINGLE": "single", "MARRIED": "married",
-                                       "DIVORCED": "divorced"}),
-        *indicators(parts.getItem(3), {"PRIMARY": "primary", "SECONDARY": "secondary",
-                                       "TERTIARY": "tertiary"}),
-        recode_binary(parts.getItem(4), "no", 0.0, 1.0).alias("DEFAULT"),
+        *indicators(parts.getItem(2), BANK_MARITAL),
+        *indicators(parts.getItem(3), BANK_EDUCATION),
+        recode_binary(parts.getItem(4), BANK_NO, 0.0, 1.0).alias("DEFAULT"),
         parts.getItem(5).cast("double").alias("BALANCE"),
-        recode_binary(parts.getItem(7), "no", 0.0, 1.0).alias("LOAN"))
+        recode_binary(parts.getItem(7), BANK_NO, 0.0, 1.0).alias("LOAN"))
     lp = assemble(data, BANK_FEATURES).select(F.col("OUTCOME").alias("label"), "features")
     with sinks.persisted(lp) as kept:
-        pca = features.fit_pca(kept, "features", 3)
+        pca = features.fit_pca(kept, "features", BANK_PCA_K)
         pc = pca.transform(kept).select("label", F.col("__pca").alias("pcaFeatures"))
         td, _ = features.string_index(pc, "label", "indexed")
-        train, test = relational.random_split(td, [0.7, 0.3], seed)
+        train, test = relational.random_split(td, BANK_SPLIT, seed)
         model = models.random_forest(train, features="pcaFeatures", label="indexed", seed=seed)
     pred = model.transform(test)
     return {"data": data, "summary": profile.summary_stats(data, data.columns),
@@ -224,8 +251,8 @@ def bank_forest(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, D
             "confusion": evaluate.confusion(pred, label="indexed")}
 
 
-def ratings_als(spark: SparkSession, path: str, pairs: DataFrame, rank: int = 10,
-                max_iter: int = 5, seed: int = SEED) -> dict[str, DataFrame]:
+def ratings_als(spark: SparkSession, path: str, pairs: DataFrame, rank: int = ALS_RANK,
+                max_iter: int = ALS_MAX_ITER, seed: int = SEED) -> dict[str, DataFrame]:
     """``user,item,rating`` lines, ALS, user factors by id, predicted ratings
     for the given (user, item) pairs (unseen ids give NaN)."""
     ratings = typed_split(read_lines(spark, path), ",", [("user", 0, "int"), ("item", 1, "int"),
@@ -246,7 +273,7 @@ CITIES_DDL = "id int, name string, countryCode string, district string, populati
 
 
 def hive_lab(spark: SparkSession, countries_path: str, cities_path: str,
-             country_code: str = "TUR") -> dict[str, DataFrame]:
+             country_code: str = TURKEY_CODE) -> dict[str, DataFrame]:
     """Declared comma tables and the four queries of the notes, in SQL."""
     read_declared(spark, countries_path, COUNTRIES_DDL).createOrReplaceTempView("countries")
     read_declared(spark, cities_path, CITIES_DDL).createOrReplaceTempView("cities")

@@ -17,8 +17,16 @@ from ..functions.text import space_tokens
 from ..operators.relational import word_count
 from ..sources.tables import spread
 
+# Fixed values of the stream job: socket port, batch interval, rows printed
+# per batch, bounded run time in seconds.
+SOCKET_PORT = 7070
+BATCH_INTERVAL = "10 seconds"
+FIRST_ROWS = 10
+RUN_SECONDS = 100
 
-def socket_lines(spark: SparkSession, host: str = "localhost", port: int = 7070) -> DataFrame:
+
+def socket_lines(spark: SparkSession, host: str = "localhost",
+                 port: int = SOCKET_PORT) -> DataFrame:
     """Line stream from a TCP socket (connects only when started)."""
     return (spark.readStream.format("socket").option("host", host)
             .option("port", port).load())
@@ -44,7 +52,7 @@ def batch_word_count(batch: DataFrame, col: str = "value") -> DataFrame:
 
 
 def per_batch_word_count(lines: DataFrame, sink: str, checkpoint: str,
-                         processing_time: str | None = "10 seconds",
+                         processing_time: str | None = BATCH_INTERVAL,
                          available_now: bool = False) -> StreamingQuery:
     """K1/K2: start the per-batch word count; each batch lands in
     ``<sink>/batch_id=<n>`` as parquet."""
@@ -61,8 +69,8 @@ def per_batch_word_count(lines: DataFrame, sink: str, checkpoint: str,
     return writer.start()
 
 
-def console_first_rows(lines: DataFrame, checkpoint: str, n: int = 10,
-                       processing_time: str = "10 seconds") -> StreamingQuery:
+def console_first_rows(lines: DataFrame, checkpoint: str, n: int = FIRST_ROWS,
+                       processing_time: str = BATCH_INTERVAL) -> StreamingQuery:
     """Print the first ``n`` word counts of every batch (``pprint``)."""
     def show(batch: DataFrame, batch_id: int) -> None:
         batch_word_count(batch).show(n)
@@ -70,7 +78,7 @@ def console_first_rows(lines: DataFrame, checkpoint: str, n: int = 10,
             .trigger(processingTime=processing_time).start())
 
 
-def run_for(query: StreamingQuery, seconds: float) -> None:
+def run_for(query: StreamingQuery, seconds: float = RUN_SECONDS) -> None:
     """K3: let a started query run for a bounded time, then stop it."""
     try:
         query.awaitTermination(seconds)
