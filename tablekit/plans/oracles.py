@@ -192,6 +192,12 @@ ORACLES: dict[str, str] = {
                          "WHERE c_mktsegment = 'BUILDING'"),
     "json_scan": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
                   "FROM orders"),
+    "json_schema": (
+        "SELECT column_name AS \"column\", CASE column_type WHEN 'BIGINT' THEN 'bigint' "
+        "WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
+        "ELSE lower(column_type) END AS type, \"null\" = 'YES' AS nullable FROM (DESCRIBE "
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
+        "FROM orders)"),
     "json_group_count": ("SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n FROM orders "
                          "GROUP BY o_orderpriority"),
     "json_filter_gt": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 300000",
@@ -273,6 +279,13 @@ ORACLES: dict[str, str] = {
                       "(round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0) AS intercept, "
                       "(round(regr_r2(l_extendedprice, l_quantity), 8) + 0.0) AS r2 FROM lineitem"),
     "linreg_coefficients": LINREG3_SQL,
+    "als_fit": (
+        "WITH r AS (SELECT DISTINCT o.o_custkey AS u, l.l_partkey AS i FROM lineitem l "
+        "JOIN orders o ON l.l_orderkey = o.o_orderkey), "
+        "t AS (SELECT u, i FROM r WHERE ('0x' || substr(md5(CAST(u AS VARCHAR) || '|' || "
+        "CAST(i AS VARCHAR)), 1, 8))::BIGINT % 10000 < 9000) "
+        "SELECT CAST(10 AS INTEGER) AS rank, count(DISTINCT u) AS num_users, "
+        "count(DISTINCT i) AS num_items FROM t"),
     "accuracy": (f"SELECT (round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END)::DOUBLE,"
                  f" 10) + 0.0) AS accuracy FROM ({RULE})"),
     "confusion": (f"SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM ({RULE}) "

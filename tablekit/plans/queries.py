@@ -260,6 +260,12 @@ def q_json_scan(spark, sf_dir):
     return _orders_json(spark, sf_dir).select(*ORDERS_JSON_COLS)
 
 
+@query("json_schema")
+def q_json_schema(spark, sf_dir):
+    """The schema inferred from the JSON lines, as a table."""
+    return jsonsrc.schema_rows(spark, _orders_json(spark, sf_dir))
+
+
 @query("json_group_count")
 def q_json_group_count(spark, sf_dir):
     """Group count over the JSON scan."""
