@@ -44,6 +44,44 @@ def summarise(plan: str) -> dict:
     }
 
 
+REVIEW = """
+## What the plans do at 100 TB
+
+- **Word counts** (`word_count`, `tokenize_lower`, `split_space`,
+  `stream_word_count`): scan → explode → partial count → one hash shuffle of
+  (word, partial count) → final count. Shuffle volume is distinct words per
+  task, not words; a word that is a third of all tokens costs one row per
+  task. The round-robin step is present only because every test table is a
+  single row group (one split); inputs of many splits skip it.
+- **Counts and sums by key** (`count_by_key`, `grouped_sum`, `sum_by_key_*`):
+  the fact table is aggregated on the join key first, so the dimension joins
+  see one row per key; dimensions are broadcast only under the 32 MB planned
+  size bound, else sort-merge.
+- **Fact-to-fact join** (`inner_join_comma`): broadcast here because customer
+  is small at this scale; at 100 TB the same plan is a sort-merge join (both
+  sides shuffled on the key) with AQE splitting a hot key's partition (tested
+  with a key that holds a third of the rows). Storing both tables bucketed on
+  the key (`sinks.write_bucketed`) removes both shuffles (tested).
+- **Global aggregates** (`summary_stats`, `corr_with_target`, `mean_std`,
+  `global_count`, `filtered_sum`, `linreg_report`): one pass; each task sends
+  one partial row to a single final task, which is O(tasks), not O(rows).
+- **First line / first n / top n** (`drop_header_equal`, `first_n_lines`,
+  `preview_bounded`): `min_by` and `TakeOrderedAndProject` keep 1 or n rows per
+  task; nothing sorts the whole input.
+- **TF-IDF** (`tf_idf`): two grouped counts (doc, term) and (term); the
+  document count is a scalar subquery; the term table joins by the size-checked
+  strategy with AQE skew splitting for very frequent terms.
+- **Distinct set line** (`distinct_set_line`): distinct is a parallel shuffle;
+  the one-row result is built only after a distributed count is checked
+  against a bound.
+- **User folds** (`udf_agg`): per-partition partials (`MapInPandas`), then at
+  most one partial per partition per key in the final grouped aggregate.
+- **Models**: fits are Spark ML's distributed aggregations on a persisted
+  training set; only parameters (sized by features, labels, nodes or factor
+  rank) reach the driver; ALS checkpoints to the shared checkpoint folder.
+"""
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16)
@@ -52,6 +90,8 @@ def main(argv):
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], 16 shuffle "
           "partitions, AQE on). `shuffles` counts Exchange nodes before AQE; a model "
           "query shows only the plan of its final (prediction) DataFrame.\n")
+    print(REVIEW)
+    print("## Plan summary per query\n")
     print("| query | oracle | shuffles | kinds | broadcasts | joins | aggregates | "
           "python | scans w/ pushed filters | top-k |")
     print("|---|---|---|---|---|---|---|---|---|---|")
