@@ -78,7 +78,8 @@ REVIEW = """
   most one partial per partition per key in the final grouped aggregate.
 - **Models**: fits are Spark ML's distributed aggregations on a persisted
   training set; only parameters (sized by features, labels, nodes or factor
-  rank) reach the driver; ALS checkpoints to the shared checkpoint folder.
+  rank) reach the driver; ALS cuts its lineage every 10 iterations
+  (`checkpointInterval`) into the shared checkpoint folder when it runs longer.
 """
 
 
