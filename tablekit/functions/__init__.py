@@ -3,6 +3,7 @@
 from .parse import (LONG_TEXT, impute_sentinel, indicators, numeric_columns,
                     parse_long_or_zero, recode_binary, to_double)
 from .text import (PUNCTUATION_CLASS, TOKENIZER_DELIMITERS, contains, explode_tokens,
+                   java_split,
                    join_sorted, lower_tokens, normalize_lines, remove_char, space_tokens,
                    strip_punctuation, whitespace_tokens)
 from .vectors import array_as_vector, assemble, unpack
@@ -10,7 +11,7 @@ from .vectors import array_as_vector, assemble, unpack
 __all__ = [
     "LONG_TEXT", "impute_sentinel", "indicators", "numeric_columns", "parse_long_or_zero",
     "recode_binary", "to_double", "PUNCTUATION_CLASS", "TOKENIZER_DELIMITERS", "contains",
-    "explode_tokens", "join_sorted", "lower_tokens", "normalize_lines", "remove_char",
+    "explode_tokens", "java_split", "join_sorted", "lower_tokens", "normalize_lines", "remove_char",
     "space_tokens", "strip_punctuation", "whitespace_tokens", "array_as_vector",
     "assemble", "unpack",
 ]

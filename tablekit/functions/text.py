@@ -5,6 +5,8 @@ All are JVM-side expressions, so they run inside whole-stage code generation.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,17 @@ def lower_tokens(c: Column | str) -> Column:
              .otherwise(F.split(trimmed, "\\s", -1)))
 
 
+def java_split(c: Column | str, sep: str) -> Column:
+    """Split on the literal ``sep`` as Java's ``String.split`` does: trailing
+    empty fields are dropped (an empty input stays one empty field; an input
+    made only of separators gives no field)."""
+    q = re.escape(sep)
+    trimmed = F.regexp_replace(_c(c), f"(?:{q})+\\z", "")
+    return (F.when(_c(c) == "", F.array(F.lit("")))
+             .when(trimmed == "", F.array().cast("array<string>"))
+             .otherwise(F.split(trimmed, q, -1)))
+
+
 def explode_tokens(df: DataFrame, tokens: Column, out: str = "word",
                    keep: list[str] | None = None) -> DataFrame:
     """One row per token."""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.text import java_split
+
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType | str,
                    sep: str = ",", header: bool = False, quote: str | None = None,
@@ -73,10 +75,11 @@ QUOTED_SEP = '","'
 def quoted_fields(lines: DataFrame, picks: dict[str, int], col: str = "value") -> DataFrame:
     """Split lines on the three characters ``","`` and pick fields by index.
 
-    The first field keeps its opening quote and the last its closing one,
-    exactly as the string split does.
+    The first field keeps its opening quote and the last its closing one, and
+    trailing empty fields are dropped, exactly as Java's string split does; a
+    field past the end fails the job (ANSI), as the array index does.
     """
-    parts = F.split(F.col(col), re.escape(QUOTED_SEP), -1)
+    parts = java_split(F.col(col), QUOTED_SEP)
     return lines.select(*[parts.getItem(i).alias(name) for name, i in picks.items()])
 
 

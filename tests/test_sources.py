@@ -91,13 +91,22 @@ def test_quoted_fields_keep_outer_quotes(spark, tmp_dir):
     assert (r.code, r.continent, r.pop) == ('"AFG', "Asia", '22720000"')
 
 
-def test_short_quoted_line_raises(spark, tmp_dir):
-    path = write_lines(tmp_dir, "s.csv", ['"only","two"'])
+@pytest.mark.parametrize("line", ['"only","two"', '"only","two","'])
+def test_short_quoted_line_raises(spark, tmp_dir, line):
+    # the second line ends in a separator: Java's split drops the empty field
+    path = write_lines(tmp_dir, "s.csv", [line])
     df = quoted_fields(read_lines(spark, path), {"continent": 2})
     with pytest.raises(PySparkException):
         df.collect()
 
 
+def test_java_split_semantics(spark):
+    from tablekit.functions import java_split
+    df = spark.createDataFrame([("a,b,,",), ("",), (",,",), (",a",)], "s string")
+    got = [r.p for r in df.select(java_split("s", ",").alias("p")).collect()]
+    assert got == [["a", "b"], [""], [], ["", "a"]]
+
+
 def test_typed_split_casts_strictly(spark, tmp_dir):
     path = write_lines(tmp_dir, "iris.csv", ["5.1,3.5,setosa", "6.2,2.9,virginica"])
     df = typed_split(read_lines(spark, path), ",", [("sl", 0, "double"), ("sw", 1, "double"),
