@@ -11,15 +11,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import parse_long_or_zero
-from ..functions.text import whitespace_tokens
+from ..functions.text import TOKENIZER_DELIMITERS
 
 
 def word_count(df: DataFrame, text_col: str = "value", tokens: Column | None = None,
                out: str = "word", count: str = "n") -> DataFrame:
-    """Tokens of every line, counted (default tokeniser: StringTokenizer set)."""
-    toks = tokens if tokens is not None else whitespace_tokens(text_col)
-    return (df.select(F.explode(toks).alias(out))
-              .groupBy(out).agg(F.count(F.lit(1)).alias(count)))
+    """Tokens of every line, counted (default tokeniser: StringTokenizer set).
+
+    The default splits on the delimiter set and drops empty pieces after the
+    explode (a plain filter, kept in generated code) rather than filtering the
+    array with a lambda.
+    """
+    if tokens is None:
+        words = (df.select(F.explode(F.split(F.col(text_col), TOKENIZER_DELIMITERS, -1))
+                           .alias(out)).where(F.col(out) != ""))
+    else:
+        words = df.select(F.explode(tokens).alias(out))
+    return words.groupBy(out).agg(F.count(F.lit(1)).alias(count))
 
 
 def count_by_key(df: DataFrame, *keys: str, count: str = "n") -> DataFrame:
