@@ -33,11 +33,15 @@ def query(name: str):
     return deco
 
 
+# Unique keys of the tables spread for CPU-heavy work (hash spread, no hot key).
+SPREAD_KEYS = {"documents": ["doc_id"], "lineitem": ["l_orderkey", "l_linenumber"]}
+
+
 def T(spark, sf_dir, name, heavy=False):
     """A table scan; ``heavy`` marks CPU-heavy work that needs at least the
     cluster's parallelism in tasks (a no-op for inputs of many splits)."""
     df = tables.table(spark, sf_dir, name)
-    return tables.spread(df) if heavy else df
+    return tables.spread(df, keys=SPREAD_KEYS.get(name)) if heavy else df
 
 
 def doc_lines(spark, sf_dir) -> DataFrame:
