@@ -294,6 +294,14 @@ ORACLES: dict[str, str] = {
                           "(SELECT unnest(string_split(line, ' ')) AS token FROM "
                           "(SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "
                           "GROUP BY token"),
+    "stream_book_feed": (
+        "SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(v, ' ')) "
+        "AS token FROM (SELECT regexp_replace(value, '['',!-;\\.\"?]', '', 'g') AS v "
+        f"FROM {LINES}) WHERE length(v) > 0) GROUP BY token"),
+    "stream_dictionary_feed": (
+        "SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(value, "
+        f"' ')) AS token FROM (SELECT value FROM {LINES} ORDER BY doc_id, line_no LIMIT 1000)) "
+        "GROUP BY token"),
     "udf_scalar": ("SELECT o_orderkey, CAST(floor(o_totalprice / 50000.0) AS BIGINT) "
                    "AS price_band FROM orders"),
     "udf_predicate": ("SELECT o_orderkey, o_orderpriority FROM orders "

@@ -779,11 +779,11 @@ def q_confusion(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-@query("stream_word_count")
-def q_stream_word_count(spark, sf_dir):
-    """Documents replayed as files, per-batch counts, summed."""
+def _stream_counts(spark, feed_lines: DataFrame, col: str) -> DataFrame:
+    """Replay lines as files, run the per-batch word count to the end of the
+    files, and sum the per-batch counts per token."""
     feed = scratch_path(spark, "stream_feed")
-    streaming.replay_as_files(T(spark, sf_dir, "documents"), feed, files=8, col="text")
+    streaming.replay_as_files(feed_lines, feed, files=8, col=col)
     sink = scratch_path(spark, "stream_sink")
     ckpt = scratch_path(spark, "stream_ckpt")
     lines = streaming.file_lines(spark, feed, max_files_per_trigger=4)
@@ -794,6 +794,26 @@ def q_stream_word_count(spark, sf_dir):
         F.sum("n").cast("bigint").alias("n"))
 
 
+@query("stream_word_count")
+def q_stream_word_count(spark, sf_dir):
+    """Documents replayed as files, per-batch counts, summed."""
+    return _stream_counts(spark, T(spark, sf_dir, "documents"), "text")
+
+
+@query("stream_book_feed")
+def q_stream_book_feed(spark, sf_dir):
+    """The book-server feed (punctuation stripped, empty lines dropped)
+    streamed and counted per batch."""
+    return _stream_counts(spark, textf.normalize_lines(doc_lines(spark, sf_dir)), "value")
+
+
+@query("stream_dictionary_feed")
+def q_stream_dictionary_feed(spark, sf_dir):
+    """The dictionary-server feed (first 1000 lines) streamed and counted."""
+    first = text.first_n_lines(doc_lines(spark, sf_dir), 1000, ["doc_id", "line_no"])
+    return _stream_counts(spark, first, "value")
+
+
 # ---------------------------------------------------------------- user code
 
 def _price_band(price):
