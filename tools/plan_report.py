@@ -106,8 +106,20 @@ def main(argv):
               f"{', '.join(s['kinds'])} | {s['broadcasts']} | {', '.join(s['joins'])} | "
               f"{s['aggs']} | {', '.join(s['python'])} | {s['pushed']}/{s['scans']} | "
               f"{'yes' if s['topk'] else ''} |")
+    print("\n## Final plans after execution (AQE), sf0.01\n")
+    print("The same queries run to completion; the trees show what AQE decided at "
+          "run time (coalesced shuffle reads, join strategy).\n")
+    small = sf_dir.replace("sf0.1", "sf0.01")
+    for name in FINAL_PLANS:
+        df = qs[name](spark, small)
+        df.collect()
+        tree = plan_text(df).split("\n\n")[0]
+        print(f"### {name}\n\n```\n{tree.strip()}\n```\n")
     spark.stop()
 
 
+FINAL_PLANS = ["word_count", "count_by_key", "inner_join_comma", "tf_idf", "udf_agg"]
+
+
 if __name__ == "__main__":
     main(sys.argv)
