@@ -145,6 +145,31 @@ UNION ALL SELECT 'l_tax', (round(c3, 4) + 0.0) FROM beta
 UNION ALL SELECT 'intercept', (round(my - c1 * m1 - c2 * m2 - c3 * m3, 4) + 0.0) FROM beta
 """
 
+# Least squares fitted on the training part of the md5 split (bucket < 9000),
+# predictions for the rest: the same normal equations by Cramer's rule.
+LINREG_PRED_SQL = """
+WITH li AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, l_extendedprice,
+       ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT % 10000 AS b
+       FROM lineitem),
+c AS (SELECT
+    covar_samp(l_quantity, l_quantity) AS a11, covar_samp(l_quantity, l_discount) AS a12,
+    covar_samp(l_quantity, l_tax) AS a13, covar_samp(l_discount, l_discount) AS a22,
+    covar_samp(l_discount, l_tax) AS a23, covar_samp(l_tax, l_tax) AS a33,
+    covar_samp(l_quantity, l_extendedprice) AS b1, covar_samp(l_discount, l_extendedprice) AS b2,
+    covar_samp(l_tax, l_extendedprice) AS b3,
+    avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3,
+    avg(l_extendedprice) AS my FROM li WHERE b < 9000),
+d AS (SELECT *,
+    a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) AS det,
+    b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3) AS d1,
+    a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13) AS d2,
+    a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13) AS d3 FROM c),
+beta AS (SELECT d1 / det AS c1, d2 / det AS c2, d3 / det AS c3, m1, m2, m3, my FROM d)
+SELECT l_orderkey, l_linenumber, l_extendedprice AS label,
+       (round(my + c1 * (l_quantity - m1) + c2 * (l_discount - m2) + c3 * (l_tax - m3), 1) + 0.0) AS prediction
+FROM li, beta WHERE b >= 9000
+"""
+
 RULE = ("SELECT CAST(l.quality AS DOUBLE) AS label, "
         "CAST(CASE WHEN d.n_chars >= 2000 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction "
         "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
@@ -279,6 +304,7 @@ ORACLES: dict[str, str] = {
                       "(round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0) AS intercept, "
                       "(round(regr_r2(l_extendedprice, l_quantity), 8) + 0.0) AS r2 FROM lineitem"),
     "linreg_coefficients": LINREG3_SQL,
+    "linreg": LINREG_PRED_SQL,
     "als_fit": (
         "WITH r AS (SELECT DISTINCT o.o_custkey AS u, l.l_partkey AS i FROM lineitem l "
         "JOIN orders o ON l.l_orderkey = o.o_orderkey), "

@@ -629,7 +629,8 @@ def q_linreg(spark, sf_dir):
     v = vectors.assemble(li, LINREG_FEATURES)
     train, test = relational.hash_split(v, ["l_orderkey", "l_linenumber"], [0.9, 0.1])
     model = models.linear_regression(train)
-    return model.transform(test).select("l_orderkey", "l_linenumber", "label", "prediction")
+    return model.transform(test).select("l_orderkey", "l_linenumber", "label",
+                                        F.round("prediction", 1).alias("prediction"))
 
 
 @query("linreg_report")
