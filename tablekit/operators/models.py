@@ -143,11 +143,22 @@ def int_id_columns(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, dict
 
 
 def als(train: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
-        rank: int = 10, max_iter: int = 5, reg_param: float = 0.1, seed: int = 42):
-    """I8: explicit-feedback ALS; unknown ids predict NaN (cold start ``nan``)."""
-    return _fit(ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=user,
-                    itemCol=item, ratingCol=rating, seed=seed, coldStartStrategy="nan"),
-                train)
+        rank: int = 10, max_iter: int = 5, reg_param: float = 0.1, seed: int = 42,
+        blocks: int | None = None):
+    """I8: explicit-feedback ALS; unknown ids predict NaN (cold start ``nan``).
+
+    ALS caches its own user/item rating blocks, so the input is not persisted
+    again here. Users and items are split into ``blocks`` blocks each (default:
+    the cluster's default parallelism, so every core works on a block).
+    """
+    if blocks is None:
+        try:
+            blocks = train.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - remote session
+            blocks = 10
+    return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=user, itemCol=item,
+               ratingCol=rating, seed=seed, coldStartStrategy="nan",
+               numUserBlocks=blocks, numItemBlocks=blocks).fit(train)
 
 
 def factors(model, which: str = "user") -> DataFrame:

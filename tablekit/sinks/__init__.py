@@ -80,6 +80,15 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` into the session's checkpoint folder (shared storage on a
+    cluster) and continue from the written copy: later jobs neither recompute
+    its lineage nor lose it with an executor."""
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @contextmanager
 def persisted(df: DataFrame):
     """A20 for a bounded span: the frame is kept while several passes
@@ -94,4 +103,4 @@ def persisted(df: DataFrame):
 
 __all__ = ["write_key_value_text", "read_key_value_text", "load_overwrite",
            "insert_overwrite", "write_bucketed", "preview",
-           "take_bounded", "cached", "persisted"]
+           "take_bounded", "cached", "persisted", "cut_lineage"]
