@@ -21,6 +21,11 @@ INT_MAX = 2**31 - 1
 
 
 def _fit(estimator, train: DataFrame):
+    """Fit on a persisted training set; a frame the caller already keeps is
+    used as it is (and left persisted)."""
+    level = train.storageLevel
+    if level.useMemory or level.useDisk:
+        return estimator.fit(train)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(train)

@@ -638,12 +638,14 @@ def q_linreg_report(spark, sf_dir):
     """One-feature least squares over all rows: slope, intercept, R^2."""
     li = T(spark, sf_dir, "lineitem").select("l_quantity",
                                              F.col("l_extendedprice").alias("label"))
-    v = vectors.assemble(li, ["l_quantity"])
-    model = models.linear_regression(v)
-    r2 = evaluate.r2(model.transform(v))
-    return r2.select(F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
-                     F.round(F.lit(float(model.intercept)), 4).alias("intercept"),
-                     F.round("r2", 8).alias("r2"))
+    with sinks.persisted(vectors.assemble(li, ["l_quantity"])) as kept:  # fit and R^2
+        model = models.linear_regression(kept)
+        r2 = evaluate.r2(model.transform(kept)).first()["r2"]
+    report = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept),
+                                     float(r2))], "slope double, intercept double, r2 double")
+    return report.select(F.round("slope", 4).alias("slope"),
+                         F.round("intercept", 4).alias("intercept"),
+                         F.round("r2", 8).alias("r2"))
 
 
 @query("linreg_coefficients")
