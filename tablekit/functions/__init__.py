@@ -1,7 +1,7 @@
 """Column-level functions: parsing, recoding, text, vectors."""
 
 from .parse import (LONG_TEXT, impute_sentinel, indicators, numeric_columns,
-                    parse_long_or_zero, recode_binary, to_double)
+                    parse_long_or_zero, recode_binary, round_half_away, to_double)
 from .text import (PUNCTUATION_CLASS, TOKENIZER_DELIMITERS, contains, explode_tokens,
                    java_split,
                    join_sorted, lower_tokens, normalize_lines, remove_char, space_tokens,
@@ -10,7 +10,7 @@ from .vectors import array_as_vector, assemble, unpack
 
 __all__ = [
     "LONG_TEXT", "impute_sentinel", "indicators", "numeric_columns", "parse_long_or_zero",
-    "recode_binary", "to_double", "PUNCTUATION_CLASS", "TOKENIZER_DELIMITERS", "contains",
+    "recode_binary", "round_half_away", "to_double", "PUNCTUATION_CLASS", "TOKENIZER_DELIMITERS", "contains",
     "explode_tokens", "java_split", "join_sorted", "lower_tokens", "normalize_lines", "remove_char",
     "space_tokens", "strip_punctuation", "whitespace_tokens", "array_as_vector",
     "assemble", "unpack",

@@ -53,3 +53,17 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     """Numeric columns decided by the schema, not by a first-row probe."""
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
+def round_half_away(c: Column | str, digits: int) -> Column:
+    """``round(x, digits)`` on doubles as plain double arithmetic: the nearest
+    multiple of ``10^-digits`` (``x * 10^digits`` rounded half away from zero,
+    divided back), with -0.0 made 0.0. Stays in generated code, unlike the
+    decimal-based ``round``; NaN and infinities pass through, and values too
+    large to carry that many digits are returned unchanged.
+    """
+    x = _c(c).cast("double")
+    m = 10.0 ** digits
+    y = F.abs(x) * F.lit(m)
+    r = F.signum(x) * F.floor(y + F.lit(0.5)).cast("double") / F.lit(m) + F.lit(0.0)
+    return F.when(F.isnan(x) | (y >= F.lit(2.0 ** 52)), x).otherwise(r)

@@ -387,7 +387,7 @@ def q_filtered_sum(spark, sf_dir):
     """Sum over the rows with a string key equal to a constant."""
     c = T(spark, sf_dir, "customer")
     s = relational.filtered_sum(c, F.col("c_mktsegment") == SEGMENT, "c_acctbal")
-    return s.select(F.round("total", 2).alias("total"))
+    return s.select(parse.round_half_away("total", 2).alias("total"))
 
 
 @query("grouped_sum")
@@ -396,7 +396,7 @@ def q_grouped_sum(spark, sf_dir):
     per_key = relational.sum_by_key(T(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal")
     nation = T(spark, sf_dir, "nation")
     j = per_key.join(nation, per_key.c_nationkey == nation.n_nationkey)
-    return j.select("n_name", F.round("total", 2).alias("total"))
+    return j.select("n_name", parse.round_half_away("total", 2).alias("total"))
 
 
 @query("sql_grouped_sum")
@@ -505,15 +505,15 @@ def q_summary_stats(spark, sf_dir):
     """describe() of every numeric column, one aggregation pass."""
     li, cols = _lineitem_numeric(spark, sf_dir)
     s = profile.summary_stats(li, cols)
-    return s.select("column", "count", F.round("mean", 6).alias("mean"),
-                    F.round("stddev", 6).alias("stddev"), "min", "max")
+    return s.select("column", "count", parse.round_half_away("mean", 6).alias("mean"),
+                    parse.round_half_away("stddev", 6).alias("stddev"), "min", "max")
 
 
 @query("mean_std")
 def q_mean_std(spark, sf_dir):
     """Mean and stddev vectors of the measures, one row."""
     m = profile.mean_std(T(spark, sf_dir, "lineitem"), LINEITEM_MEASURES)
-    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+    return m.select(*[parse.round_half_away(c, 6).alias(c) for c in m.columns])
 
 
 @query("corr_with_target")
@@ -521,7 +521,7 @@ def q_corr_with_target(spark, sf_dir):
     """Correlation of every numeric column with the price."""
     li, cols = _lineitem_numeric(spark, sf_dir)
     r = profile.corr_with_target(li, "l_extendedprice", cols)
-    return r.select("column", F.round("corr", 8).alias("corr"))
+    return r.select("column", parse.round_half_away("corr", 8).alias("corr"))
 
 
 @query("center_scale")
@@ -530,7 +530,7 @@ def q_center_scale(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem")
     s = profile.center_scale(li, LINEITEM_MEASURES, keep=["l_orderkey", "l_linenumber"])
     return s.select("l_orderkey", "l_linenumber",
-                    *[F.round(c, 6).alias(c) for c in LINEITEM_MEASURES])
+                    *[parse.round_half_away(c, 6).alias(c) for c in LINEITEM_MEASURES])
 
 
 @query("vector_roundtrip")
@@ -564,8 +564,8 @@ def q_index_numeric_label(spark, sf_dir):
 def q_tf_idf(spark, sf_dir):
     """H3 H4: term frequency and IDF per (item, term) of the benchmark texts."""
     t = features.tf_idf_table(T(spark, sf_dir, "benchmark"), "item_id", "text")
-    return t.select("item_id", "term", "tf", "df", F.round("idf", 8).alias("idf"),
-                    F.round("tf_idf", 8).alias("tf_idf"))
+    return t.select("item_id", "term", "tf", "df", parse.round_half_away("idf", 8).alias("idf"),
+                    parse.round_half_away("tf_idf", 8).alias("tf_idf"))
 
 
 PCA_COLS = ["l_quantity", "l_discount"]
@@ -579,8 +579,8 @@ def q_pca_2d(spark, sf_dir):
     model = features.fit_pca(v, "features", 2)
     comps = features.pca_sign_fixed(model)
     out = features.pca_project(li, PCA_COLS, comps, keep=["l_orderkey", "l_linenumber"])
-    return out.select("l_orderkey", "l_linenumber", F.round("pc1", 4).alias("pc1"),
-                      F.round("pc2", 4).alias("pc2"))
+    return out.select("l_orderkey", "l_linenumber", parse.round_half_away("pc1", 4).alias("pc1"),
+                      parse.round_half_away("pc2", 4).alias("pc2"))
 
 
 # ---------------------------------------------------------------- models
@@ -613,8 +613,8 @@ def q_nb_flags(spark, sf_dir):
     v = vectors.assemble(flags, NB_LANGS)
     model = models.naive_bayes().fit(v)
     p = models.naive_bayes_params(spark, model, NB_LANGS)
-    return p.select("label", "feature", F.round("log_prior", 8).alias("log_prior"),
-                    F.round("log_theta", 8).alias("log_theta"))
+    return p.select("label", "feature", parse.round_half_away("log_prior", 8).alias("log_prior"),
+                    parse.round_half_away("log_theta", 8).alias("log_theta"))
 
 
 LINREG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -630,7 +630,7 @@ def q_linreg(spark, sf_dir):
     train, test = relational.hash_split(v, ["l_orderkey", "l_linenumber"], [0.9, 0.1])
     model = models.linear_regression(train)
     return model.transform(test).select("l_orderkey", "l_linenumber", "label",
-                                        F.round("prediction", 1).alias("prediction"))
+                                        parse.round_half_away("prediction", 1).alias("prediction"))
 
 
 @query("linreg_report")
@@ -643,9 +643,9 @@ def q_linreg_report(spark, sf_dir):
         r2 = evaluate.r2(model.transform(kept)).first()["r2"]
     report = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept),
                                      float(r2))], "slope double, intercept double, r2 double")
-    return report.select(F.round("slope", 4).alias("slope"),
-                         F.round("intercept", 4).alias("intercept"),
-                         F.round("r2", 8).alias("r2"))
+    return report.select(parse.round_half_away("slope", 4).alias("slope"),
+                         parse.round_half_away("intercept", 4).alias("intercept"),
+                         parse.round_half_away("r2", 8).alias("r2"))
 
 
 @query("linreg_coefficients")
@@ -655,7 +655,7 @@ def q_linreg_coefficients(spark, sf_dir):
                                              F.col("l_extendedprice").alias("label"))
     model = models.linear_regression(vectors.assemble(li, LINREG_FEATURES))
     rep = models.regression_report(spark, model, LINREG_FEATURES)
-    return rep.select("term", F.round("value", 4).alias("value"))
+    return rep.select("term", parse.round_half_away("value", 4).alias("value"))
 
 
 def _embeddings(spark, sf_dir):
@@ -772,7 +772,7 @@ def _rule_predictions(spark, sf_dir):
 def q_accuracy(spark, sf_dir):
     """Accuracy of the long-document rule against the quality label."""
     a = evaluate.accuracy(_rule_predictions(spark, sf_dir))
-    return a.select(F.round("accuracy", 10).alias("accuracy"))
+    return a.select(parse.round_half_away("accuracy", 10).alias("accuracy"))
 
 
 @query("confusion")
@@ -869,7 +869,7 @@ def q_udf_agg(spark, sf_dir):
     """L4: user fold per key with a map-side combine."""
     o = T(spark, sf_dir, "orders")
     s = udfs.fold_by_key(o, "o_orderstatus", "o_totalprice", _series_sum, out="total")
-    return s.select("o_orderstatus", F.round("total", 2).alias("total"))
+    return s.select("o_orderstatus", parse.round_half_away("total", 2).alias("total"))
 
 
 def queries() -> dict[str, QueryFn]:

@@ -78,3 +78,17 @@ def test_distinct_set_line_brute_force(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "c string")
     got = relational.distinct_set_line(df, "c").first()[0]
     assert got == ",".join(sorted({v for v in values if v is not None}))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.floats(min_value=-1e9, max_value=1e9, allow_nan=False), min_size=1,
+                max_size=50), st.integers(min_value=0, max_value=8))
+def test_round_half_away_equals_sql_round(spark, xs, digits):
+    import duckdb
+    from tablekit.functions import round_half_away
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "i int, x double")
+    got = [r.r for r in df.orderBy("i").select(round_half_away("x", digits).alias("r")).collect()]
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT round(?::DOUBLE, {digits}) + 0.0", [float(x)]).fetchone()[0]
+            for x in xs]
+    assert got == want
