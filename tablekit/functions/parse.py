@@ -59,11 +59,13 @@ def round_half_away(c: Column | str, digits: int) -> Column:
     """``round(x, digits)`` on doubles as plain double arithmetic: the nearest
     multiple of ``10^-digits`` (``x * 10^digits`` rounded half away from zero,
     divided back), with -0.0 made 0.0. Stays in generated code, unlike the
-    decimal-based ``round``; NaN and infinities pass through, and values too
-    large to carry that many digits are returned unchanged.
+    decimal-based ``round``; NaN and infinities pass through, and so does a
+    value whose scaled form overflows. At or above 2^52 ``x * 10^digits`` is
+    already a whole number, so it is only divided back.
     """
     x = _c(c).cast("double")
-    m = 10.0 ** digits
-    y = F.abs(x) * F.lit(m)
-    r = F.signum(x) * F.floor(y + F.lit(0.5)).cast("double") / F.lit(m) + F.lit(0.0)
-    return F.when(F.isnan(x) | (y >= F.lit(2.0 ** 52)), x).otherwise(r)
+    m = F.lit(10.0 ** digits)
+    y = F.abs(x) * m
+    whole = F.when(y >= F.lit(2.0 ** 52), y).otherwise(F.floor(y + F.lit(0.5)).cast("double"))
+    r = F.signum(x) * whole / m + F.lit(0.0)
+    return F.when(F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), x).otherwise(r)
