@@ -3,6 +3,8 @@
 Each query is run once to warm up, then timed $BENCH_RUNS times (default 3);
 the median is reported. A run executes the whole plan and discards the rows
 through the ``noop`` sink, so no result is pulled to the driver.
+$BENCH_QUERIES (comma list) picks queries; $BENCH_EVENT_LOG (a folder) writes
+Spark's event log, for stage and task times.
 
 Prints one JSON line:
 {"metric": "sum_of_median_query_seconds", "value": N, "unit": "sec",
@@ -38,9 +40,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # a folder: stage/task times per query
+    if event_log:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = get_session(f"local[{cpus}]", app="tablekit-bench",
-                        shuffle_partitions=int(cpus) * 2,
-                        extra={"spark.driver.memory": "16g"})
+                        shuffle_partitions=int(cpus) * 2, extra=extra)
     qs = queries()
     times: dict[str, float] = {}
     for name in only or HEADLINE:
