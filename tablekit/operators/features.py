@@ -82,6 +82,37 @@ def fit_pca(df: DataFrame, features: str, k: int):
     return PCA(k=k, inputCol=features, outputCol="__pca").fit(df)
 
 
+def fit_pca_columns(df: DataFrame, cols: list[str], k: int) -> list[list[float]]:
+    """H5 on plain columns: the top-``k`` principal components, sign-fixed.
+
+    One aggregation pass computes the sample covariance of every column pair
+    (built-in ``covar_samp``, partial per task); the d x d matrix (d = number
+    of columns, not rows) is decomposed on the driver. Same components as
+    Spark ML's PCA (eigenvectors of the centred covariance by decreasing
+    eigenvalue) without turning rows into vector objects.
+    """
+    import numpy as np
+    d = len(cols)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    row = df.agg(*[F.covar_samp(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
+                   .alias(f"c{i}_{j}") for i, j in pairs]).first()
+    cov = np.zeros((d, d))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
+    values, vectors = np.linalg.eigh(cov)
+    order = np.argsort(values)[::-1][:k]
+    return _sign_fixed([[float(vectors[i, j]) for i in range(d)] for j in order])
+
+
+def _sign_fixed(components: list[list[float]]) -> list[list[float]]:
+    out = []
+    for v in components:
+        big = max(range(len(v)), key=lambda i: abs(v[i]))
+        s = -1.0 if v[big] < 0 else 1.0
+        out.append([s * x for x in v])
+    return out
+
+
 def pca_sign_fixed(model) -> list[list[float]]:
     """Components as columns of a d x k matrix, each with its largest-magnitude
     entry made positive so results are reproducible across solvers."""

@@ -575,9 +575,7 @@ PCA_COLS = ["l_quantity", "l_discount"]
 def q_pca_2d(spark, sf_dir):
     """H5: two principal components of two measures, signs fixed."""
     li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *PCA_COLS)
-    v = vectors.assemble(li, PCA_COLS)
-    model = features.fit_pca(v, "features", 2)
-    comps = features.pca_sign_fixed(model)
+    comps = features.fit_pca_columns(li, PCA_COLS, 2)
     out = features.pca_project(li, PCA_COLS, comps, keep=["l_orderkey", "l_linenumber"])
     return out.select("l_orderkey", "l_linenumber", parse.round_half_away("pc1", 4).alias("pc1"),
                       parse.round_half_away("pc2", 4).alias("pc2"))
@@ -684,12 +682,14 @@ def q_random_forest_pca(spark, sf_dir):
     """PCA(3) of four measures, indexed return flag, random forest."""
     li = T(spark, sf_dir, "lineitem", heavy=True).select(
         "l_orderkey", "l_linenumber", "l_returnflag", *LINEITEM_MEASURES)
-    v = vectors.assemble(li, LINEITEM_MEASURES)
-    with sinks.persisted(v) as kept:  # PCA, indexer and forest fits reuse it
-        pca = features.fit_pca(kept, "features", 3)
-        p, _ = features.string_index(pca.transform(kept), "l_returnflag", "indexed")
+    with sinks.persisted(li) as kept:  # PCA, indexer and forest fits reuse it
+        comps = features.fit_pca_columns(kept, LINEITEM_MEASURES, 3)
+        pcs = features.pca_project(kept, LINEITEM_MEASURES, comps,
+                                   keep=["l_orderkey", "l_linenumber", "l_returnflag"])
+        v = vectors.assemble(pcs, ["pc1", "pc2", "pc3"], out="pcaFeatures")
+        p, _ = features.string_index(v, "l_returnflag", "indexed")
         train, test = relational.hash_split(p, ["l_orderkey", "l_linenumber"], [0.7, 0.3])
-        rf = models.random_forest(train, features="__pca", label="indexed")
+        rf = models.random_forest(train, features="pcaFeatures", label="indexed")
     return rf.transform(test).select("l_orderkey", "l_linenumber", "indexed", "prediction")
 
 

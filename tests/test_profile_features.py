@@ -85,3 +85,13 @@ def test_vector_round_trip(spark):
     df = frame(spark)
     back = unpack(assemble(df, ["a", "b"]), "features", ["a2", "b2"], keep=["a", "b"])
     assert all(r.a == r.a2 and r.b == r.b2 for r in back.collect())
+
+
+def test_pca_columns_equals_spark_ml_pca(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double, d double")
+    ours = np.array(features.fit_pca_columns(df, ["a", "b", "c", "d"], 3))
+    model = features.fit_pca(assemble(df, ["a", "b", "c", "d"]), "features", 3)
+    theirs = np.array(features.pca_sign_fixed(model))
+    assert np.allclose(ours, theirs, atol=1e-9)
