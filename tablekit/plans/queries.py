@@ -584,10 +584,12 @@ def q_pca_2d(spark, sf_dir):
 # ---------------------------------------------------------------- models
 
 def _labelled_docs(spark, sf_dir):
-    d = T(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "lang")
+    """Documents with a quality label; spread after the join, so only labelled
+    texts move (a no-op for inputs of many splits)."""
+    d = T(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     lab = T(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double")
                                             .alias("label"))
-    return d.join(lab, "doc_id")
+    return tables.spread(d.join(lab, "doc_id"), keys=["doc_id"])
 
 
 @query("text_nb")
