@@ -17,6 +17,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.literal import literal_table
+
 INT_MAX = 2**31 - 1
 
 
@@ -46,7 +48,7 @@ def regression_report(spark: SparkSession, model, names: list[str]) -> DataFrame
     """Coefficients and intercept as a table ``(term, value)``."""
     rows = [(n, float(v)) for n, v in zip(names, model.coefficients.toArray())]
     rows.append(("intercept", float(model.intercept)))
-    return spark.createDataFrame(rows, "term string, value double")
+    return literal_table(spark, rows, "term string, value double")
 
 
 # ---- I3/I4 decision tree, I5 random forest ---------------------------------------
@@ -60,9 +62,9 @@ def decision_tree(train: DataFrame, features: str = "features", label: str = "la
 
 def tree_report(spark: SparkSession, model) -> DataFrame:
     """I4: node count, depth and the printed rules, one row."""
-    return spark.createDataFrame([(int(model.numNodes), int(model.depth),
-                                   model.toDebugString)],
-                                 "num_nodes int, depth int, rules string")
+    return literal_table(spark, [(int(model.numNodes), int(model.depth),
+                                  model.toDebugString)],
+                         "num_nodes int, depth int, rules string")
 
 
 def random_forest(train: DataFrame, features: str = "features", label: str = "label",
@@ -90,8 +92,8 @@ def naive_bayes_params(spark: SparkSession, model, feature_names: list[str]) ->
     labels = [float(i) for i in range(len(pi))]
     rows = [(labels[k], feature_names[j], float(pi[k]), float(theta[k, j]))
             for k in range(len(pi)) for j in range(len(feature_names))]
-    return spark.createDataFrame(rows, "label double, feature string, log_prior double, "
-                                       "log_theta double")
+    return literal_table(spark, rows, "label double, feature string, log_prior double, "
+                                      "log_theta double")
 
 
 # ---- I7/I11 k-means ---------------------------------------------------------------

@@ -641,8 +641,9 @@ def q_linreg_report(spark, sf_dir):
     with sinks.persisted(vectors.assemble(li, ["l_quantity"])) as kept:  # fit and R^2
         model = models.linear_regression(kept)
         r2 = evaluate.r2(model.transform(kept)).first()["r2"]
-    report = spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept),
-                                     float(r2))], "slope double, intercept double, r2 double")
+    report = literal.literal_table(spark, [(float(model.coefficients[0]),
+                                            float(model.intercept), float(r2))],
+                                   "slope double, intercept double, r2 double")
     return report.select(parse.round_half_away("slope", 4).alias("slope"),
                          parse.round_half_away("intercept", 4).alias("intercept"),
                          parse.round_half_away("r2", 8).alias("r2"))

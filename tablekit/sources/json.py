@@ -20,5 +20,6 @@ def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     Built from ``df.schema`` only: no data is read.
     """
+    from .literal import literal_table
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column string, type string, nullable boolean")
+    return literal_table(spark, rows, "column string, type string, nullable boolean")
