@@ -169,3 +169,12 @@ def test_second_comma_kept_or_cut(spark, tmp_dir):
     assert kept == [(0.0, "a,b"), (1.0, "win now"), (1.0, "x")]
     cut = [r.message for r in labelled_messages(lines, truncate_at_comma=True).collect()]
     assert cut == ["a", "win now", "x"]
+
+
+def test_literal_table_is_plan_literals(spark):
+    from tablekit.plans.explain import plan_text
+    df = literal_table(spark, [("F", "finished"), ("O", None)], "k string, label string")
+    plan = plan_text(df)
+    assert "ExistingRDD" not in plan and "EvalPython" not in plan
+    assert sorted((r.k, r.label) for r in df.collect()) == [("F", "finished"), ("O", None)]
+    assert literal_table(spark, [], "k string").count() == 0
