@@ -51,8 +51,9 @@ REVIEW = """
   `stream_word_count`): scan → explode → partial count → one hash shuffle of
   (word, partial count) → final count. Shuffle volume is distinct words per
   task, not words; a word that is a third of all tokens costs one row per
-  task. The round-robin step is present only because every test table is a
-  single row group (one split); inputs of many splits skip it.
+  task. The first exchange (a hash spread on the unique key `doc_id`) is
+  there only because every test table is a single row group (one split);
+  inputs of many splits skip it.
 - **Counts and sums by key** (`count_by_key`, `grouped_sum`, `sum_by_key_*`):
   the fact table is aggregated on the join key first, so the dimension joins
   see one row per key; dimensions are broadcast only under the 32 MB planned
