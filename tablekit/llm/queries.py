@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
+from .warc import read_archive, write_archive
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -53,3 +56,47 @@ GROUP BY w.doc_id
 @query("op7_ngram_jaccard", OP7_SQL)
 def _(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op1_embedding_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e)
+            / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9),
+r AS (SELECT a AS vec_id, b AS root FROM l UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.root = l.a),
+c AS (SELECT vec_id, min(root) AS root FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links,
+       least(e.vec_id, coalesce(c.root, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(c.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.vec_id = e.vec_id LEFT JOIN c ON c.vec_id = e.vec_id
+""")
+def _(spark, sf_dir):
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_warc_revisit", """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+                  sha1(coalesce(html, '')) AS h FROM pages WHERE page_id IS NOT NULL),
+b AS (SELECT page_id, payload_bytes, h,
+             list_reduce(list_transform(range(1, 41), lambda i: lpad(bin(instr('0123456789abcdef', substr(h, i, 1)) - 1), 4, '0')),
+                         lambda x, y: x || y) AS bits FROM p),
+d AS (SELECT page_id, payload_bytes,
+             array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (1 + 16 * substr(bits, 5 * k + 1, 1)::INT + 8 * substr(bits, 5 * k + 2, 1)::INT
+                  + 4 * substr(bits, 5 * k + 3, 1)::INT + 2 * substr(bits, 5 * k + 4, 1)::INT
+                  + substr(bits, 5 * k + 5, 1)::INT)::BIGINT, 1)), '') AS payload_digest FROM b),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+""")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "llm", "warc")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path)
