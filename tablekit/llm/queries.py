@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import langid, toxicity
+from .base import fixed_sample, fold
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
 from .warc import read_archive, write_archive
@@ -100,3 +103,38 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "llm", "warc")
     write_archive(table(spark, sf_dir, "pages"), path)
     return read_archive(spark, path)
+
+
+#: Rows that the language model never learns from: remainder 2 of 4.
+LANG_FOLDS, LANG_HELD_OUT = 4, 2
+
+
+@query("op10_langid")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    remainder = fold("doc_id", LANG_FOLDS)
+    model = langid.fit(docs.where(remainder != LANG_HELD_OUT), "text", "lang", "doc_id")
+    return langid.predict(model, docs, "doc_id", "text",
+                          [(remainder == LANG_HELD_OUT).alias("held_out")])
+
+
+#: Rows that the toxicity model never learns from: remainder 0 of 5.
+TOXIC_FOLDS, TOXIC_HELD_OUT = 5, 0
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with their toxicity label, without the held-out fold.
+
+    The bounded training sample is drawn from the labels, before texts are read.
+    """
+    learn = labels.where("doc_id is not null").where(fold("doc_id", TOXIC_FOLDS) != TOXIC_HELD_OUT)
+    learn = fixed_sample(learn.where("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id", toxicity.TRAIN_ROWS)
+    return docs.select("doc_id", "text", "lang").join(F.broadcast(learn), "doc_id")
+
+
+@query("op5_toxicity")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels")), "text", "toxic", "lang", "doc_id")
+    return toxicity.predict(model, docs, "doc_id", "text",
+                            [(fold("doc_id", TOXIC_FOLDS) == TOXIC_HELD_OUT).alias("held_out")])
