@@ -12,6 +12,7 @@ from . import langid, toxicity
 from .base import fixed_sample, fold
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
+from .url_filter import filter_urls
 from .warc import read_archive, write_archive
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +139,13 @@ def _(spark, sf_dir):
     model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels")), "text", "toxic", "lang", "doc_id")
     return toxicity.predict(model, docs, "doc_id", "text",
                             [(fold("doc_id", TOXIC_FOLDS) == TOXIC_HELD_OUT).alias("held_out")])
+
+
+#: The contract's rules: verdict, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query("op6_url_filter")
+def _(spark, sf_dir):
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
