@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, toxicity
-from .base import fixed_sample, fold
+from . import langid, lm_score, toxicity
+from .base import fixed_sample, fold, materialize
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
 from .url_filter import filter_urls
@@ -149,3 +149,13 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
 @query("op6_url_filter")
 def _(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op9_lm_score")
+def _(spark, sf_dir):
+    """Target corpus: documents labelled as good; background: all documents."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    target = materialize(docs.join(good, "doc_id", "left_semi").select("text"), "target")
+    models = lm_score.fit(docs.select("text"), target)
+    return lm_score.score(models, docs, "doc_id", "text")
