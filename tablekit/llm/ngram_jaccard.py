@@ -123,10 +123,12 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      "id long, n long, f1 long, f2 long, point binary, keys array<long>")
 
 
-def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` that are linked, checked by bound and then by sets."""
-    points = reps.select("id", "n", "point")
-    near = (pairs.join(points.toDF("a", "na", "pa"), "a").join(points.toDF("b", "nb", "pb"), "b"))
+def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that are linked, checked by bound and then by sets.
+
+    ``reps`` has the points, ``held`` the texts of all documents in pairs.
+    """
+    near = (pairs.join(reps.toDF("a", "na", "pa"), "a").join(reps.toDF("b", "nb", "pb"), "b"))
 
     def bound():
         def batch(rows: pa.RecordBatch):
@@ -139,8 +141,6 @@ def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([col["a"], col["b"]], ["a", "b"]).filter(pa.array(keep))
         return batch
     near = materialize(arrow_map(near, bound, "a long, b long"), "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = materialize(texts.join(wanted, "id", "left_semi"), "texts")
 
     def sets():
         kept: dict[int, np.ndarray] = {}
@@ -215,7 +215,7 @@ def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFr
     mixed = (rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                      F.count("*").alias("m"))
              .where("x <> y").select("key", F.ceil(F.col("m") / TILE).alias("parts")))
-    rows = (rows.join(mixed, "key").join(reps.select("id", "n", "point"), "id")
+    rows = (rows.join(mixed, "key").join(reps, "id")
             .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))))
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
@@ -239,19 +239,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = prof.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"))
     owner = materialize(prof.select("id", *same).join(first, same, "left")
                         .select("id", "n", F.coalesce("rep", "id").alias("rep")), "owners")
-    reps = materialize(prof.join(owner.where("n > 0 and id = rep").select("id").distinct(), "id", "left_semi")
-                       .dropDuplicates(["id"]).select("id", "n", "point", "keys"), "reps")
-    sigs = reps.select("id", F.explode("keys").alias("key"))
-    nodes = (sigs.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
-             .where("rep <> last").select("key", "rep"))
-    members = materialize(sigs.join(nodes, "key"), "members")
+    sigs = prof.select("id", F.explode("keys").alias("key"))
+    nodes = (sigs.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+             .where("low <> high").select("key"))
+    # Members of nodes, copies replaced by their representative.
+    rows = materialize(sigs.join(nodes, "key").join(owner.select("id", "rep").distinct(), "id")
+                       .select("key", F.col("rep").alias("id")).distinct(), "members")
+    ends = rows.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last")
+    members = materialize(rows.join(ends.select("key", "rep"), "key"), "members")
+    # Points and texts of the members alone; merge joins, as neither side has a bound.
+    wanted = materialize(members.select("id").distinct(), "wanted")
+    reps = materialize(prof.select("id", "n", "point").join(wanted.hint("merge"), "id", "left_semi")
+                       .dropDuplicates(["id"]), "points")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    texts = texts.where("id is not null")
+    held = materialize(texts.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "texts")
 
     star = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    links = verify(star, reps, texts)
+    links = verify(star, reps, held)
     comps = connected_components(links)
-    more = verify(cross_pairs(members, reps, comps), reps, texts)
+    more = verify(cross_pairs(members, reps, comps), reps, held)
     comps = connected_components(links.unionByName(more)).withColumnRenamed("id", "rep")
     return owner.join(comps, "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
