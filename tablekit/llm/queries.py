@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import langid, lm_score, toxicity
 from .base import fixed_sample, fold, materialize
+from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
 from .url_filter import filter_urls
@@ -159,3 +160,9 @@ def _(spark, sf_dir):
     target = materialize(docs.join(good, "doc_id", "left_semi").select("text"), "target")
     models = lm_score.fit(docs.select("text"), target)
     return lm_score.score(models, docs, "doc_id", "text")
+
+
+@query("op2_decontaminate")
+def _(spark, sf_dir):
+    """One row per contaminated document and benchmark item."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
