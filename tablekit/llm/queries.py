@@ -13,6 +13,7 @@ from .base import fixed_sample, fold, materialize
 from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
+from .pack import pack
 from .url_filter import filter_urls
 from .warc import read_archive, write_archive
 
@@ -166,3 +167,14 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """One row per contaminated document and benchmark item."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op4_pack")
+def _(spark, sf_dir):
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
