@@ -1,4 +1,17 @@
-"""Corpus pipeline: stages over ``documents``, each one of the llm operators."""
+"""Corpus pipeline: five stages over ``documents``, each one of the llm operators.
+
+1. language ID: documents without a dominant language, or without a letter, go;
+2. toxicity: documents predicted toxic go;
+3. n-gram Jaccard join: of each group of near copies the smallest id stays;
+4. benchmark decontamination: documents that hold a benchmark item go;
+5. packing: what is left becomes sequences of at most 2048 token ids.
+
+Every stage works on all that the stage before kept and, but for the last,
+returns the columns of ``documents``. Null and empty texts have no letter and
+go in stage 1 (if stages are called alone: they are no duplicates and hold no
+item). Rows with a null id can't be told apart and go in stage 1. Repeated rows
+of an id are one document and go or stay together. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +20,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.base import materialize
+from tablekit.llm import langid, toxicity
+from tablekit.llm.base import fold, materialize
+from tablekit.llm.decontaminate import contaminated
 from tablekit.llm.ngram_jaccard import jaccard_components
+from tablekit.llm.pack import pack
+from tablekit.llm.queries import LANG_FOLDS, LANG_HELD_OUT, labelled, table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.where("doc_id is not null")
+    model = langid.fit(docs.where(fold("doc_id", LANG_FOLDS) != LANG_HELD_OUT), "text", "lang", "doc_id")
+    kept = langid.predict(model, docs, "doc_id", "text", _carried(docs)).where("not rejected")
+    return _columns(kept, docs)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels")), "text", "toxic", "lang", "doc_id")
+    return _columns(toxicity.predict(model, docs, "doc_id", "text", _carried(docs)).where("predicted = 0"), docs)
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest id."""
-    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    gone = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+
+
+def _carried(docs: DataFrame) -> list:
+    """All columns but the id under names that no operator's output has."""
+    return [F.col(c).alias(f"__in_{i}") for i, c in enumerate(docs.columns) if c != "doc_id"]
+
+
+def _columns(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"__in_{i}").alias(c)
+                        for i, c in enumerate(docs.columns)))
 
 
-STAGES: list[tuple[str, Stage]] = [("ngram_jaccard", dedup)]
+STAGES: list[tuple[str, Stage]] = [("language_id", language), ("toxicity", toxic), ("ngram_jaccard", dedup),
+                                   ("decontamination", decontaminate), ("packing", packed)]
 
 #: Trained models and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL: str | None = None
@@ -27,7 +75,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each result is written as Parquet and read as the next input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
