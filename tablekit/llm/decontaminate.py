@@ -34,7 +34,8 @@ from .base import Texts, arrow_map, buffers, fixed_sample, materialize, slices
 from .words import BY_LETTER, words
 
 TERMS = 1 << 15
-WINDOW, STRIDE = 48, 24
+STRIDE = 24
+WINDOW = 2 * STRIDE
 ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 256, 256, 16, 1, 7
 #: Documents whose passages the SVD is fitted on, at most (about).
 FIT_ROWS, FIT_TASKS = 800, 4
@@ -76,16 +77,24 @@ def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, start, np.minimum(start + WINDOW, first[1:][text])
 
 
-def _run_sums(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Sums over windows from sums over blocks of ``STRIDE`` words between all edges."""
-    edges = np.unique(np.concatenate([start, stop]))
-    blocks = np.add.reduceat(values, edges[:-1], axis=0) if len(edges) > 1 else values[:0]
-    a, b = np.searchsorted(edges, start), np.searchsorted(edges, stop)
-    out = blocks[a].copy()
-    for k in range(1, int((b - a).max(initial=1))):
-        more = a + k < b
-        out[more] += blocks[(a + k)[more]]
-    return out
+def _block_sums(table: np.ndarray, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``table[t]`` over blocks of ``STRIDE`` words of each text, and each
+    text's first block. The last row of ``table`` is zero."""
+    size = np.diff(first)
+    many = -(-size // STRIDE)
+    lead = np.concatenate([[0], np.cumsum(many)])
+    text = np.repeat(np.arange(len(size)), many)
+    start = first[:-1][text] + (np.arange(lead[-1]) - lead[text]) * STRIDE
+    padded = np.append(t, np.full(STRIDE, len(table) - 1))
+    out = np.empty((lead[-1], table.shape[1]), table.dtype)
+    for k in range(0, lead[-1], 512):  # small enough for the processor's cache
+        at = start[k:k + 512, None] + np.arange(STRIDE)
+        own = np.where(at < first[1:][text[k:k + 512], None], padded[at], len(table) - 1)
+        sums = table[own[:, 0]]
+        for j in range(1, STRIDE):
+            sums += table[own[:, j]]
+        out[k:k + 512] = sums
+    return out, lead
 
 
 def _tfidf_rows(h: np.ndarray, idf: np.ndarray, start: np.ndarray, stop: np.ndarray):
@@ -99,6 +108,15 @@ def _tfidf_rows(h: np.ndarray, idf: np.ndarray, start: np.ndarray, stop: np.ndar
     return row, t, w / np.maximum(norm[row], 1e-12)
 
 
+def orthonormal(z: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns of a tall matrix, from its small Gram matrix."""
+    for _ in range(2):  # the second pass removes the first one's rounding
+        value, vector = np.linalg.eigh((z.T @ z).astype(np.float64))
+        some = value > max(value[-1], 1e-30) * 1e-9
+        z = z @ (vector[:, some] / np.sqrt(value[some])).astype(np.float32)
+    return z
+
+
 def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Right singular vectors ``(TERMS, RANK)`` of the weighted TF-IDF passages of
     ``rows`` (text, weight).
@@ -108,7 +126,7 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     terms; only matrices of ``TERMS x (RANK + OVERSAMPLE)`` reach the driver.
     """
     rank = RANK + OVERSAMPLE
-    q = np.linalg.qr(np.random.default_rng(SEED).normal(size=(TERMS, rank)).astype(np.float32))[0]
+    q = np.random.default_rng(SEED).normal(size=(TERMS, rank)).astype(np.float32)
 
     def table(terms: np.ndarray, values: np.ndarray) -> list[pa.Array]:
         return [pa.array(terms), pa.array([row.tobytes() for row in values], pa.binary())]
@@ -126,14 +144,12 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
                 for run in slices(part.column(0)):
                     h, first = words(run, BY_LETTER, True)
                     text, start, stop = _windows(first)
-                    for a in range(0, len(start), 1024):
-                        row, t, w = _tfidf_rows(h, idf, start[a:a + 1024], stop[a:a + 1024])
-                        w = (w * weight[run.rows][text[a:a + 1024]][row]).astype(np.float32)[:, None]
-                        edge = np.flatnonzero(np.diff(row, prepend=-1))
-                        y = np.add.reduceat(q[t] * w, edge, axis=0)
-                        order = np.argsort(t, kind="stable")
-                        lead = np.flatnonzero(np.diff(t[order], prepend=-1))
-                        out[t[order][lead]] += np.add.reduceat(y[row[order]] * w[order], lead, axis=0)
+                    for a in range(0, len(start), 128):
+                        row, t, w = _tfidf_rows(h, idf, start[a:a + 128], stop[a:a + 128])
+                        terms, at = np.unique(t, return_inverse=True)
+                        dense = np.zeros((len(start[a:a + 128]), len(terms)), np.float32)
+                        np.add.at(dense, (row, at), w * weight[run.rows][text[a:a + 128]][row])
+                        out[terms] += dense.T @ (dense @ q[terms])
                 hit = np.flatnonzero(out.any(1))
                 yield pa.RecordBatch.from_arrays(table(hit, out[hit]), ["t", "v"])
             return batch
@@ -142,7 +158,8 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
         z = np.zeros((TERMS, rank), np.float32)
         z[got["t"].to_numpy()] = np.frombuffer(b"".join(got["v"].to_pylist()), np.float32).reshape(-1, rank)
         if step < POWER:
-            q = np.linalg.qr(z)[0]
+            q = orthonormal(z)
+            rank = q.shape[1]
     small = (q.T @ z).astype(np.float64)                       # Q' A' A Q
     value, vector = np.linalg.eigh((small + small.T) / 2)
     return q @ vector[:, np.argsort(-value)[:RANK]].astype(np.float32)
@@ -208,8 +225,9 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
     rows = sample.select("text", F.lit(1.0).alias("weight")).unionByName(
         spark.createDataFrame(pa.table({"text": item_texts, "weight": [weight] * len(ident)})).coalesce(1))
     basis = randomised_svd(rows, idf)
-    weighted = (basis * idf[:, None]).astype(np.float32)
-    square = (idf ** 2).astype(np.float32)
+    weighted = np.zeros((TERMS + 1, basis.shape[1] + 1), np.float32)  # the last row is padding
+    weighted[:-1, :-1] = basis * idf[:, None]
+    weighted[:-1, -1] = idf ** 2
 
     size = np.array([len(x) for x in item_words])
     stop = np.cumsum(size)
@@ -227,9 +245,13 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
                 text, a, b = _windows(first)
                 if not len(a):
                     continue
-                t = term(h)
-                norm = np.sqrt(np.maximum(_run_sums(square[t], a, b), 1e-12))
-                latent = _latent(weighted, t, a, b) / norm[:, None]
+                sums, lead = _block_sums(weighted, term(h), first)
+                block = lead[text] + (a - first[:-1][text]) // STRIDE
+                both = np.flatnonzero(b - a > STRIDE)
+                latent = sums[block]
+                latent[both] += sums[block[both] + 1]
+                # The last coordinate is the sum of squared weights.
+                latent = latent[:, :-1] / np.sqrt(np.maximum(latent[:, -1:], 1e-12))
                 best: dict[tuple[int, int], tuple] = {}
                 cosine = latent @ queries.T
                 for x, y in zip(*np.nonzero(cosine >= COSINE)):
@@ -252,11 +274,3 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
         return batch
     return arrow_map(docs, make, out)
 
-
-def _latent(weighted: np.ndarray, t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Latent vectors of windows ``t[a:b]``, gathered in pieces of the words."""
-    out = np.empty((len(a), weighted.shape[1]), np.float32)
-    for k in range(0, len(a), 1024):
-        lo, hi = a[k], b[k:k + 1024].max()
-        out[k:k + 1024] = _run_sums(weighted[t[lo:hi]], a[k:k + 1024] - lo, b[k:k + 1024] - lo)
-    return out
