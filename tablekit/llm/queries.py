@@ -158,7 +158,8 @@ def _(spark, sf_dir):
     """Target corpus: documents labelled as good; background: all documents."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    target = materialize(docs.join(good, "doc_id", "left_semi").select("text"), "target")
+    # A merge join at every size: labelled ids have no bound that allows a broadcast.
+    target = materialize(docs.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
     models = lm_score.fit(docs.select("text"), target)
     return lm_score.score(models, docs, "doc_id", "text")
 
