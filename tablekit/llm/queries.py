@@ -14,6 +14,7 @@ from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
 from .pack import pack
+from .token_file import read_tokens, write_tokens
 from .url_filter import filter_urls
 from .warc import read_archive, write_archive
 
@@ -179,3 +180,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def _(spark, sf_dir):
     pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op3_token_file")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "llm", "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
