@@ -36,9 +36,9 @@ from .words import BY_LETTER, words
 TERMS = 1 << 15
 STRIDE = 24
 WINDOW = 2 * STRIDE
-ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 256, 256, 16, 1, 7
+ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 208, 224, 16, 1, 7
 #: Documents whose passages the SVD is fitted on, at most (about).
-FIT_ROWS, FIT_TASKS = 800, 4
+FIT_ROWS, FIT_TASKS = 400, 2
 COSINE = 0.3
 COVER, ANSWER, COVER_ANSWER = 0.6, 8, 0.5
 
@@ -129,12 +129,16 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     q = np.random.default_rng(SEED).normal(size=(TERMS, rank)).astype(np.float32)
 
     def table(terms: np.ndarray, values: np.ndarray) -> list[pa.Array]:
-        return [pa.array(terms), pa.array([row.tobytes() for row in values], pa.binary())]
+        # Half precision on the way: a subspace needs no more.
+        return [pa.array(terms), pa.array([row.tobytes() for row in values.astype(np.float16)], pa.binary())]
+
+    def rows_of(column: pa.ChunkedArray) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(-1, rank)
 
     def add(part: pa.Table) -> pa.Table:
         terms, at = np.unique(part["t"].to_numpy(), return_inverse=True)
         out = np.zeros((len(terms), rank), np.float32)
-        np.add.at(out, at, np.frombuffer(b"".join(part["v"].to_pylist()), np.float32).reshape(-1, rank))
+        np.add.at(out, at, rows_of(part["v"]))
         return pa.table(table(terms, out), names=["t", "v"])
 
     for step in range(POWER + 1):
@@ -156,7 +160,7 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
         parts = arrow_map(rows, make, "t long, v binary")
         got = parts.groupBy(F.pmod("t", F.lit(16))).applyInArrow(add, "t long, v binary").toArrow()
         z = np.zeros((TERMS, rank), np.float32)
-        z[got["t"].to_numpy()] = np.frombuffer(b"".join(got["v"].to_pylist()), np.float32).reshape(-1, rank)
+        z[got["t"].to_numpy()] = rows_of(got["v"])
         if step < POWER:
             q = orthonormal(z)
             rank = q.shape[1]
