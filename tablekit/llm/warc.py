@@ -124,6 +124,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                                  h["warc-payload-digest"].removeprefix("sha1:"),
                                  int(first.strip("<>").rsplit(":", 1)[-1]) if first else None,
                                  bytes(payload)))
+                if not rows:
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (
                         pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()))],
