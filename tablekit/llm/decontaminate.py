@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .base import Texts, arrow_map, buffers, fixed_sample, materialize, slices
 from .words import BY_LETTER, words
 
-TERMS = 1 << 15
+TERMS = 1 << 14
 STRIDE = 24
 WINDOW = 2 * STRIDE
 ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 208, 224, 16, 1, 7
@@ -142,7 +142,9 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
         return pa.table(table(terms, out), names=["t", "v"])
 
     for step in range(POWER + 1):
-        def make(q=q):
+        def make(sent=q.astype(np.float16)):  # a task's copy of the basis is small
+            q = sent.astype(np.float32)
+
             def batch(part: pa.RecordBatch):
                 out, weight = np.zeros((TERMS, rank), np.float32), part.column(1).to_numpy()
                 for run in slices(part.column(0)):
@@ -229,9 +231,8 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
     rows = sample.select("text", F.lit(1.0).alias("weight")).unionByName(
         spark.createDataFrame(pa.table({"text": item_texts, "weight": [weight] * len(ident)})).coalesce(1))
     basis = randomised_svd(rows, idf)
-    weighted = np.zeros((TERMS + 1, basis.shape[1] + 1), np.float32)  # the last row is padding
-    weighted[:-1, :-1] = basis * idf[:, None]
-    weighted[:-1, -1] = idf ** 2
+    sent = (basis * 32).astype(np.float16)  # half precision on the way to the tasks
+    basis = sent.astype(np.float32) / 32
 
     size = np.array([len(x) for x in item_words])
     stop = np.cumsum(size)
@@ -242,6 +243,10 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
     longest = int(size.max())
 
     def make():
+        weighted = np.zeros((TERMS + 1, sent.shape[1] + 1), np.float32)  # the last row is padding
+        weighted[:-1, :-1] = sent.astype(np.float32) / 32 * idf[:, None]
+        weighted[:-1, -1] = idf ** 2
+
         def batch(rows: pa.RecordBatch):
             ids = rows.column(1).to_numpy()
             for part in slices(rows.column(0)):
