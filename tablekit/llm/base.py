@@ -13,6 +13,8 @@ from ..session import scratch_path
 
 #: Bytes of text that one numpy pass handles (a longer single text is a pass of its own).
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch, and Spark's own default as it reports it.
+BATCH_BYTES, DEFAULT_BATCH = "8m", "67108864b"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -39,9 +41,21 @@ def fixed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < share)
 
 
+def bounded_batches(df: DataFrame) -> None:
+    """Lower Spark's default size of an Arrow batch (64 MB) to ``BATCH_BYTES``."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) == DEFAULT_BATCH:
+        conf.set(key, BATCH_BYTES)
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` with a state per task: ``make()`` gives the batch function."""
+    """``mapInArrow`` with a state per task: ``make()`` gives the batch function.
+
+    Batches of whole texts are kept at ``BATCH_BYTES`` for this session, unless it
+    sets a size of its own: they exist in the JVM and in Python at once.
+    """
+    bounded_batches(df)
     def run(batches):
         fn = make()
         for batch in batches:

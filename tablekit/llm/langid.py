@@ -42,7 +42,7 @@ ROUNDS, PENALTY = 8, 2.0
 #: Bytes of text inferred at once: small enough for the processor's cache.
 INFER_BYTES = 256 << 10
 #: A text whose largest share is lower has no dominant language.
-MIN_SHARE = 0.5
+MIN_SHARE = 0.3
 
 _SPACE = np.uint32(0x20)
 
@@ -174,10 +174,13 @@ def infer(model: Model, texts: Texts):
     return best, score, size
 
 
-def predict(model: Model, docs: DataFrame, id_col: str, text_col: str, keep: list[Column] | None = None) -> DataFrame:
-    """``(id_col, ..., lang_pred, score, n_langs, rejected)``; ``keep``: further columns."""
+def predict(model: Model, docs: DataFrame, id_col: str, text_col: str, keep: list[Column] | None = None,
+            with_text: bool = False) -> DataFrame:
+    """``(id_col, ..., lang_pred, score, n_langs, rejected)``; ``keep``: further
+    columns; ``with_text`` keeps the text as ``__text``."""
     docs = docs.select(F.col(text_col).alias("__text"), F.col(id_col), *(keep or []))
-    fields = docs.schema.fields[1:]
+    skip = 0 if with_text else 1
+    fields = docs.schema.fields[skip:]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def make():
@@ -191,7 +194,7 @@ def predict(model: Model, docs: DataFrame, id_col: str, text_col: str, keep: lis
                 score = np.where(known, score, 0.0)
                 drop = score < MIN_SHARE if model.langs else ~letters
                 yield pa.RecordBatch.from_arrays(
-                    [*(c[part.rows] for c in rows.columns[1:]), pa.array(named, pa.string()), pa.array(score),
+                    [*(c[part.rows] for c in rows.columns[skip:]), pa.array(named, pa.string()), pa.array(score),
                      pa.array(np.where(known, size, 0)), pa.array(drop)],
                     [f.name for f in fields] + ["lang_pred", "score", "n_langs", "rejected"])
         return batch

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices
+from .base import bounded_batches, slices
 from .tokens import encoder
 
 LENGTH = 2048
@@ -153,6 +153,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id
     """
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("id"))
     docs = docs.repartitionByRange("id").sortWithinPartitions("id")
+    bounded_batches(docs)
 
     def run(batches):
         stream = _Stream(tokenizer, end_id, TaskContext.get().partitionId())

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import idcoder
-from .base import arrow_map, slices
+from .base import arrow_map, bounded_batches, slices
 from .tokens import encoder
 
 #: Ids after which a frame is closed; a longer document is a frame of its own.
@@ -34,6 +34,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
     """Tokenise, append ``end_id`` to each document, and write in ascending id order."""
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("id"))
     docs = docs.repartitionByRange("id").sortWithinPartitions("id")
+    bounded_batches(docs)
 
     def run(batches):
         coder, shard = encoder(tokenizer), TaskContext.get().partitionId()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from .base import Texts
 
 #: Distinct pieces that one worker remembers; all are dropped when there are more.
-MEMORY = 1 << 20
+MEMORY = 1 << 19
 #: Bytes of pieces that one call of the tokenizer encodes.
 CALL_BYTES = 1 << 16
 
