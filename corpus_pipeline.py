@@ -33,13 +33,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.where("doc_id is not null")
     model = langid.fit(docs.where(fold("doc_id", LANG_FOLDS) != LANG_HELD_OUT), "text", "lang", "doc_id")
-    kept = langid.predict(model, docs, "doc_id", "text", _carried(docs)).where("not rejected")
+    kept = langid.predict(model, docs, "doc_id", "text", _carried(docs), with_text=True).where("not rejected")
     return _columns(kept, docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels")), "text", "toxic", "lang", "doc_id")
-    return _columns(toxicity.predict(model, docs, "doc_id", "text", _carried(docs)).where("predicted = 0"), docs)
+    kept = toxicity.predict(model, docs, "doc_id", "text", _carried(docs), with_text=True).where("predicted = 0")
+    return _columns(kept, docs)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,13 +58,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _carried(docs: DataFrame) -> list:
-    """All columns but the id under names that no operator's output has."""
-    return [F.col(c).alias(f"__in_{i}") for i, c in enumerate(docs.columns) if c != "doc_id"]
+    """All columns but id and text under names that no operator's output has."""
+    return [F.col(c).alias(f"__in_{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
 
 
 def _columns(out: DataFrame, docs: DataFrame) -> DataFrame:
-    return out.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"__in_{i}").alias(c)
-                        for i, c in enumerate(docs.columns)))
+    own = {"doc_id": "doc_id", "text": "__text"}
+    return out.select(*(F.col(own.get(c, f"__in_{i}")).alias(c) for i, c in enumerate(docs.columns)))
 
 
 STAGES: list[tuple[str, Stage]] = [("language_id", language), ("toxicity", toxic), ("ngram_jaccard", dedup),
