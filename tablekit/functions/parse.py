@@ -22,11 +22,6 @@ def parse_long_or_zero(c: Column | str) -> Column:
                       F.lit(0).cast("bigint"))
 
 
-def to_double(c: Column | str) -> Column:
-    """Strict cast; under ANSI a malformed value fails the job."""
-    return _c(c).cast("double")
-
-
 def recode_binary(c: Column | str, match: str, if_match: float, otherwise: float) -> Column:
     """``if_match`` when ``c == match`` else ``otherwise`` (nulls too)."""
     return F.when(_c(c) == F.lit(match), F.lit(float(if_match))).otherwise(

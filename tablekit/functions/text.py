@@ -61,12 +61,6 @@ def java_split(c: Column | str, sep: str) -> Column:
              .otherwise(F.split(trimmed, q, -1)))
 
 
-def explode_tokens(df: DataFrame, tokens: Column, out: str = "word",
-                   keep: list[str] | None = None) -> DataFrame:
-    """One row per token."""
-    return df.select(*(keep or []), F.explode(tokens).alias(out))
-
-
 def strip_punctuation(c: Column | str) -> Column:
     """Remove the punctuation/digit class of the book server."""
     return F.regexp_replace(_c(c), PUNCTUATION_CLASS, "")

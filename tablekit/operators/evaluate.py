@@ -22,11 +22,13 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
 
 def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction",
        out: str = "r2") -> DataFrame:
-    """``1 - SS_res / SS_tot`` (population form, as RegressionEvaluator)."""
+    """``1 - SS_res / SS_tot`` over the rows that have both values; null when
+    there are none or the label is constant."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    stats = pred.agg(F.sum((y - p) * (y - p)).alias("ss_res"),
+    both = pred.where(y.isNotNull() & p.isNotNull())
+    stats = both.agg(F.sum((y - p) * (y - p)).alias("ss_res"),
                      F.var_pop(y).alias("v"), F.count(F.lit(1)).alias("n"))
-    return stats.select((1 - F.col("ss_res") / (F.col("v") * F.col("n"))).alias(out))
+    return stats.select((1 - F.try_divide("ss_res", F.col("v") * F.col("n"))).alias(out))
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

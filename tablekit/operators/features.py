@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lower_tokens
+from ..functions.vectors import assemble
+from ..sinks import cut_lineage
+
+#: Tasks that share the rows of one term.
+SALTS = 8
 
 
 def string_index(df: DataFrame, col: str, out: str) -> tuple[DataFrame, object]:
@@ -58,21 +63,23 @@ def tf_idf_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """H3/H4 as a relational job: ``(id, term, tf, df, idf, tf_idf)``.
 
     Same tokens as ``Tokenizer`` and the IDF formula of Spark ML,
-    ``ln((m + 1) / (df + 1))`` with ``m`` documents. Term counts are a grouped
-    count on (doc, term); document frequencies a grouped count on term. The
-    document-frequency table has one row per distinct term, so it is joined
-    by Spark's size-checked strategy (broadcast while small, sort-merge beyond;
-    AQE splits the partitions of very frequent terms).
+    ``ln((m + 1) / (df + 1))`` with ``m`` documents. Term counts, a grouped count
+    on (doc, term), are written once: both the document frequencies and the
+    result read them, so texts are tokenised and shuffled once. The
+    document-frequency table has one row per distinct term and is joined on the
+    term and a salt (broadcast while small, sort-merge beyond).
     """
     docs = df.select(id_col, text_col).where(F.col(text_col).isNotNull())
-    m = docs.agg(F.count(F.lit(1)).alias("m"))
     terms = docs.select(id_col, F.explode(lower_tokens(text_col)).alias("term"))
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = cut_lineage(terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    m = docs.agg(F.count(F.lit(1)).alias("m"))
+    # A frequent term is in most documents: its rows go to SALTS tasks.
+    dfreq = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     # m is a scalar subquery: computed once, substituted as a value.
-    idf = dfreq.select("term", "df",
+    idf = dfreq.select("term", "salt", "df",
                        F.log((m.scalar() + 1) / (F.col("df") + 1)).alias("idf"))
-    return (tf.join(idf, "term")
+    return (tf.withColumn("salt", F.pmod(F.hash(id_col), F.lit(SALTS))).join(idf, ["term", "salt"])
               .select(id_col, "term", "tf", "df", "idf",
                       (F.col("tf") * F.col("idf")).alias("tf_idf")))
 
@@ -83,34 +90,11 @@ def fit_pca(df: DataFrame, features: str, k: int):
 
 
 def fit_pca_columns(df: DataFrame, cols: list[str], k: int) -> list[list[float]]:
-    """H5 on plain columns: the top-``k`` principal components, sign-fixed.
+    """H5 on plain columns: the estimator's top-``k`` components, sign-fixed.
 
-    One aggregation pass computes the sample covariance of every column pair
-    (built-in ``covar_samp``, partial per task); the d x d matrix (d = number
-    of columns, not rows) is decomposed on the driver. Same components as
-    Spark ML's PCA (eigenvectors of the centred covariance by decreasing
-    eigenvalue) without turning rows into vector objects.
+    Nulls fail the fit, as the estimator takes no partial vectors.
     """
-    import numpy as np
-    d = len(cols)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    row = df.agg(*[F.covar_samp(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
-                   .alias(f"c{i}_{j}") for i, j in pairs]).first()
-    cov = np.zeros((d, d))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    values, vectors = np.linalg.eigh(cov)
-    order = np.argsort(values)[::-1][:k]
-    return _sign_fixed([[float(vectors[i, j]) for i in range(d)] for j in order])
-
-
-def _sign_fixed(components: list[list[float]]) -> list[list[float]]:
-    out = []
-    for v in components:
-        big = max(range(len(v)), key=lambda i: abs(v[i]))
-        s = -1.0 if v[big] < 0 else 1.0
-        out.append([s * x for x in v])
-    return out
+    return pca_sign_fixed(fit_pca(assemble(df, cols, out="__v"), "__v", k))
 
 
 def pca_sign_fixed(model) -> list[list[float]]:

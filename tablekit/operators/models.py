@@ -14,13 +14,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sinks import cut_lineage
 from ..sources.literal import literal_table
 
-INT_MAX = 2**31 - 1
-
 
 def _fit(estimator, train: DataFrame):
     """Fit on a persisted training set; a frame the caller already keeps is
@@ -117,52 +116,40 @@ def cluster_scatter(predictions: DataFrame, features: str = "features",
 
 # ---- I8-I10 ALS ---------------------------------------------------------------------
 
-def int_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame | None]:
-    """ALS needs 32-bit ids. Keys inside the int range are cast; otherwise the
-    distinct keys get a dense index (zipWithIndex over the distinct keys: a
-    distributed numbering) and the mapping is joined back.
+#: Hash buckets that number distinct keys side by side.
+ID_BUCKETS = 1024
+
+
+def dense_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """ALS needs 32-bit ids: number the distinct keys of ``col`` from 0.
 
-    Returns the frame with ``out`` and the mapping (None when cast directly).
+    One path for every key type and range: distinct keys are numbered by their
+    order within hash buckets, each bucket starting where the one before ends
+    (sizes of ``ID_BUCKETS`` buckets are a bounded table). The numbering depends
+    on the keys alone, is written once and joined back. Null keys stay, with a
+    null id. Returns the frame with ``out`` and the mapping ``(col, out)``.
     """
-    df, maps = int_id_columns(df, {col: out})
-    return df, maps[col]
-
-
-def int_id_columns(df: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, dict]:
-    """``int_ids`` for several key columns with ONE pass for all key ranges."""
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    bounds = df.agg(*aggs).first()
-    maps: dict = {}
-    for c, out in cols.items():
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        if lo is None or (lo >= 0 and hi <= INT_MAX):
-            df = df.withColumn(out, F.col(c).cast("int"))
-            maps[c] = None
-            continue
-        keys = df.select(c).distinct()
-        mapping = (keys.rdd.map(lambda r: r[0]).zipWithIndex()
-                   .toDF([c, out]).withColumn(out, F.col(out).cast("int")))
-        df = df.join(mapping, c)
-        maps[c] = mapping
-    return df, maps
+    keys = (df.select(col).where(F.col(col).isNotNull()).distinct()
+              .withColumn("__b", F.pmod(F.xxhash64(col), F.lit(ID_BUCKETS))))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (keys.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+                  .select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")))
+    rank = F.row_number().over(Window.partitionBy("__b").orderBy(col))
+    mapping = cut_lineage(keys.join(F.broadcast(starts), "__b")
+                          .select(col, (F.col("__start") + rank - 1).cast("int").alias(out)))
+    return df.join(mapping, col, "left"), mapping
 
 
 def als(train: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
         rank: int = 10, max_iter: int = 5, reg_param: float = 0.1, seed: int = 42,
-        blocks: int | None = None):
+        blocks: int = 10):
     """I8: explicit-feedback ALS; unknown ids predict NaN (cold start ``nan``).
 
     ALS caches its own user/item rating blocks, so the input is not persisted
-    again here. Users and items are split into ``blocks`` blocks each (default:
-    the cluster's default parallelism, so every core works on a block).
+    again here. ``blocks`` (Spark's default) is part of the model: the same data
+    and seed give the same factors on any cluster. Rows with a null id are left out.
     """
-    if blocks is None:
-        try:
-            blocks = train.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - remote session
-            blocks = 10
+    train = train.where(F.col(user).isNotNull() & F.col(item).isNotNull())
     return ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol=user, itemCol=item,
                ratingCol=rating, seed=seed, coldStartStrategy="nan",
                numUserBlocks=blocks, numItemBlocks=blocks).fit(train)

@@ -8,19 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def summary_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, sample stddev, min, max per column, one row per column.
 
-    Values stay numeric (``describe`` turns them into strings).
+    Mean and deviation are numbers, null for columns that are not numeric. Min
+    and max are taken in the column's own type (text by its order, large
+    integers exactly) and shown as text, as columns differ in type.
     """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}")]
+        x = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(c).cast("string").alias(f"lo{i}"),
+                 F.max(c).cast("string").alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                      F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
@@ -39,8 +43,11 @@ def mean_std(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def safe_corr(a, b):
-    """Pearson correlation that gives NaN (not an error) for a constant column."""
+    """Pearson correlation over the rows where both columns are set; NaN (not an
+    error) for a constant column or fewer than two such rows."""
     a, b = F.col(a).cast("double"), F.col(b).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    a, b = F.when(both, a), F.when(both, b)
     r = F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
     return F.coalesce(r, F.lit(float("nan")))
 

@@ -7,11 +7,12 @@ holds a third of all rows costs one partial row per task, not a hot reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import parse_long_or_zero
-from ..functions.text import TOKENIZER_DELIMITERS
+from ..functions.text import TOKENIZER_DELIMITERS, join_sorted
 
 
 def word_count(df: DataFrame, text_col: str = "value", tokens: Column | None = None,
@@ -51,26 +52,23 @@ def sum_by_key_or_zero(df: DataFrame, key: str, text: Column | str,
     return df.groupBy(key).agg(F.sum(parse_long_or_zero(text)).alias(out))
 
 
-MAX_LINE_VALUES = 1_000_000
+def distinct_values(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """D4 as rows: the distinct non-null values of ``col``, sorted. Partial
+    distinct before the shuffle, then a range-partitioned sort: any number of
+    values, written by as many tasks."""
+    name = out or col
+    return df.select(F.col(col).alias(name)).where(F.col(name).isNotNull()).distinct().orderBy(name)
 
 
-def distinct_set_line(df: DataFrame, col: str, sep: str = ",", out: str = "values",
-                      max_values: int = MAX_LINE_VALUES) -> DataFrame:
+def distinct_set_line(df: DataFrame, col: str, sep: str = ",", out: str = "values") -> DataFrame:
     """The distinct values of ``col`` as one sorted, joined string.
 
     ``distinct`` runs first as a parallel shuffle on the value, so the final
-    one-row aggregate sees each value once. That row is the whole result by
-    definition, so its size is checked before it is built: a distributed count
-    of the distinct values must be at most ``max_values``; beyond it this
-    raises instead of gathering an unbounded set in one task (write the
-    distinct values with a sink instead).
+    aggregate sees each value once. Its result is one string by definition,
+    made lazily by one task; ``distinct_values`` gives the same values as rows.
     """
     vals = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
-    n = vals.count()
-    if n > max_values:
-        raise ValueError(f"{n} distinct values of {col!r} exceed the one-line bound "
-                         f"{max_values}")
-    return vals.agg(F.array_join(F.sort_array(F.collect_list("v")), sep).alias(out))
+    return vals.agg(join_sorted(F.collect_list("v"), sep).alias(out))
 
 
 def global_count(df: DataFrame, out: str = "n") -> DataFrame:
@@ -140,6 +138,38 @@ def sort_by(df: DataFrame, *cols) -> DataFrame:
     return df.orderBy(*cols)
 
 
+def order_report(df: DataFrame, key: str) -> DataFrame:
+    """E1/E2 evidence: rows, partitions that hold rows, and inversions of ``key`` in
+    the order in which ``df`` delivers its rows, within and between partitions.
+
+    Each partition keeps its extremes and its inversions, so only one row per
+    partition is compared across partitions.
+    """
+    key_type = df.schema[key].dataType.simpleString()
+
+    def runs(batches):
+        import pandas as pd
+        first = last = None
+        rows = inversions = 0
+        for pdf in batches:
+            keys = pdf[key]
+            if not len(keys):
+                continue
+            inversions += int((keys.to_numpy()[1:] < keys.to_numpy()[:-1]).sum())
+            inversions += int(last is not None and keys.iloc[0] < last)
+            first = keys.iloc[0] if first is None else first
+            last, rows = keys.iloc[-1], rows + len(keys)
+        if rows:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "first": [first], "last": [last],
+                                "n": [rows], "inner": [inversions]})
+    parts = df.select(key).mapInPandas(runs, f"part int, first {key_type}, last {key_type}, n bigint, inner bigint")
+    before = F.lag("last").over(Window.orderBy("part"))
+    parts = parts.withColumn("outer", (F.col("first") < before).cast("bigint"))
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                     F.coalesce(F.sum("inner"), F.lit(0)).alias("inversions_within"),
+                     F.coalesce(F.sum("outer"), F.lit(0)).alias("inversions_between"))
+
+
 def top_n(df: DataFrame, n: int, *order) -> DataFrame:
     """First ``n`` rows by an order (a top-n per task, then a merge)."""
     return df.orderBy(*order).limit(n)

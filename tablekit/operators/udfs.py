@@ -8,6 +8,7 @@ expressions cannot state. All of them move whole Arrow batches to Python
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,16 +36,18 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     return df.mapInPandas(run, schema)
 
 
-def fold_by_key(df: DataFrame, key: str, value: str,
-                fold: Callable[[pd.Series], float], out: str = "value",
-                merge: Callable[[pd.Series], float] | None = None) -> DataFrame:
+def fold_by_key(df: DataFrame, key: str, value: str, fold: Callable[[pd.Series], object],
+                out: str = "value", merge: Callable[[pd.Series], object] | None = None,
+                result_type: str = "double") -> DataFrame:
     """L4: a user fold per key with a map-side combine.
 
     Phase 1 (``mapInPandas``) folds each partition's rows per key; phase 2
     (grouped-aggregate ``pandas_udf``) folds the partials. A group in phase 2
     holds at most one partial per input partition, so a key that owns a third
     of all rows never sends its rows to one task. ``fold`` must be
-    associative (e.g. sum, min, max); ``merge`` defaults to ``fold``.
+    associative (e.g. sum, min, max, a joined set); ``merge`` defaults to
+    ``fold``. ``result_type`` is the type of partials and results: ``double``,
+    ``bigint`` (exact), ``string`` and other types of one value.
     """
     merge = merge or fold
     key_type = df.schema[key].dataType.simpleString()
@@ -58,13 +61,14 @@ def fold_by_key(df: DataFrame, key: str, value: str,
             acc = part if acc is None else (
                 pd.concat([acc, part]).groupby(level=0, dropna=False, sort=False).agg(merge))
         if acc is not None and len(acc):
-            yield pd.DataFrame({key: acc.index, "__partial": acc.to_numpy(dtype="float64")})
+            yield pd.DataFrame({name: pd.Series([None if pd.isna(x) else x for x in values], dtype=object)
+                                for name, values in ((key, acc.index), ("__partial", acc))})
 
-    partials = df.select(key, value).mapInPandas(partial, f"{key} {key_type}, __partial double")
+    partials = df.select(key, value).mapInPandas(partial, f"`{key}` {key_type}, __partial {result_type}")
 
-    @pandas_udf("double")
-    def merged(v: pd.Series) -> float:
-        return float(merge(v))
+    @pandas_udf(result_type)
+    def merged(v: pd.Series) -> Any:
+        return merge(v)
 
     return partials.groupBy(key).agg(merged(F.col("__partial")).alias(out))
 

@@ -5,9 +5,10 @@ Spark's (decimal based) round gives 0.0.
 
 Used by the correctness check: each statement runs on the same parquet
 tables (views named after the tables) and must give the same multiset of
-rows as the Spark query. Queries whose result is a fitted model's output
-(trees, forests, k-means, ALS, hashed naive Bayes) have no oracle; they are
-checked by invariants in the tests.
+rows as the Spark query. Queries over fitted models (trees, forests, k-means,
+ALS, hashed naive Bayes) return facts that SQL can state beside the model's
+own: which rows are predicted, their labels, and whether the model's relations
+hold (a centre is the nearest, a prediction is the factors' product).
 """
 
 from __future__ import annotations
@@ -48,16 +49,23 @@ def _summary_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _mixed_summary_sql() -> str:
+    parts = []
+    for c, number in (("c_custkey", True), ("c_name", False), ("c_nationkey", True), ("c_acctbal", True),
+                      ("c_mktsegment", False)):
+        mean, dev = (f"(round({f}(CAST({c} AS DOUBLE)), 6) + 0.0)" if number else "CAST(NULL AS DOUBLE)"
+                     for f in ("avg", "stddev_samp"))
+        parts.append(f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", {mean} AS mean, "
+                     f"{dev} AS stddev, CAST(min({c}) AS VARCHAR) AS \"min\", CAST(max({c}) AS VARCHAR) AS \"max\" "
+                     "FROM customer")
+    return " UNION ALL ".join(parts)
+
+
 def _corr_sql(target: str = "l_extendedprice") -> str:
     parts = []
-    t = f"CAST({target} AS DOUBLE)"
     for c in LINEITEM_NUMERIC:
-        x = f"CAST({c} AS DOUBLE)"
-        den = f"(stddev_samp({t}) * stddev_samp({x}))"
-        parts.append(
-            f"SELECT '{c}' AS \"column\", (round(CASE WHEN {den} = 0 OR {den} IS NULL "
-            f"THEN 'NaN'::DOUBLE ELSE covar_samp({t}, {x}) / {den} END, 8) + 0.0) AS corr "
-            f"FROM lineitem")
+        parts.append(f"SELECT '{c}' AS \"column\", (round(coalesce(corr({target}, {c}), 'NaN'::DOUBLE), 8) "
+                     f"+ 0.0) AS corr FROM lineitem")
     return " UNION ALL ".join(parts)
 
 
@@ -174,11 +182,22 @@ RULE = ("SELECT CAST(l.quality AS DOUBLE) AS label, "
         "CAST(CASE WHEN d.n_chars >= 2000 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction "
         "FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 
+def _bucket(*keys: str) -> str:
+    """The md5 bucket 0..9999 of the stable split."""
+    text = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % 10000)"
+
+
+RATINGS = ("r AS (SELECT *, " + _bucket("u", "i") + " AS b FROM (SELECT o.o_custkey AS u, l.l_partkey AS i, "
+           "sum(l.l_quantity) AS q FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2))")
+
+JSON_DATE = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate"
+
 ORACLES: dict[str, str] = {
     "word_count": WORD_COUNT,
     "word_count_sink": WORD_COUNT,
     "text_scan": ALL_LINES,
-    "min_partition_scan": f"SELECT CAST(count(*) AS BIGINT) AS n FROM ({ALL_LINES})",
+    "min_partition_scan": f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(16 AS BIGINT) AS partitions FROM ({ALL_LINES})",
     "drop_header_equal": (f"WITH lines AS {LINES} SELECT doc_id, line_no, value FROM lines "
                           "WHERE value <> (SELECT value FROM lines ORDER BY doc_id, line_no "
                           "LIMIT 1)"),
@@ -198,30 +217,30 @@ ORACLES: dict[str, str] = {
     "typed_delimited": CUSTOMER,
     "split_typed": CUSTOMER,
     "semicolon_quoted": CUSTOMER,
+    "semicolon_stripped": ("SELECT c_custkey, replace(c_name, '\"', '') AS name, 'x' AS extra, "
+                           "c_mktsegment AS segment FROM customer"),
     "quoted_lines_parse": (
         "SELECT p[1] AS key_text, p[2] AS name, p[3] AS nation_text, p[5] AS segment_text "
         "FROM (SELECT string_split('\"' || concat_ws('\",\"', CAST(c_custkey AS VARCHAR), "
         "c_name, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment) "
         "|| '\"', '\",\"') AS p FROM customer)"),
     "message_lines_parse": (
-        "SELECT CAST(CASE WHEN l.quality = 1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
-        "replace(d.text, chr(10), ' ') AS message FROM documents d "
-        "JOIN labels l ON d.doc_id = l.doc_id"),
+        "SELECT CAST(CASE WHEN lang = 'en' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
+        "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS message FROM documents"),
     "message_lines_truncated": (
-        "SELECT CAST(CASE WHEN l.quality = 1 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
-        "string_split(replace(d.text, chr(10), ' '), ',')[1] AS message FROM documents d "
-        "JOIN labels l ON d.doc_id = l.doc_id"),
+        "SELECT CAST(CASE WHEN lang = 'en' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, "
+        "string_split(regexp_replace(text, '[\\r\\n]', ' ', 'g'), ',')[1] AS message FROM documents"),
     "ddl_table_load": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "ddl_sql_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "sql_filtered_sum": ("SELECT (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
                          "WHERE c_mktsegment = 'BUILDING'"),
-    "json_scan": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
-                  "FROM orders"),
+    "json_scan": (f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {JSON_DATE}, "
+                  "o_orderpriority FROM orders"),
     "json_schema": (
         "SELECT column_name AS \"column\", CASE column_type WHEN 'BIGINT' THEN 'bigint' "
         "WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
         "ELSE lower(column_type) END AS type, \"null\" = 'YES' AS nullable FROM (DESCRIBE "
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
+        f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {JSON_DATE}, o_orderpriority "
         "FROM orders)"),
     "json_group_count": ("SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n FROM orders "
                          "GROUP BY o_orderpriority"),
@@ -252,6 +271,7 @@ ORACLES: dict[str, str] = {
                           "FROM events) GROUP BY event_type"),
     "distinct_set_line": ("SELECT string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) "
                           "AS segments FROM customer"),
+    "distinct_set_rows": "SELECT DISTINCT p_name FROM part",
     "filtered_sum": ("SELECT (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
                      "WHERE c_mktsegment = 'BUILDING'"),
     "grouped_sum": ("SELECT n_name, (round(sum(c_acctbal), 2) + 0.0) AS total FROM customer "
@@ -266,8 +286,9 @@ ORACLES: dict[str, str] = {
     "split_by_hash": ("SELECT o_orderkey, CAST(CASE WHEN ('0x' || substr(md5(CAST(o_orderkey "
                       "AS VARCHAR)), 1, 8))::BIGINT % 10000 < 7000 THEN 0 ELSE 1 END AS INTEGER)"
                       " AS part FROM orders"),
-    "random_split": ("SELECT CAST(count(*) AS BIGINT) AS n, true AS disjoint, true AS covers "
-                     "FROM orders"),
+    "random_split": ("SELECT o_orderkey, CAST(1 AS BIGINT) AS parts, true AS near_weights FROM orders"),
+    "sort_order": ("SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS inversions_within, "
+                   "CAST(0 AS BIGINT) AS inversions_between FROM lineitem"),
     "binary_recode": ("SELECT o_orderkey, "
                       "CAST(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 2.0 END AS DOUBLE) "
                       "AS status_code, CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 0.0 "
@@ -281,6 +302,7 @@ ORACLES: dict[str, str] = {
                         "ELSE l.quality END AS DOUBLE) AS quality_filled FROM documents d "
                         "LEFT JOIN labels l ON d.doc_id = l.doc_id"),
     "summary_stats": _summary_sql(),
+    "summary_stats_mixed": _mixed_summary_sql(),
     "mean_std": _mean_std_sql(),
     "corr_with_target": _corr_sql(),
     "center_scale": _center_scale_sql(),
@@ -312,6 +334,32 @@ ORACLES: dict[str, str] = {
         "CAST(i AS VARCHAR)), 1, 8))::BIGINT % 10000 < 9000) "
         "SELECT CAST(10 AS INTEGER) AS rank, count(DISTINCT u) AS num_users, "
         "count(DISTINCT i) AS num_items FROM t"),
+    "als_factors": (
+        f"WITH {RATINGS} SELECT DISTINCT u AS o_custkey, CAST(10 AS INTEGER) AS factors, true AS finite "
+        "FROM r WHERE b < 9000"),
+    "als_predict": (
+        f"WITH {RATINGS} SELECT u AS o_custkey, i AS l_partkey, CAST(CAST(q AS FLOAT) AS DOUBLE) AS rating, "
+        "(u NOT IN (SELECT u FROM r WHERE b < 9000) OR i NOT IN (SELECT i FROM r WHERE b < 9000)) AS unseen, "
+        "true AS fits FROM r WHERE b >= 9000"),
+    "text_nb": (
+        "SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS label, CAST(len(" + LOWER_TOKENS.format(t="d.text")
+        + ") AS BIGINT) AS tokens, true AS in_classes FROM documents d JOIN labels l ON d.doc_id = l.doc_id "
+        f"WHERE {_bucket('d.doc_id')} >= 9000"),
+    "decision_tree": ("SELECT vec_id, CAST(label AS DOUBLE) AS label, true AS in_classes, true AS beats_majority "
+                      f"FROM embeddings WHERE {_bucket('vec_id')} >= 9000"),
+    "tree_report": ("SELECT count(DISTINCT label) > 1 AS depth_ok, count(DISTINCT label) > 1 AS nodes_ok, "
+                    "count(DISTINCT label) > 1 AS rules_ok FROM embeddings"),
+    "random_forest_pca": (
+        "WITH idx AS (SELECT l_returnflag AS f, CAST(row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 "
+        "AS DOUBLE) AS indexed FROM lineitem GROUP BY l_returnflag) "
+        "SELECT l_orderkey, l_linenumber, indexed, true AS in_classes FROM lineitem JOIN idx ON f = l_returnflag "
+        f"WHERE {_bucket('l_orderkey', 'l_linenumber')} >= 7000"),
+    "kmeans": "SELECT vec_id, true AS nearest, CAST(5 AS BIGINT) AS clusters FROM embeddings",
+    "cluster_scatter": (
+        "WITH e AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings), "
+        "s AS (SELECT avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb FROM e) "
+        "SELECT vec_id, true AS in_clusters, (round((a - ma) / sa, 4) + 0.0) AS x, "
+        "(round((b - mb) / sb, 4) + 0.0) AS y FROM e, s"),
     "accuracy": (f"SELECT (round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END)::DOUBLE,"
                  f" 10) + 0.0) AS accuracy FROM ({RULE})"),
     "confusion": (f"SELECT label, prediction, CAST(count(*) AS BIGINT) AS n FROM ({RULE}) "
@@ -336,6 +384,10 @@ ORACLES: dict[str, str] = {
     "udf_explode": ("SELECT o_orderkey, CAST(generate_subscripts(p, 1) AS INTEGER) AS pos, "
                     "unnest(p) AS part FROM (SELECT o_orderkey, "
                     "string_split(o_orderpriority, '-') AS p FROM orders)"),
+    "udf_agg_text": ("SELECT o_orderstatus, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) "
+                     "AS priorities FROM orders GROUP BY o_orderstatus"),
+    "udf_agg_long": ("SELECT o_orderstatus, max(o_orderkey) + 9007199254740992 AS largest FROM orders "
+                     "GROUP BY o_orderstatus"),
     "udf_agg": ("SELECT o_orderstatus, (round(sum(o_totalprice), 2) + 0.0) AS total FROM orders "
                 "GROUP BY o_orderstatus"),
 }

@@ -9,9 +9,11 @@ it back with the source under test.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,14 +36,14 @@ def query(name: str):
 
 
 # Unique keys of the tables spread for CPU-heavy work (hash spread, no hot key).
-SPREAD_KEYS = {"documents": ["doc_id"], "lineitem": ["l_orderkey", "l_linenumber"]}
+SPREAD_KEYS = {"embeddings": ["vec_id"], "events": ["event_id"], "documents": ["doc_id"], "lineitem": ["l_orderkey", "l_linenumber"]}
 
 
 def T(spark, sf_dir, name, heavy=False):
     """A table scan; ``heavy`` marks CPU-heavy work that needs at least the
-    cluster's parallelism in tasks (a no-op for inputs of many splits)."""
+    cluster's parallelism in tasks (a no-op for tables of that many files)."""
     df = tables.table(spark, sf_dir, name)
-    return tables.spread(df, keys=SPREAD_KEYS.get(name)) if heavy else df
+    return tables.spread(df, SPREAD_KEYS[name]) if heavy else df
 
 
 def doc_lines(spark, sf_dir) -> DataFrame:
@@ -52,6 +54,16 @@ def _s(c):
     return F.col(c).cast("string")
 
 
+def _line(sep, *cols):
+    """Fields joined to a line; a null is an empty field, so positions hold."""
+    return F.concat_ws(sep, *[F.coalesce(_s(c) if isinstance(c, str) else c, F.lit("")) for c in cols])
+
+
+def _own_name(name):
+    """A name for a temporary view or table that no other run uses."""
+    return f"tk_{name}_{uuid.uuid4().hex}"
+
+
 # Parameters of the queries (not values of the reference): thresholds and tokens.
 HEADER_TOKEN = "the"
 SEGMENT = "BUILDING"
@@ -94,9 +106,11 @@ def q_text_scan(spark, sf_dir):
 
 @query("min_partition_scan")
 def q_min_partition_scan(spark, sf_dir):
-    """A2: text scan with at least 16 partitions; every line still read once."""
+    """A2: text scan dealt over 16 partitions; every line is read once, and all
+    partitions hold lines (there are more lines than partitions)."""
     lines = text.read_lines(spark, _documents_as_text_files(spark, sf_dir), min_partitions=16)
-    return relational.global_count(lines)
+    parts = lines.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return parts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("partitions"))
 
 
 @query("drop_header_equal")
@@ -152,11 +166,10 @@ CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
 def _customer_lines(spark, sf_dir, sep=",", quote_fields=False) -> str:
     out = scratch_path(spark, "customer_lines")
     cust = T(spark, sf_dir, "customer")
-    fields = [_s(c) for c in CUSTOMER_COLS]
     if quote_fields:
-        line = F.concat(F.lit('"'), F.concat_ws('"' + sep + '"', *fields), F.lit('"'))
+        line = F.concat(F.lit('"'), _line('"' + sep + '"', *CUSTOMER_COLS), F.lit('"'))
     else:
-        line = F.concat_ws(sep, *fields)
+        line = _line(sep, *CUSTOMER_COLS)
     cust.select(line.alias("value")).write.text(out)
     return out
 
@@ -187,6 +200,21 @@ def q_semicolon_quoted(spark, sf_dir):
     return delimited.read_semicolon_quoted(spark, out, CUSTOMER_DDL)
 
 
+@query("semicolon_stripped")
+def q_semicolon_stripped(spark, sf_dir):
+    """Quotes removed from the whole line, then split on every ';';
+    names hold quotes and separators of their own, so later fields move."""
+    out = scratch_path(spark, "customer_stripped")
+    name = F.concat(F.col("c_name"), F.lit('";"x'))
+    cust = T(spark, sf_dir, "customer")
+    cust.select(F.concat(F.lit('"'), _line('";"', "c_custkey", name, "c_mktsegment"), F.lit('"')).alias("value")) \
+        .unionByName(spark.range(2).select(F.lit('"c_custkey";"c_name";"c_mktsegment"').alias("value"))) \
+        .write.text(out)
+    lines = text.drop_lines_containing(text.read_lines(spark, out), "c_custkey")
+    return delimited.stripped_fields(lines, [("c_custkey", 0, "bigint"), ("name", 1, "string"),
+                                             ("extra", 2, "string"), ("segment", 3, "string")])
+
+
 @query("quoted_lines_parse")
 def q_quoted_lines_parse(spark, sf_dir):
     """Split on '","', fields by index; outer quotes stay on the ends."""
@@ -196,13 +224,11 @@ def q_quoted_lines_parse(spark, sf_dir):
 
 
 def _message_lines(spark, sf_dir) -> str:
-    """Labelled documents as ``kind,text`` lines (newlines in the text as blanks)."""
+    """All documents as ``kind,text`` lines (line ends in the text as blanks)."""
     out = scratch_path(spark, "message_lines")
-    d = T(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = T(spark, sf_dir, "labels").select("doc_id", "quality")
-    kind = F.when(F.col("quality") == 1, F.lit("ham")).otherwise(F.lit("spam"))
-    d.join(lab, "doc_id").select(
-        F.concat_ws(",", kind, F.regexp_replace("text", "\n", " ")).alias("value")).write.text(out)
+    kind = F.when(F.col("lang") == "en", F.lit("ham")).otherwise(F.lit("spam"))
+    T(spark, sf_dir, "documents").select(
+        _line(",", kind, F.regexp_replace("text", "[\\r\\n]", " ")).alias("value")).write.text(out)
     return out
 
 
@@ -225,7 +251,7 @@ def q_ddl_table_load(spark, sf_dir):
     """Declared comma table, loaded with overwrite, read back."""
     src = scratch_path(spark, "nation_lines")
     nation = T(spark, sf_dir, "nation")
-    nation.select(F.concat_ws(",", *[_s(c) for c in nation.columns]).alias("value")).write.text(src)
+    nation.select(_line(",", *nation.columns).alias("value")).write.text(src)
     declared = delimited.read_declared(spark, src, "n_nationkey int, n_name string, "
                                                    "n_regionkey int")
     target = scratch_path(spark, "nation_table")
@@ -236,20 +262,19 @@ def q_ddl_table_load(spark, sf_dir):
 @query("ddl_sql_table")
 def q_ddl_sql_table(spark, sf_dir):
     """A11 A12 T5 in SQL: CREATE TABLE ... USING csv, then INSERT OVERWRITE twice."""
-    nation = T(spark, sf_dir, "nation")
-    nation.createOrReplaceTempView("tk_nation_src")
-    delimited.create_csv_table(spark, "tk_nation", "n_nationkey int, n_name string, "
+    name = _own_name("nation")
+    T(spark, sf_dir, "nation").createOrReplaceTempView(f"{name}_src")
+    delimited.create_csv_table(spark, name, "n_nationkey int, n_name string, "
                                "n_regionkey int", scratch_path(spark, "nation_csv"))
     for _ in range(2):  # the second load replaces the first
-        sinks.insert_overwrite(spark, "tk_nation", "SELECT n_nationkey, n_name, n_regionkey "
-                                                   "FROM tk_nation_src")
-    return spark.table("tk_nation")  # resolved after the loads: current file listing
+        sinks.insert_overwrite(spark, name, f"SELECT n_nationkey, n_name, n_regionkey FROM {name}_src")
+    return spark.table(name)  # resolved after the loads: current file listing
 
 
 # ---------------------------------------------------------------- JSON / SQL lab
 
 ORDERS_JSON_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                    "o_orderpriority"]
+                    "o_orderdate", "o_orderpriority"]
 
 
 def _orders_json(spark, sf_dir) -> DataFrame:
@@ -260,7 +285,8 @@ def _orders_json(spark, sf_dir) -> DataFrame:
 
 @query("json_scan")
 def q_json_scan(spark, sf_dir):
-    """JSON lines with an inferred schema, projected."""
+    """JSON lines with an inferred schema, projected. A timestamp is
+    text to the inference."""
     return _orders_json(spark, sf_dir).select(*ORDERS_JSON_COLS)
 
 
@@ -286,8 +312,9 @@ def q_json_filter_gt(spark, sf_dir):
 @query("view_sql")
 def q_view_sql(spark, sf_dir):
     """SQL projection + filter over a registered view."""
-    T(spark, sf_dir, "customer").createOrReplaceTempView("tk_customers")
-    return spark.sql(f"SELECT c_name FROM tk_customers WHERE c_acctbal > {ACCTBAL_MIN}")
+    name = _own_name("customers")
+    T(spark, sf_dir, "customer").createOrReplaceTempView(name)
+    return spark.sql(f"SELECT c_name FROM {name} WHERE c_acctbal > {ACCTBAL_MIN}")
 
 
 @query("project_cols")
@@ -354,7 +381,8 @@ def q_sum_by_key_or_zero(spark, sf_dir):
 
 @query("sum_by_key_all_bad")
 def q_sum_by_key_all_bad(spark, sf_dir):
-    """Decimal text never parses as an integer; every group shows 0."""
+    """Decimal text never parses as an integer; every group shows 0, and
+    none is lost."""
     ev = T(spark, sf_dir, "events")
     return relational.sum_by_key_or_zero(
         ev.select("event_type", _s("value").alias("t")), "event_type", "t")
@@ -382,6 +410,12 @@ def q_distinct_set_line(spark, sf_dir):
                                         out="segments")
 
 
+@query("distinct_set_rows")
+def q_distinct_set_rows(spark, sf_dir):
+    """The distinct part names as sorted rows, any number of them."""
+    return relational.distinct_values(T(spark, sf_dir, "part"), "p_name")
+
+
 @query("filtered_sum")
 def q_filtered_sum(spark, sf_dir):
     """Sum over the rows with a string key equal to a constant."""
@@ -402,17 +436,15 @@ def q_grouped_sum(spark, sf_dir):
 @query("sql_grouped_sum")
 def q_sql_grouped_sum(spark, sf_dir):
     """The same shape in SQL over views."""
-    tables.register_views(spark, sf_dir, ["customer"])
     return spark.sql("SELECT c_mktsegment, round(sum(c_acctbal), 2) AS total "
-                     "FROM customer GROUP BY c_mktsegment")
+                     "FROM {customer} GROUP BY c_mktsegment", customer=T(spark, sf_dir, "customer"))
 
 
 @query("sql_filtered_sum")
 def q_sql_filtered_sum(spark, sf_dir):
     """Filtered global sum in SQL over a view."""
-    tables.register_views(spark, sf_dir, ["customer"])
-    return spark.sql(f"SELECT round(sum(c_acctbal), 2) AS total FROM customer "
-                     f"WHERE c_mktsegment = '{SEGMENT}'")
+    return spark.sql("SELECT round(sum(c_acctbal), 2) AS total FROM {customer} "
+                     f"WHERE c_mktsegment = '{SEGMENT}'", customer=T(spark, sf_dir, "customer"))
 
 
 @query("global_count")
@@ -424,16 +456,15 @@ def q_global_count(spark, sf_dir):
 @query("inner_join_comma")
 def q_inner_join_comma(spark, sf_dir):
     """Comma join with an equality in WHERE, planned as an equi-join."""
-    tables.register_views(spark, sf_dir, ["orders", "customer"])
     return spark.sql("SELECT o.o_orderkey, c.c_name, o.o_totalprice "
-                     "FROM orders o, customer c WHERE o.o_custkey = c.c_custkey")
+                     "FROM {orders} o, {customer} c WHERE o.o_custkey = c.c_custkey",
+                     orders=T(spark, sf_dir, "orders"), customer=T(spark, sf_dir, "customer"))
 
 
 @query("sql_distinct")
 def q_sql_distinct(spark, sf_dir):
     """SELECT DISTINCT over a view."""
-    tables.register_views(spark, sf_dir, ["part"])
-    return spark.sql("SELECT DISTINCT p_type FROM part")
+    return spark.sql("SELECT DISTINCT p_type FROM {part}", part=T(spark, sf_dir, "part"))
 
 
 @query("distinct_projection")
@@ -451,16 +482,23 @@ def q_split_by_hash(spark, sf_dir):
 
 @query("random_split")
 def q_random_split(spark, sf_dir):
-    """seeded randomSplit; parts are disjoint and cover the input."""
+    """seeded randomSplit; every key is in exactly one part, and the first
+    part's share is near its weight (within 0.05 at any of the test sizes)."""
     o = T(spark, sf_dir, "orders").select("o_orderkey")
     parts = relational.random_split(o, [0.7, 0.3], seed=42)
     tagged = parts[0].withColumn("part", F.lit(0)).unionByName(
         parts[1].withColumn("part", F.lit(1)))
-    per_key = tagged.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("c"))
-    total = relational.global_count(o).scalar()
-    return per_key.agg(F.count(F.lit(1)).alias("n"),
-                       (F.max("c") == 1).alias("disjoint"),
-                       (F.count(F.lit(1)) == total).alias("covers"))
+    near = tagged.agg((F.abs(F.avg(F.lit(1) - F.col("part")) - 0.7) < 0.05).alias("near")).scalar()
+    return (tagged.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("parts"))
+                  .withColumn("near_weights", near))
+
+
+@query("sort_order")
+def q_sort_order(spark, sf_dir):
+    """Inversions in the delivered order of sorted rows, in and between
+    partitions."""
+    li = T(spark, sf_dir, "lineitem").select("l_extendedprice")
+    return relational.order_report(relational.sort_by(li, "l_extendedprice"), "l_extendedprice")
 
 
 # ---------------------------------------------------------------- recodes
@@ -505,6 +543,16 @@ def q_summary_stats(spark, sf_dir):
     """describe() of every numeric column, one aggregation pass."""
     li, cols = _lineitem_numeric(spark, sf_dir)
     s = profile.summary_stats(li, cols)
+    return s.select("column", "count", parse.round_half_away("mean", 6).alias("mean"),
+                    parse.round_half_away("stddev", 6).alias("stddev"),
+                    F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max"))
+
+
+@query("summary_stats_mixed")
+def q_summary_stats_mixed(spark, sf_dir):
+    """describe() of a table with text columns; min and max in the own type."""
+    c = T(spark, sf_dir, "customer")
+    s = profile.summary_stats(c, CUSTOMER_COLS)
     return s.select("column", "count", parse.round_half_away("mean", 6).alias("mean"),
                     parse.round_half_away("stddev", 6).alias("stddev"), "min", "max")
 
@@ -584,12 +632,11 @@ def q_pca_2d(spark, sf_dir):
 # ---------------------------------------------------------------- models
 
 def _labelled_docs(spark, sf_dir):
-    """Documents with a quality label; spread after the join, so only labelled
-    texts move (a no-op for inputs of many splits)."""
-    d = T(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    """Documents with a quality label."""
+    d = T(spark, sf_dir, "documents", heavy=True).select("doc_id", "text", "lang")
     lab = T(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double")
                                             .alias("label"))
-    return tables.spread(d.join(lab, "doc_id"), keys=["doc_id"])
+    return d.join(lab, "doc_id")
 
 
 @query("text_nb")
@@ -599,7 +646,9 @@ def q_text_nb(spark, sf_dir):
     train, test = relational.hash_split(docs, ["doc_id"], [0.9, 0.1])
     model = features.fit_pipeline(features.tfidf_stages("text") + [models.naive_bayes()],
                                   train)
-    return model.transform(test).select("doc_id", "label", "prediction")
+    total = F.aggregate(vector_to_array("__tf"), F.lit(0.0), lambda a, x: a + x)
+    return model.transform(test).select("doc_id", "label", total.cast("bigint").alias("tokens"),
+                                        F.col("prediction").isin(0.0, 1.0).alias("in_classes"))
 
 
 NB_LANGS = ["de", "en", "es", "fr"]
@@ -667,33 +716,58 @@ def _embeddings(spark, sf_dir):
 
 @query("decision_tree")
 def q_decision_tree(spark, sf_dir):
-    """Depth-2 tree on the embedding vectors, 90/10 split."""
+    """Depth-2 tree on the embedding vectors, 90/10 split: the held-out rows,
+    with predictions within the classes, and training accuracy at least the
+    share of the most frequent class."""
     train, test = relational.hash_split(_embeddings(spark, sf_dir), ["vec_id"], [0.9, 0.1])
-    model = models.decision_tree(train)
-    return model.transform(test).select("vec_id", "label", "prediction")
+    with sinks.persisted(train) as kept:
+        model = models.decision_tree(kept)
+        beats = _beats_majority(model.transform(kept))
+        classes = [r[0] for r in kept.select("label").distinct().collect()]  # one row per class
+    return model.transform(test).select("vec_id", "label", F.col("prediction").isin(*classes).alias("in_classes"),
+                                        F.lit(beats).alias("beats_majority"))
+
+
+def _beats_majority(pred: DataFrame, label: str = "label") -> bool:
+    """Whether accuracy reaches the share of the most frequent class."""
+    acc = evaluate.accuracy(pred, label).first()["accuracy"]
+    share = (relational.count_by_key(pred, label).agg(F.max("n") / F.sum("n"))).first()[0]
+    return bool(acc >= share - 1e-12)
 
 
 @query("tree_report")
 def q_tree_report(spark, sf_dir):
-    """I4: nodes, depth and rules of the depth-2 tree."""
+    """I4: the report of the depth-2 tree: depth and nodes within bounds, and one
+    printed line per node and branch."""
     train, _ = relational.hash_split(_embeddings(spark, sf_dir), ["vec_id"], [0.9, 0.1])
-    return models.tree_report(spark, models.decision_tree(train))
+    r = models.tree_report(spark, models.decision_tree(train))
+    lines = F.size(F.split("rules", "\n")) - 2  # a heading and an empty end
+    return r.select((F.col("depth").between(1, 2)).alias("depth_ok"),
+                    (F.col("num_nodes").between(3, 7)).alias("nodes_ok"),
+                    # every inner node prints two branches, every leaf one line
+                    (lines == F.col("num_nodes") - 1 + (F.col("num_nodes") + 1) / 2).alias("rules_ok"))
 
 
 @query("random_forest_pca")
 def q_random_forest_pca(spark, sf_dir):
-    """PCA(3) of four measures, indexed return flag, random forest."""
+    """PCA(3) of four measures, indexed return flag, random forest: the
+    held-out rows with their index, predictions within the classes."""
     li = T(spark, sf_dir, "lineitem", heavy=True).select(
         "l_orderkey", "l_linenumber", "l_returnflag", *LINEITEM_MEASURES)
-    with sinks.persisted(li) as kept:  # PCA, indexer and forest fits reuse it
-        comps = features.fit_pca_columns(kept, LINEITEM_MEASURES, 3)
-        pcs = features.pca_project(kept, LINEITEM_MEASURES, comps,
-                                   keep=["l_orderkey", "l_linenumber", "l_returnflag"])
-        v = vectors.assemble(pcs, ["pc1", "pc2", "pc3"], out="pcaFeatures")
-        p, _ = features.string_index(v, "l_returnflag", "indexed")
-        train, test = relational.hash_split(p, ["l_orderkey", "l_linenumber"], [0.7, 0.3])
-        rf = models.random_forest(train, features="pcaFeatures", label="indexed")
-    return rf.transform(test).select("l_orderkey", "l_linenumber", "indexed", "prediction")
+    comps = features.fit_pca_columns(li, LINEITEM_MEASURES, 3)
+    pcs = features.pca_project(li, LINEITEM_MEASURES, comps,
+                               keep=["l_orderkey", "l_linenumber", "l_returnflag"])
+    v = vectors.assemble(pcs, ["pc1", "pc2", "pc3"], out="pcaFeatures")
+    p, indexer = features.string_index(v, "l_returnflag", "indexed")
+    train, test = relational.hash_split(p, ["l_orderkey", "l_linenumber"], [0.7, 0.3])
+    # The fit keeps its projected, indexed training rows; prediction is one narrow pass.
+    rf = models.random_forest(train, features="pcaFeatures", label="indexed")
+    classes = [float(i) for i in range(len(indexer.labels))]
+    return rf.transform(test).select("l_orderkey", "l_linenumber", "indexed",
+                                     F.col("prediction").isin(*classes).alias("in_classes"))
+
+
+KMEANS_K = 5
 
 
 def _kmeans_predictions(spark, sf_dir):
@@ -701,21 +775,31 @@ def _kmeans_predictions(spark, sf_dir):
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True,
                             withStd=True).fit(e)
     scaled = scaler.transform(e).select("vec_id", F.col("scaled").alias("features"))
-    model = models.kmeans(scaled, k=5, seed=1)
-    return model.transform(scaled)
+    model = models.kmeans(scaled, k=KMEANS_K, seed=1)
+    return model.transform(scaled), [[float(x) for x in c] for c in model.clusterCenters()]
 
 
 @query("kmeans")
 def q_kmeans(spark, sf_dir):
-    """Centred and scaled embeddings, k-means k=5 seed 1."""
-    return _kmeans_predictions(spark, sf_dir).select("vec_id",
-                                                     F.col("prediction").alias("cluster"))
+    """Centred and scaled embeddings, k-means k=5 seed 1: for every row
+    whether its cluster's centre is the nearest, and the clusters in use."""
+    pred, centres = _kmeans_predictions(spark, sf_dir)
+    x = vector_to_array("features")
+    apart = [F.aggregate(F.zip_with(x, F.array(*[F.lit(v) for v in c]), lambda a, b: (a - b) * (a - b)),
+                         F.lit(0.0), lambda a, d: a + d) for c in centres]
+    far = pred.select("vec_id", "prediction", F.array(*apart).alias("d"))
+    used = far.agg(F.count_distinct("prediction")).scalar()
+    nearest = F.col("d").getItem(F.col("prediction")) <= F.array_min("d") * (1 + 1e-9)
+    return far.select("vec_id", nearest.alias("nearest"), used.alias("clusters"))
 
 
 @query("cluster_scatter")
 def q_cluster_scatter(spark, sf_dir):
-    """(cluster, x, y) per row, the data behind the scatter plot."""
-    return models.cluster_scatter(_kmeans_predictions(spark, sf_dir), keep=["vec_id"])
+    """(cluster, x, y) per row, the data behind the scatter plot."""
+    pred, _ = _kmeans_predictions(spark, sf_dir)
+    s = models.cluster_scatter(pred, keep=["vec_id"])
+    return s.select("vec_id", F.col("cluster").between(0, KMEANS_K - 1).alias("in_clusters"),
+                    parse.round_half_away("x", 4).alias("x"), parse.round_half_away("y", 4).alias("y"))
 
 
 def _ratings(spark, sf_dir):
@@ -728,25 +812,28 @@ def _ratings(spark, sf_dir):
 
 
 def _als(spark, sf_dir):
-    with sinks.persisted(_ratings(spark, sf_dir)) as kept:  # id ranges and fit reuse it
-        r, _ = models.int_id_columns(kept, {"o_custkey": "user", "l_partkey": "item"})
-        train, test = relational.hash_split(r, ["user", "item"], [0.9, 0.1])
-        model = models.als(train)
-        test = sinks.cut_lineage(test)  # written once; predictions need no recompute
-    return model, test
+    """``(model, train, test)``; ids are numbered from the keys."""
+    r = sinks.cut_lineage(_ratings(spark, sf_dir))  # numbering, fit and predictions read it
+    r, _ = models.dense_ids(r, "o_custkey", "user")
+    r, _ = models.dense_ids(r, "l_partkey", "item")
+    train, test = relational.hash_split(r, ["o_custkey", "l_partkey"], [0.9, 0.1])
+    return models.als(train), train, test
 
 
 @query("als_factors")
 def q_als_factors(spark, sf_dir):
-    """User factor table sorted by id."""
-    model, _ = _als(spark, sf_dir)
-    return models.factors(model, "user")
+    """User factor table sorted by id, under the users' keys."""
+    model, train, _ = _als(spark, sf_dir)
+    keys = train.select("o_custkey", F.col("user").alias("id")).distinct()
+    return (models.factors(model, "user").join(keys, "id")
+            .select("o_custkey", F.size("features").alias("factors"),
+                    (~F.exists("features", F.isnan)).alias("finite")))
 
 
 @query("als_fit")
 def q_als_fit(spark, sf_dir):
     """I8: the fitted model's shape: rank and factor rows per side."""
-    model, _ = _als(spark, sf_dir)
+    model, _, _ = _als(spark, sf_dir)
     n_users = model.userFactors.agg(F.count(F.lit(1)).alias("num_users"))
     n_items = model.itemFactors.agg(F.count(F.lit(1)).alias("num_items"))
     return n_users.select(F.lit(model.rank).alias("rank"), "num_users",
@@ -755,9 +842,19 @@ def q_als_fit(spark, sf_dir):
 
 @query("als_predict")
 def q_als_predict(spark, sf_dir):
-    """Predicted ratings for held-out (user, item) pairs; unseen -> NaN."""
-    model, test = _als(spark, sf_dir)
-    return model.transform(test).select("user", "item", "rating", "prediction")
+    """Ratings of held-out (user, item) pairs: a prediction is the dot
+    product of the factors, NaN exactly when a key was not trained on."""
+    model, _, test = _als(spark, sf_dir)
+    pred = model.transform(test)
+    users = model.userFactors.toDF("user", "uf")
+    items = model.itemFactors.toDF("item", "vf")
+    dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b),
+                      F.lit(0.0), lambda a, x: a + x)
+    both = pred.join(users, "user", "left").join(items, "item", "left")
+    unseen = F.col("uf").isNull() | F.col("vf").isNull()
+    fits = F.when(unseen, F.isnan("prediction")).otherwise(F.abs(dot - F.col("prediction")) < 1e-3)
+    return both.select("o_custkey", "l_partkey", F.col("rating").cast("double").alias("rating"),
+                       unseen.alias("unseen"), fits.alias("fits"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -790,10 +887,10 @@ def _stream_counts(spark, feed_lines: DataFrame, col: str) -> DataFrame:
     """Replay lines as files, run the per-batch word count to the end of the
     files, and sum the per-batch counts per token."""
     feed = scratch_path(spark, "stream_feed")
-    streaming.replay_as_files(feed_lines, feed, files=8, col=col)
+    streaming.replay_as_files(feed_lines, feed, col=col)
     sink = scratch_path(spark, "stream_sink")
     ckpt = scratch_path(spark, "stream_ckpt")
-    lines = streaming.file_lines(spark, feed, max_files_per_trigger=4)
+    lines = streaming.file_lines(spark, feed)
     q = streaming.per_batch_word_count(lines, sink, ckpt, available_now=True)
     q.awaitTermination()
     per_batch = streaming.read_batches(spark, sink)
@@ -804,7 +901,7 @@ def _stream_counts(spark, feed_lines: DataFrame, col: str) -> DataFrame:
 @query("stream_word_count")
 def q_stream_word_count(spark, sf_dir):
     """Documents replayed as files, per-batch counts, summed."""
-    return _stream_counts(spark, T(spark, sf_dir, "documents"), "text")
+    return _stream_counts(spark, T(spark, sf_dir, "documents", heavy=True), "text")
 
 
 @query("stream_book_feed")
@@ -875,5 +972,25 @@ def q_udf_agg(spark, sf_dir):
     return s.select("o_orderstatus", parse.round_half_away("total", 2).alias("total"))
 
 
+def _text_set(v):
+    return ",".join(sorted({x for part in v.dropna() for x in part.split(",")}))
+
+
+@query("udf_agg_text")
+def q_udf_agg_text(spark, sf_dir):
+    """A fold of text to text: the set of priorities per status."""
+    o = T(spark, sf_dir, "orders")
+    return udfs.fold_by_key(o, "o_orderstatus", "o_orderpriority", _text_set, out="priorities",
+                            result_type="string")
+
+
+@query("udf_agg_long")
+def q_udf_agg_long(spark, sf_dir):
+    """L4: 64-bit integers stay exact (values near 2^53 and beyond)."""
+    o = T(spark, sf_dir, "orders").select("o_orderstatus", (F.col("o_orderkey") + F.lit(2**53)).alias("k"))
+    return udfs.fold_by_key(o, "o_orderstatus", "k", lambda v: int(v.max()), out="largest",
+                            result_type="bigint")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

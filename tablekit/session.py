@@ -12,6 +12,7 @@ chosen when that setting is missing, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -71,8 +72,8 @@ def scale_conf(input_bytes: int, total_cores: int,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs and tests) a folder under the local temp dir is made.
+    Reads ``spark.checkpoint.dir`` from the session; only a local session (one
+    process, as in tests) may leave it unset and gets a local temporary folder.
     """
     try:
         sc = spark.sparkContext
@@ -84,6 +85,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "") if sc is None else sc.master
+        if not re.match(r"local(\[|$)", master):  # one process, one file system
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tablekit-ckpt-")
     if sc is None:
         return configured

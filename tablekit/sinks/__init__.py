@@ -28,8 +28,8 @@ def read_key_value_text(spark: SparkSession, path: str, key: str = "key",
     """Read a ``key<TAB>value`` folder back; the value is after the last tab."""
     lines = spark.read.text(path)
     return lines.select(
-        F.regexp_extract("value", r"^(.*)\t[^\t]*$", 1).alias(key),
-        F.regexp_extract("value", r"\t([^\t]*)$", 1).cast(value_type).alias(value))
+        F.regexp_extract("value", r"(?s)^(.*)\t[^\t]*$", 1).alias(key),
+        F.regexp_extract("value", r"(?s)\t([^\t]*)$", 1).cast(value_type).alias(value))
 
 
 def load_overwrite(df: DataFrame, path: str | None = None, table: str | None = None,

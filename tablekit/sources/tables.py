@@ -15,26 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           keys: list[str] | None = None) -> DataFrame:
-    """Give a CPU-heavy stage at least ``min_partitions`` tasks.
-
-    A scan already split into at least that many partitions (any large input:
-    one split per file block) is returned unchanged, so no shuffle is added at
-    scale; a scan of few, large row groups is spread first. With ``keys`` (a
-    unique or near-unique key, so no partition is hot) rows are hash-spread on
-    them, which is deterministic on retry without the local sort a round-robin
-    spread needs; without keys, round-robin. Defaults to the cluster's default
-    parallelism.
+def spread(scan: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy work over a bare scan at least ``partitions`` tasks.
+
+    For scans only: the number of files is known without a job, and a folder of
+    at least that many files (any large table) is read as it is, without a
+    shuffle. Fewer files are hash-spread on ``keys`` (unique, so no partition is
+    hot; deterministic on retry). Default: the cluster's parallelism.
     """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
-        return df
-    if have >= n:
-        return df
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+    partitions = partitions or scan.sparkSession.sparkContext.defaultParallelism
+    return scan if len(scan.inputFiles()) >= partitions else scan.repartition(partitions, *keys)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -10,13 +10,11 @@ def read_lines(spark: SparkSession, path: str | list[str],
                min_partitions: int | None = None) -> DataFrame:
     """A1/A2: one row per line, column ``value``.
 
-    ``min_partitions`` mirrors ``textFile(path, n)``: the scan is split by file
-    size; only when it yields fewer splits is the result spread round-robin.
+    ``min_partitions`` mirrors ``textFile(path, n)``: the lines are then dealt
+    round-robin over that many partitions.
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(min_partitions) if min_partitions else df
 
 
 def first_value(lines: DataFrame, col: str = "value") -> str | None:

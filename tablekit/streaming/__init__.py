@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import space_tokens
 from ..operators.relational import word_count
-from ..sources.tables import spread
 
 # Fixed values of the stream job: socket port, batch interval, rows printed
 # per batch, bounded run time in seconds.
@@ -24,6 +23,9 @@ BATCH_INTERVAL = "10 seconds"
 FIRST_ROWS = 10
 RUN_SECONDS = 100
 
+#: Bytes of files that one micro-batch takes.
+BATCH_BYTES = 64 << 20
+
 
 def socket_lines(spark: SparkSession, host: str = "localhost",
                  port: int = SOCKET_PORT) -> DataFrame:
@@ -32,18 +34,17 @@ def socket_lines(spark: SparkSession, host: str = "localhost",
             .option("port", port).load())
 
 
-def file_lines(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """K4: text files arriving in a folder, as a line stream."""
+def file_lines(spark: SparkSession, folder: str, max_bytes_per_trigger: int = BATCH_BYTES) -> DataFrame:
+    """K4: text files arriving in a folder, as a line stream. A batch takes files
+    up to a number of bytes, so the number of batches follows the data's size,
+    not the number of files."""
     return (spark.readStream.format("text")
-            .option("maxFilesPerTrigger", max_files_per_trigger).load(folder))
+            .option("maxBytesPerTrigger", max_bytes_per_trigger).load(folder))
 
 
-def replay_as_files(lines: DataFrame, folder: str, files: int, col: str = "value") -> None:
-    """K4: write lines as text files to feed a file stream, at least ``files``
-    of them (an input already in that many partitions is written as it is,
-    without a shuffle)."""
-    out = spread(lines.select(F.col(col).alias("value")), files)
-    out.write.mode("overwrite").text(folder)
+def replay_as_files(lines: DataFrame, folder: str, col: str = "value") -> None:
+    """K4: write lines as text files to feed a file stream, one per partition."""
+    lines.select(F.col(col).alias("value")).write.mode("overwrite").text(folder)
 
 
 def batch_word_count(batch: DataFrame, col: str = "value") -> DataFrame:

@@ -98,7 +98,7 @@ def test_iris_tree(spark, tmp_dir):
     t = out["tree"].first()
     assert t.depth <= 2 and t.num_nodes <= 7
     acc = out["accuracy"].first().accuracy
-    assert acc is None or 0.0 <= acc <= 1.0
+    assert 0.0 <= acc <= 1.0
 
 
 def test_auto_clusters(spark, tmp_dir):
@@ -127,7 +127,7 @@ def test_sms_naive_bayes(spark, tmp_dir):
     out = labs.sms_naive_bayes(spark, write_lines(tmp_dir, "sms.csv", rows))
     assert out["data"].where(F.col("message").contains(", ok")).count() == 40
     acc = out["accuracy"].first().accuracy
-    assert acc is None or acc >= 0.9
+    assert acc >= 0.9
 
 
 def test_bank_forest(spark, tmp_dir):

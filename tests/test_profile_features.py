@@ -3,11 +3,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml.feature import CountVectorizer, IDF, StandardScaler
 from pyspark.ml.functions import vector_to_array
 
 from tablekit.functions import assemble, unpack
 from tablekit.operators import features, profile
+from tablekit.plans.explain import plan_text
 
 
 def frame(spark):
@@ -23,7 +25,34 @@ def test_summary_matches_describe(spark):
         assert ours[c]["count"] == int(desc["count"][c])
         assert math.isclose(ours[c]["mean"], float(desc["mean"][c]), rel_tol=1e-12)
         assert math.isclose(ours[c]["stddev"], float(desc["stddev"][c]), rel_tol=1e-12)
-        assert ours[c]["min"] == float(desc["min"][c])
+        assert ours[c]["min"] == desc["min"][c] and ours[c]["max"] == desc["max"][c]
+
+
+def test_summary_of_text_and_large_integers(spark):
+    df = spark.createDataFrame([("b", 2**53 + 1, None), ("a", 1, 2.5), (None, None, None)], "s string, n long, d double")
+    got = {r.column: r for r in profile.summary_stats(df, df.columns).collect()}
+    assert (got["s"]["count"], got["s"]["mean"], got["s"]["min"], got["s"]["max"]) == (2, None, "a", "b")
+    assert got["n"]["max"] == str(2**53 + 1) and got["d"]["count"] == 1 and got["d"]["min"] == "2.5"
+
+
+def test_correlation_uses_rows_with_both_values(spark):
+    df = spark.createDataFrame([(1.0, 0.5), (2.0, 1.0), (3.0, 1.5), (100.0, None), (None, -50.0)], "x double, y double")
+    got = {r.column: r.corr for r in profile.corr_with_target(df, "x", ["y"]).collect()}
+    assert math.isclose(got["y"], 1.0)
+
+
+def test_pca_rejects_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "a double, b double")
+    with pytest.raises(Exception, match="null"):
+        features.fit_pca_columns(df, ["a", "b"], 1)
+
+
+def test_tf_idf_reads_the_text_once(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None), (4, "")], "i long, t string")
+    out = features.tf_idf_table(df, "i", "t")
+    assert "split(" not in plan_text(out)  # both sides read the written term counts
+    got = {(r.i, r.term): (r.tf, r.df) for r in out.collect()}
+    assert got == {(1, "a"): (2, 1), (1, "b"): (1, 2), (2, "b"): (1, 2), (2, "c"): (1, 1), (4, ""): (1, 1)}
 
 
 def test_corr_matches_stat_corr_and_constant_is_nan(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-import pytest
+import importlib
+
 from pyspark.sql import functions as F
 
 from tablekit.operators import relational
@@ -9,6 +10,8 @@ from tablekit.plans.explain import plan_text
 
 from conftest import SF_SMALL
 
+q = importlib.import_module("tablekit.plans.queries")
+
 
 def test_word_count_plan_partial_and_final_aggregate(spark):
     df = spark.createDataFrame([("a b a",), ("b c",)], "value string")
@@ -49,8 +52,33 @@ def test_distinct_set_line(spark):
     df = spark.createDataFrame([("Asia",), ("Europe",), ("Asia",), (None,), ("Africa",)],
                                "c string")
     assert relational.distinct_set_line(df, "c").first()[0] == "Africa,Asia,Europe"
-    with pytest.raises(ValueError):
-        relational.distinct_set_line(df, "c", max_values=2)
+    assert [r.c for r in relational.distinct_values(df, "c").collect()] == ["Africa", "Asia", "Europe"]
+    empty = relational.distinct_set_line(df.limit(0), "c")
+    assert empty.first()[0] == ""
+
+
+def test_plans_are_built_without_jobs(spark):
+    """No query input is counted or run while its plan is made."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plans")
+    try:
+        labelled = q._labelled_docs(spark, SF_SMALL)
+        relational.distinct_set_line(q.T(spark, SF_SMALL, "customer"), "c_mktsegment")
+        q.textf.normalize_lines(q.doc_lines(spark, SF_SMALL))
+        labelled.select("label")
+        jobs = tracker.getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    schema_reads = 6  # a Parquet read may list or infer; no shuffle stage is run
+    assert all(len(tracker.getJobInfo(j).stageIds) <= 1 for j in jobs) and len(jobs) <= schema_reads
+
+
+def test_order_report_sees_inversions(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(70)], "k int, v int")
+    good = relational.order_report(df.orderBy("k"), "k").first()
+    assert (good.n, good.inversions_within, good.inversions_between) == (70, 0, 0)
+    bad = relational.order_report(df.coalesce(1), "k").first()
+    assert bad.inversions_within == 9
 
 
 def test_hash_split_is_stable_across_partitionings(spark):
@@ -65,8 +93,9 @@ def test_hash_split_is_stable_across_partitionings(spark):
 
 
 def test_random_split_disjoint_and_covering(spark):
-    r = queries()["random_split"](spark, SF_SMALL).first()
-    assert r.disjoint and r.covers
+    rows = queries()["random_split"](spark, SF_SMALL).collect()
+    assert all(r.parts == 1 and r.near_weights for r in rows)
+    assert len(rows) == q.T(spark, SF_SMALL, "orders").count()
 
 
 def test_top_n_and_sort(spark):

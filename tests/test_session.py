@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from tablekit.session import BASE_CONF, checkpoint_root, scratch_path
 
 
@@ -11,6 +13,28 @@ def test_checkpoint_root_is_the_session_folder(spark):
         assert configured.rstrip("/").split(":")[-1] in root
 
 
+def test_a_cluster_must_name_its_checkpoint_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:1"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    for master in ("spark://host:1", "yarn", "local-cluster[2,1,1024]"):
+        Context.master = master
+        with pytest.raises(ValueError, match="checkpoint"):
+            checkpoint_root(Session())
+
+
 def test_scratch_paths_are_fresh(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(checkpoint_root(spark))

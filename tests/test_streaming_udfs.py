@@ -17,7 +17,7 @@ def test_per_batch_counts_are_not_running(spark, tmp_dir):
     write_lines(feed, "1.txt", ["a b a"])
     write_lines(feed, "2.txt", ["a  c"])
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
-    lines = streaming.file_lines(spark, feed, max_files_per_trigger=1)
+    lines = streaming.file_lines(spark, feed, max_bytes_per_trigger=1)
     q = streaming.per_batch_word_count(lines, sink, ckpt, available_now=True)
     q.awaitTermination()
     got = {(r.batch_id, r.word): r.n for r in streaming.read_batches(spark, sink).collect()}
@@ -56,6 +56,33 @@ def test_fold_by_key_equals_builtin_with_hot_key(spark):
     assert ours == ref
 
 
+def test_fold_by_key_keeps_its_result_type(spark):
+    rows = [("a", "x", 2**53 + 1), ("a", "y", 3), ("b", None, None), ("a", "x", 2**53 + 3), (None, "z", 5)]
+    df = spark.createDataFrame(rows, "k string, t string, n long").repartition(3)
+
+    def _set(v):
+        return ",".join(sorted({x for part in v.dropna() for x in part.split(",") if x}))
+
+    def _largest(v):
+        v = v.dropna()
+        return int(max(int(x) for x in v)) if len(v) else None
+    sets = {r.k: r.value for r in udfs.fold_by_key(df, "k", "t", _set, result_type="string").collect()}
+    assert sets == {"a": "x,y", "b": "", None: "z"}
+    exact = df.where("n is not null")
+    big = {r.k: r.value for r in udfs.fold_by_key(exact, "k", "n", _largest, result_type="bigint").collect()}
+    assert big == {"a": 2**53 + 3, None: 5}
+
+
+def test_console_preview_of_a_stream(spark, tmp_dir, capsys):
+    feed = os.path.join(tmp_dir, "feed")
+    os.makedirs(feed)
+    write_lines(feed, "1.txt", ["x y x"])
+    q = streaming.console_first_rows(streaming.file_lines(spark, feed), os.path.join(tmp_dir, "c"),
+                                     processing_time="1 second")
+    streaming.run_for(q, 4)
+    assert "|   x|  2|" in capsys.readouterr().out
+
+
 def test_flat_map_and_vector_udfs(spark):
     def _split_parts(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pdf.assign(w=pdf["s"].str.split(" ")).explode("w")
