@@ -17,7 +17,6 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sinks import cut_lineage
 from ..sources.literal import literal_table
 
 
@@ -126,8 +125,8 @@ def dense_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
     One path for every key type and range: distinct keys are numbered by their
     order within hash buckets, each bucket starting where the one before ends
     (sizes of ``ID_BUCKETS`` buckets are a bounded table). The numbering depends
-    on the keys alone, is written once and joined back. Null keys stay, with a
-    null id. Returns the frame with ``out`` and the mapping ``(col, out)``.
+    on the keys alone: computed again, on any partitioning, it is the same. Null
+    keys stay, with a null id. Returns the frame with ``out`` and the mapping ``(col, out)``.
     """
     keys = (df.select(col).where(F.col(col).isNotNull()).distinct()
               .withColumn("__b", F.pmod(F.xxhash64(col), F.lit(ID_BUCKETS))))
@@ -135,8 +134,8 @@ def dense_ids(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
     starts = (keys.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
                   .select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")))
     rank = F.row_number().over(Window.partitionBy("__b").orderBy(col))
-    mapping = cut_lineage(keys.join(F.broadcast(starts), "__b")
-                          .select(col, (F.col("__start") + rank - 1).cast("int").alias(out)))
+    mapping = (keys.join(F.broadcast(starts), "__b")
+                   .select(col, (F.col("__start") + rank - 1).cast("int").alias(out)))
     return df.join(mapping, col, "left"), mapping
 
 

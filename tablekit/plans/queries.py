@@ -813,9 +813,10 @@ def _ratings(spark, sf_dir):
 
 def _als(spark, sf_dir):
     """``(model, train, test)``; ids are numbered from the keys."""
-    r = sinks.cut_lineage(_ratings(spark, sf_dir))  # numbering, fit and predictions read it
-    r, _ = models.dense_ids(r, "o_custkey", "user")
-    r, _ = models.dense_ids(r, "l_partkey", "item")
+    with sinks.persisted(_ratings(spark, sf_dir)) as kept:  # both numberings read it
+        r, _ = models.dense_ids(kept, "o_custkey", "user")
+        r, _ = models.dense_ids(r, "l_partkey", "item")
+        r = sinks.cut_lineage(r)  # fit and predictions read the numbered ratings
     train, test = relational.hash_split(r, ["o_custkey", "l_partkey"], [0.9, 0.1])
     return models.als(train), train, test
 

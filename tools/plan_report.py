@@ -52,8 +52,8 @@ REVIEW = """
   (word, partial count) → final count. Shuffle volume is distinct words per
   task, not words; a word that is a third of all tokens costs one row per
   task. The first exchange (a hash spread on the unique key `doc_id`) is
-  there only because every test table is a single row group (one split);
-  inputs of many splits skip it.
+  there only because every test table is a single file; tables of as many
+  files as the cluster has cores skip it, and joined frames are never spread.
 - **Counts and sums by key** (`count_by_key`, `grouped_sum`, `sum_by_key_*`):
   the fact table is aggregated on the join key first, so the dimension joins
   see one row per key; dimensions are broadcast only under the 32 MB planned
@@ -69,12 +69,15 @@ REVIEW = """
 - **First line / first n / top n** (`drop_header_equal`, `first_n_lines`,
   `preview_bounded`): `min_by` and `TakeOrderedAndProject` keep 1 or n rows per
   task; nothing sorts the whole input.
-- **TF-IDF** (`tf_idf`): two grouped counts (doc, term) and (term); the
-  document count is a scalar subquery; the term table joins by the size-checked
-  strategy with AQE skew splitting for very frequent terms.
-- **Distinct set line** (`distinct_set_line`): distinct is a parallel shuffle;
-  the one-row result is built only after a distributed count is checked
-  against a bound.
+- **TF-IDF** (`tf_idf`): term counts (doc, term) are written once; the document
+  frequencies and the result read them, so the text is scanned, tokenised and
+  shuffled once. The document count is a scalar subquery; the term table joins
+  on (term, salt), so a very frequent term's rows go to 8 tasks.
+- **Distinct values** (`distinct_set_rows`, `distinct_set_line`): distinct is a
+  parallel shuffle; rows are range-partitioned and sorted, the line is one value
+  built lazily.
+- **Sorted order** (`sort_order`): the delivered order is checked by one row per
+  partition (extremes and inversions).
 - **User folds** (`udf_agg`): per-partition partials (`MapInPandas`), then at
   most one partial per partition per key in the final grouped aggregate.
 - **Models**: fits are Spark ML's distributed aggregations on a persisted
