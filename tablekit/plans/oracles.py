@@ -368,6 +368,10 @@ ORACLES: dict[str, str] = {
                           "(SELECT unnest(string_split(line, ' ')) AS token FROM "
                           "(SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) "
                           "GROUP BY token"),
+    "stream_interval_count": ("SELECT token, CAST(count(*) AS BIGINT) AS n FROM "
+                              "(SELECT unnest(string_split(line, ' ')) AS token FROM "
+                              "(SELECT unnest(string_split(text, chr(10))) AS line FROM conversations)) "
+                              "GROUP BY token"),
     "stream_book_feed": (
         "SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(v, ' ')) "
         "AS token FROM (SELECT regexp_replace(value, '['',!-;\\.\"?]', '', 'g') AS v "

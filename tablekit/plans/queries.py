@@ -905,6 +905,23 @@ def q_stream_word_count(spark, sf_dir):
     return _stream_counts(spark, T(spark, sf_dir, "documents", heavy=True), "text")
 
 
+@query("stream_interval_count")
+def q_stream_interval_count(spark, sf_dir):
+    """K2 K3: batches at a fixed interval, run until the feed is used up and then
+    stopped within a bounded time."""
+    feed = scratch_path(spark, "stream_feed")
+    streaming.replay_as_files(T(spark, sf_dir, "conversations"), feed, col="text")
+    sink = scratch_path(spark, "stream_sink")
+    q = streaming.per_batch_word_count(streaming.file_lines(spark, feed), sink,
+                                       scratch_path(spark, "stream_ckpt"), processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        streaming.run_for(q, 0.1)
+    return streaming.read_batches(spark, sink).groupBy(F.col("word").alias("token")).agg(
+        F.sum("n").cast("bigint").alias("n"))
+
+
 @query("stream_book_feed")
 def q_stream_book_feed(spark, sf_dir):
     """The book-server feed (punctuation stripped, empty lines dropped)

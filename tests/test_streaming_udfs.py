@@ -5,7 +5,7 @@ import os
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tablekit import streaming
+from tablekit import sinks, streaming
 from tablekit.operators import udfs
 
 from conftest import write_lines
@@ -34,6 +34,21 @@ def test_socket_source_schema_without_connecting(spark):
     assert df.isStreaming and df.columns == ["value"]
 
 
+def test_preview_and_bounded_fetch(spark, capsys):
+    df = spark.range(30).selectExpr("id AS n")
+    sinks.preview(df, n=2)
+    assert "only showing top 2 rows" in capsys.readouterr().out
+    assert [r.n for r in sinks.take_bounded(df.orderBy("n"), 3)] == [0, 1, 2]
+
+
+def test_key_value_text_keeps_odd_line_characters(spark, tmp_dir):
+    odd = [("a\u0085b", 1), ("c\u2028d", 2), ("e\u2029", 3), ("tab\tin", 4), ("", 5)]
+    path = os.path.join(tmp_dir, "kv")
+    sinks.write_key_value_text(spark.createDataFrame(odd, "w string, n long"), path, "w", "n")
+    got = sinks.read_key_value_text(spark, path, "w", "n")
+    assert sorted((r.w, r.n) for r in got.collect()) == sorted(odd)
+
+
 def test_run_for_stops_query(spark, tmp_dir):
     feed = os.path.join(tmp_dir, "feed")
     os.makedirs(feed)
