@@ -73,11 +73,12 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     revisit = F.col("first").isNotNull()
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     headers = [
         F.lit(VERSION),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("id"))),
-        F.concat(F.lit("WARC-Date: "), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        F.concat(F.lit("WARC-Date: "), F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         F.concat(F.lit("WARC-Target-URI: "), uri),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
