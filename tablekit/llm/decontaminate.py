@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .base import Texts, arrow_map, buffers, fixed_sample, materialize, slices
 from .words import BY_LETTER, words
 
-TERMS = 1 << 14
+TERMS = 1 << 13
 STRIDE = 24
 WINDOW = 2 * STRIDE
 ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 208, 224, 16, 1, 7
@@ -126,7 +126,7 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     terms; only matrices of ``TERMS x (RANK + OVERSAMPLE)`` reach the driver.
     """
     rank = RANK + OVERSAMPLE
-    q = np.random.default_rng(SEED).normal(size=(TERMS, rank)).astype(np.float32)
+    q = None  # the first basis is random; tasks make it from the seed
 
     def table(terms: np.ndarray, values: np.ndarray) -> list[pa.Array]:
         # Half precision on the way: a subspace needs no more.
@@ -142,8 +142,8 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
         return pa.table(table(terms, out), names=["t", "v"])
 
     for step in range(POWER + 1):
-        def make(sent=q.astype(np.float16)):  # a task's copy of the basis is small
-            q = sent.astype(np.float32)
+        def make(sent=None if q is None else q.astype(np.float16)):  # a task's copy is small
+            q = (np.random.default_rng(SEED).normal(size=(TERMS, rank)) if sent is None else sent).astype(np.float32)
 
             def batch(part: pa.RecordBatch):
                 out, weight = np.zeros((TERMS, rank), np.float32), part.column(1).to_numpy()
