@@ -2,7 +2,8 @@
 
 1. language ID: documents without a dominant language, or without a letter, go;
 2. toxicity: documents predicted toxic go;
-3. n-gram Jaccard join: of each group of near copies the smallest id stays;
+3. n-gram Jaccard join (five words, 0.8): of each group of near copies the
+   smallest id stays;
 4. benchmark decontamination: documents that hold a benchmark item go;
 5. packing: what is left becomes sequences of at most 2048 token ids.
 
@@ -27,6 +28,9 @@ from tablekit.llm.ngram_jaccard import jaccard_components
 from tablekit.llm.pack import pack
 from tablekit.llm.queries import LANG_FOLDS, LANG_HELD_OUT, labelled, table, tokenizer_path
 
+#: Words of a shingle and threshold of near copies (the op7 query has its own).
+DEDUP_WORDS, DEDUP_NUM, DEDUP_DEN = 5, 80, 100
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -44,7 +48,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    comps = jaccard_components(docs, width=DEDUP_WORDS, num=DEDUP_NUM, den=DEDUP_DEN)
+    gone = comps.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

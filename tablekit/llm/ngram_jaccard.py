@@ -1,7 +1,7 @@
 """N-gram Jaccard join over a count-vector R-tree.
 
-A document's set holds its distinct ``SHINGLE``-word shingles. Shingles are
-hashed into groups, and the number of shingles per group makes the document a
+A document's set holds its distinct shingles of ``width`` words, and two are
+linked when ``den * intersection >= num * union`` (``Rule``). Shingles are hashed into groups, and the number of shingles per group makes the document a
 point; ``sum(min(a_i, b_i))`` bounds the overlap of two documents from above.
 
 A full-dimensional tree cannot prune unrelated documents (their boxes overlap
@@ -13,6 +13,13 @@ in nearly every coordinate), so its upper levels split the space instead:
   Documents with the same counts in a band share a tree node (its box is a
   point there).
 
+Below ``BAND_LEAST`` shingles a band (a threshold under about 0.88) unrelated
+documents would meet in empty bands. There the nodes are shingles instead: a
+document with n shingles shares at least ``num / den * n`` with a partner, so both
+hold a common shingle among their first ``n - that + 1`` in any fixed order. The
+order puts shingles that many documents hold last; which ones these are is taken
+from a sample and changes the nodes only, never the links.
+
 In a node that holds documents not yet linked, a packed R-tree over the full
 count vectors is joined with itself: node pairs whose boxes, then points whose
 coordinates, bound the overlap too low are dropped. Surviving pairs are
@@ -32,12 +39,14 @@ sets are linked whatever their order. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_map, connected_components, materialize, slices
+from .base import arrow_map, connected_components, fixed_sample, materialize, slices
 from .words import BY_SPACE, mix, words
 
 SHINGLE = 3
@@ -47,16 +56,32 @@ NUM, DEN = 90, 100
 GROUPS, BAND_GROUPS = 32, 64
 #: Points in a leaf of the packed R-tree, and documents on a side of a tile.
 LEAF, TILE = 16, 1024
+#: Shingles that a band holds on average, at least; rows of the sample for common
+#: shingles, and how many of them hold a common one.
+BAND_LEAST, COMMON_ROWS, COMMON = 8, 1000, 10
 
 _WEIGHT = mix(np.arange(1, BAND_GROUPS + 1, dtype=np.uint64))
 
 
-def shingles(h: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle and the threshold ``num / den``."""
+
+    width: int = SHINGLE
+    num: int = NUM
+    den: int = DEN
+
+    @property
+    def banded(self) -> bool:
+        return self.num + self.den >= 2 * BAND_LEAST * (self.den - self.num)
+
+
+def shingles(h: np.ndarray, most: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes of one document's word hashes."""
     n = len(h)
     if n == 0:
         return h
-    width = min(n, SHINGLE)
+    width = min(n, most)
     out = np.full(n - width + 1, np.uint64(width))
     for k in range(width):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k:n - width + 1 + k])
@@ -66,19 +91,19 @@ def shingles(h: np.ndarray) -> np.ndarray:
     return out[keep]
 
 
-def slab_starts(limit: int) -> list[int]:
+def slab_starts(limit: int, num: int = NUM, den: int = DEN) -> list[int]:
     """First sizes of the slabs up to ``limit``, and two beyond."""
     starts = [1]
     while len(starts) < 3 or starts[-3] <= limit:
-        starts.append(starts[-1] * DEN // NUM + 1)
+        starts.append(starts[-1] * den // num + 1)
     return starts
 
 
-def slab_tables(limit: int) -> tuple[np.ndarray, np.ndarray]:
+def slab_tables(limit: int, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
     """Slab starts, and the bands of each slab: one more than the largest difference."""
-    starts = np.array(slab_starts(limit))
+    starts = np.array(slab_starts(limit, num, den))
     most = starts[1:] - 1
-    return starts, (2 * most * (DEN - NUM)) // (DEN + NUM) + 1
+    return starts, (2 * most * (den - num)) // (den + num) + 1
 
 
 def band_keys(s: np.ndarray, slab: int, bands: int) -> np.ndarray:
@@ -89,24 +114,53 @@ def band_keys(s: np.ndarray, slab: int, bands: int) -> np.ndarray:
     return mix(key + mix(np.arange(bands, dtype=np.uint64) + np.uint64(slab << 32)))
 
 
-def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def prefix_keys(s: np.ndarray, common: np.ndarray, rule: Rule) -> np.ndarray:
+    """The first shingles of a sorted set, common ones last: partners share one."""
+    n = len(s)
+    if n * rule.den < rule.num * (n + 1):  # only equal sets are linked
+        return s[:0]
+    late = np.isin(s, common, assume_unique=True)
+    return np.concatenate([s[~late], s[late]])[:n + rule.num * -n // rule.den + 1]
+
+
+def common_shingles(docs: DataFrame, rule: Rule) -> np.ndarray:
+    """Shingles that ``COMMON`` of about ``COMMON_ROWS`` documents (id, text) hold."""
+    def make():
+        def batch(rows: pa.RecordBatch):
+            for part in slices(rows.column(1)):
+                hashes, first = words(part, BY_SPACE)
+                own = [shingles(hashes[a:b], rule.width) for a, b in zip(first, first[1:])]
+                got, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(got.view(np.int64)), pa.array(n)], ["s", "n"])
+        return batch
+    held = arrow_map(fixed_sample(docs, "id", COMMON_ROWS), make, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    return held.where(F.col("n") >= COMMON).toPandas()["s"].to_numpy(np.int64).view(np.uint64)
+
+
+def profiles(docs: DataFrame, id_col: str, text_col: str, rule: Rule = Rule()) -> DataFrame:
     """One row per document: set size, fingerprint, point and node keys."""
+    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    common = None if rule.banded else common_shingles(docs, rule)
+
     def make():
-        tables = [slab_tables(1 << 16)]
+        tables = [slab_tables(1 << 16, rule.num, rule.den)]
 
         def batch(rows: pa.RecordBatch):
             for part in slices(rows.column(1)):
                 hashes, first = words(part, BY_SPACE)
                 n, low, high, points, keys = [], [], [], [], []
                 for i in range(len(part)):
-                    s = shingles(hashes[first[i]:first[i + 1]])
+                    s = shingles(hashes[first[i]:first[i + 1]], rule.width)
                     n.append(len(s))
                     low.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                     high.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                     points.append(np.bincount(s & np.uint64(GROUPS - 1), minlength=GROUPS)
                                   .astype("<u4").tobytes())
+                    if not rule.banded:
+                        keys.append(prefix_keys(s, common, rule).view(np.int64))
+                        continue
                     if len(s) >= tables[0][0][-3]:
-                        tables[0] = slab_tables(2 * len(s))
+                        tables[0] = slab_tables(2 * len(s), rule.num, rule.den)
                     starts, bands = tables[0]
                     k = int(np.searchsorted(starts, len(s), side="right")) - 1
                     own = [band_keys(s, j, int(bands[j])) for j in (k, k + 1)
@@ -118,12 +172,11 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      pa.array(keys, pa.list_(pa.int64()))],
                     ["id", "n", "f1", "f2", "point", "keys"])
         return batch
-    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return arrow_map(docs.where("id is not null"), make,
+    return arrow_map(docs, make,
                      "id long, n long, f1 long, f2 long, point binary, keys array<long>")
 
 
-def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The pairs ``(a, b)`` that are linked, checked by bound and then by sets.
 
     ``reps`` has the points, ``held`` the texts of all documents in pairs.
@@ -137,7 +190,7 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame) -> DataFrame:
                 pa_, pb_ = (np.frombuffer(b"".join(col[c].to_pylist()), "<u4").reshape(-1, GROUPS)
                             for c in ("pa", "pb"))
                 size = col["na"].to_numpy() + col["nb"].to_numpy()
-                keep = np.minimum(pa_, pb_).sum(1) * (NUM + DEN) >= NUM * size
+                keep = np.minimum(pa_, pb_).sum(1) * (rule.num + rule.den) >= rule.num * size
                 yield pa.RecordBatch.from_arrays([col["a"], col["b"]], ["a", "b"]).filter(pa.array(keep))
         return batch
     near = materialize(arrow_map(near, bound, "a long, b long"), "near")
@@ -150,7 +203,7 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame) -> DataFrame:
                 if len(kept) >= 16:
                     kept.pop(next(iter(kept)))
                 part = next(slices(column.slice(i, 1)))
-                kept[ident] = shingles(words(part, BY_SPACE)[0])
+                kept[ident] = shingles(words(part, BY_SPACE)[0], rule.width)
             return kept[ident]
 
         def batch(rows: pa.RecordBatch):
@@ -159,7 +212,7 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame) -> DataFrame:
             for i in range(rows.num_rows):
                 x, y = of(a[i], rows.column(2), i), of(b[i], rows.column(3), i)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
+                keep.append(rule.den * both >= rule.num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(rows.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
         return batch
     full = (near.join(held.toDF("b", "tb"), "b").join(held.toDF("a", "ta"), "a")
@@ -173,7 +226,7 @@ def _leaves(n: np.ndarray, points: np.ndarray) -> list[np.ndarray]:
     return [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
 
 
-def tree_join(ids, n, comp, points, side) -> tuple[list, list]:
+def tree_join(ids, n, comp, points, side, rule: Rule = Rule()) -> tuple[list, list]:
     """Pairs of different components whose overlap bound reaches the threshold.
 
     ``side``: 0 and 1 for the two sides of a tile, 2 if both are the same rows.
@@ -192,23 +245,24 @@ def tree_join(ids, n, comp, points, side) -> tuple[list, list]:
     only = [np.array([comp[leaf[0]] if (comp[leaf] == comp[leaf[0]]).all() else -1 for leaf in t])
             for t in trees]
     for i, leaf in enumerate(trees[0]):
-        bound = np.minimum(high[0][i], high[1]).sum(1) * (NUM + DEN)
-        live = (bound >= NUM * (least[0][i] + least[1])) & ((only[0][i] == -1) | (only[0][i] != only[1]))
+        bound = np.minimum(high[0][i], high[1]).sum(1) * (rule.num + rule.den)
+        live = (bound >= rule.num * (least[0][i] + least[1])) & ((only[0][i] == -1) | (only[0][i] != only[1]))
         if trees[0] is trees[1] or sides[0] is sides[1]:
             live[:i] = False
         picked = np.flatnonzero(live)
         if not len(picked):
             continue
         other = np.concatenate([trees[1][j] for j in picked])
-        over = np.minimum(points[leaf][:, None, :], points[other][None, :, :]).sum(2) * (NUM + DEN)
-        ok = (over >= NUM * (n[leaf][:, None] + n[other][None, :])) & (comp[leaf][:, None] != comp[other][None, :])
+        over = np.minimum(points[leaf][:, None, :], points[other][None, :, :]).sum(2) * (rule.num + rule.den)
+        ok = ((over >= rule.num * (n[leaf][:, None] + n[other][None, :]))
+              & (comp[leaf][:, None] != comp[other][None, :]))
         x, y = np.nonzero(ok)
         out_a.append(np.minimum(ids[leaf[x]], ids[other[y]]))
         out_b.append(np.maximum(ids[leaf[x]], ids[other[y]]))
     return out_a, out_b
 
 
-def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Candidate pairs in nodes whose members lie in different components."""
     rows = (members.select("key", "id").join(comps, "id", "left")
             .select("key", "id", F.coalesce("component", "id").alias("component")))
@@ -226,15 +280,20 @@ def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFr
     def node(table: pa.Table) -> pa.Table:
         points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
         a, b = tree_join(*(table[c].to_numpy() for c in ("id", "n", "component")),
-                         points.astype(np.int32), table["side"].to_numpy())
+                         points.astype(np.int32), table["side"].to_numpy(), rule)
         pick = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
         return pa.table(pick, names=["a", "b"])
     return rows.groupBy("key", "i", "j").applyInArrow(node, "a long, b long").where("a < b").distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, n_shingles, component_id)`` for every row with an id."""
-    prof = materialize(profiles(docs, id_col, text_col), "profiles")
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                       width: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(id_col, n_shingles, component_id)`` for every row with an id.
+
+    Shingles have ``width`` words; linked at a similarity of ``num / den`` or more.
+    """
+    rule = Rule(width, num, den)
+    prof = materialize(profiles(docs, id_col, text_col, rule), "profiles")
     same = ["n", "f1", "f2"]
     first = prof.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep"))
     owner = materialize(prof.select("id", *same).join(first, same, "left")
@@ -255,9 +314,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = materialize(texts.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "texts")
 
     star = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    links = verify(star, reps, held)
+    links = verify(star, reps, held, rule)
     comps = connected_components(links)
-    more = verify(cross_pairs(members, reps, comps), reps, held)
+    more = verify(cross_pairs(members, reps, comps, rule), reps, held, rule)
     comps = connected_components(links.unionByName(more)).withColumnRenamed("id", "rep")
     return owner.join(comps, "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
