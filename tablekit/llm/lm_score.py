@@ -1,25 +1,26 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
-Both models share one vocabulary: the ``VOCAB`` most frequent words of the
-background corpus, counted over all documents, and an unknown word. They are
-class-based bigram models: the ``CLASSES`` most frequent words are classes of
-their own, all others one class;
+Both are word bigram models over one vocabulary, all words of the two corpora:
 
-    P(w | v) = P(class(w) | class(v)) * P(w | class(w))
+    P(w | v) = (c(v, w) + kinds(v) * p(w)) / (c(v) + kinds(v))
 
-with Witten-Bell interpolation of class bigrams with class unigrams, and
-additive smoothing of words in their class. A text's score is its mean loss
+Witten-Bell interpolation with a unigram ``p`` that is smoothed additively; the
+context of a text's first word is a start mark. A text's score is its mean loss
 under the target model minus that under the background model: the lower, the
 more it is like the target.
 
-All statistics cover all documents. What reaches the driver and the executors
-whole is bounded by the two parameters: at most ``VOCAB`` words and
-``(CLASSES + 1) ** 2`` class bigrams. Words are compared by a 64-bit hash.
+Nothing is cut by rank or count: words and bigrams of both corpora are Spark
+tables that grow with the input, and only the number of words and the two sums
+of counts reach the driver. Texts are scored by joining their own counted bigrams
+with the table of bigram losses, and a sum for each text. Joins are merge joins
+at every size; hot words and bigrams are split by the adaptive skew join. Words,
+bigrams and texts are compared by a 64-bit hash.
 
 Defined results: null and empty texts and texts without words have 0 tokens,
-losses 0 and score 0. An empty target corpus gives a smoothed uniform model.
-Null ids are kept; repeated rows count and are scored as they come. Other
-columns are ignored.
+losses 0 and score 0. A word that neither corpus has gets the unigram of count 0,
+and as a context gives the unigram. An empty target corpus gives a smoothed
+uniform model. Null ids are kept; repeated rows count and are scored as they
+come. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,122 +29,114 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_map, slices
-from .words import BY_LETTER, words
+from .base import arrow_map, materialize, slices
+from .words import BY_LETTER, mix, words
 
-VOCAB, CLASSES = 65_535, 1_023
-ALPHA = 0.1
-#: Bytes of text whose words are counted together before they leave Python.
+#: Smoothing count of a word, and words that smoothing reckons with at least.
+ALPHA, CLASSES = 0.1, 1_023
+#: Bytes of text whose bigrams are counted together before they leave Python.
 COUNT_BYTES = 8 << 20
 
 
-def _counted(texts: DataFrame, codes, kind: str) -> DataFrame:
-    """``(code, n)`` summed over all texts; ``codes(part)`` gives a batch's codes."""
+def _bigrams(part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(before, word, first)``: the word before a text's first one is 0."""
+    h, first = words(part, BY_LETTER, True)
+    before = np.zeros_like(h)
+    before[1:] = h[:-1]
+    starts = first[:-1]
+    before[starts[starts < len(h)]] = 0
+    return before, h, first
+
+
+def _counts(before: np.ndarray, word: np.ndarray, text: np.ndarray | None = None):
+    """Positions of the distinct bigrams (of each text) and their counts."""
+    code = mix(before * np.uint64(0x9E3779B97F4A7C15) + word)
+    if text is not None:
+        code = mix(code + text.astype(np.uint64))
+    _, at, n = np.unique(code, return_index=True, return_counts=True)
+    return at, n
+
+
+def bigram_counts(texts: DataFrame) -> DataFrame:
+    """``(v, w, n)``: bigrams of the first column, counted within a batch."""
     def make():
         def batch(rows: pa.RecordBatch):
             for part in slices(rows.column(0), COUNT_BYTES):
-                code, n = np.unique(codes(part), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], ["code", "n"])
+                before, word, _ = _bigrams(part)
+                at, n = _counts(before, word)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[at].view(np.int64)), pa.array(word[at].view(np.int64)), pa.array(n.astype(np.int64))],
+                    ["v", "w", "n"])
         return batch
-    return arrow_map(texts, make, f"code {kind}, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    return _counted(texts, lambda part: words(part, BY_LETTER, True)[0].view(np.int64), "long")
+    return arrow_map(texts, make, "v long, w long, n long")
 
 
 @dataclass
-class Vocabulary:
-    hashes: np.ndarray   # sorted
-    index: np.ndarray    # word number of each hash: 1.. by frequency; 0 is the unknown word
-
-    def lookup(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(h), np.int32)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.index[at], 0).astype(np.int32)
-
-    def numbers(self, part) -> tuple[np.ndarray, np.ndarray]:
-        h, first = words(part, BY_LETTER, True)
-        return self.lookup(h.view(np.int64)), first
-
-
-def classes(numbers: np.ndarray) -> np.ndarray:
-    return np.where(numbers <= CLASSES, numbers, 0)
-
+class Models:
+    pairs: DataFrame  # v, w, target, background: counts of every bigram
+    names: tuple[str, str] = ("target", "background")
+
+    def losses(self, wanted: DataFrame | None = None) -> DataFrame:
+        """``(pair, target, background)``: losses of all bigrams, and of ``wanted`` (v, w)."""
+        pairs, zero = self.pairs, F.lit(0).cast("bigint")
+        after = pairs.groupBy("v").agg(*(f(c).alias(f"{k}_{c}") for c in self.names
+                                         for k, f in (("seen", F.sum), ("kinds", lambda c: F.count(F.when(F.col(c) > 0, 1))))))
+        ends = materialize(pairs.groupBy("w").agg(*(F.sum(c).alias(f"ends_{c}") for c in self.names)), "words")
+        sums = ends.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(f"ends_{c}"), zero).alias(c) for c in self.names)).first()
+        if wanted is not None:
+            new = wanted.distinct().join(pairs.hint("merge"), ["v", "w"], "left_anti")
+            pairs = pairs.unionByName(new.select("v", "w", *(zero.alias(c) for c in self.names)))
+        pairs = pairs.join(after.hint("merge"), "v", "left").join(ends.hint("merge"), "w", "left")
+
+        def loss(c: str) -> Column:
+            def of(name):
+                return F.coalesce(F.col(name), zero)
+            one = (of(f"ends_{c}") + ALPHA) / F.lit(sums[c] + ALPHA * max(sums["words"] + 1, CLASSES + 1))
+            seen, kinds = of(f"seen_{c}"), of(f"kinds_{c}")
+            return -F.log(F.when(seen > 0, (F.col(c) + kinds * one) / (seen + kinds)).otherwise(one))
+        return pairs.select(F.xxhash64("v", "w").alias("pair"), *(loss(c).alias(c) for c in self.names))
 
-def _bigrams(numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Class bigram codes; the class before a text's first word is 0."""
-    own = classes(numbers).astype(np.int64)
-    before = np.zeros_like(own)
-    before[1:] = own[:-1]
-    starts = first[:-1]
-    before[starts[starts < len(own)]] = 0
-    return before * (CLASSES + 1) + own
 
+def fit(background: DataFrame, target: DataFrame) -> Models:
+    """Count both corpora; each input's first column is the text."""
+    none = F.lit(0).cast("bigint")
+    both = (bigram_counts(target).select("v", "w", F.col("n").alias("target"), none.alias("background"))
+            .unionByName(bigram_counts(background).select("v", "w", none.alias("target"), F.col("n").alias("background"))))
+    return Models(materialize(both.groupBy("v", "w").agg(F.sum("target").alias("target"),
+                                                         F.sum("background").alias("background")), "bigrams"))
 
-@dataclass
-class Models:
-    vocabulary: Vocabulary
-    between: np.ndarray  # (2, (CLASSES + 1) ** 2) loss of a class after a class: target, background
-    within: np.ndarray   # (2, words) loss of a word in its class
 
+def score(models: Models, docs: DataFrame, id_col: str, text_col: str, known: bool = False) -> DataFrame:
+    """``(id_col, n_tokens, target_loss, background_loss, score)`` per row.
 
-def fit(background: DataFrame, target: DataFrame) -> Models:
-    """Fit both models; each input's first column is the text."""
-    totals = word_counts(background)
-    top = totals.orderBy(F.desc("n"), "code").limit(VOCAB)
-    kept = top.select("code", F.col("n").alias("background"))
-    both = (word_counts(target).withColumnRenamed("n", "target").join(F.broadcast(kept), "code", "right")
-            .select("code", "background", F.coalesce("target", F.lit(0)).alias("target")))
-    got = both.toPandas().sort_values(["background", "code"], ascending=[False, True], kind="stable")
-    code = got["code"].to_numpy(np.int64)
-    order = np.argsort(code)
-    vocabulary = Vocabulary(code[order], (order + 1).astype(np.int32))
-
-    size, k = len(code) + 1, CLASSES + 1
-    cls = classes(np.arange(size))
-    within, between = np.empty((2, size), np.float32), np.empty((2, k * k), np.float32)
-    for i, (name, texts) in enumerate((("target", target), ("background", background))):
-        pairs = _counted(texts, lambda part: _bigrams(*vocabulary.numbers(part)), "long").toPandas()
-        c = np.zeros(k * k)
-        c[pairs["code"].to_numpy()] = pairs["n"].to_numpy()
-        c = c.reshape(k, k)
-        n = np.concatenate([[0], got[name].to_numpy(np.float64)])
-        n[0] = c.sum() - n.sum()  # every word ends one bigram: the rest is unknown words
-        n += ALPHA
-        within[i] = -np.log(n / np.bincount(cls, n, minlength=k)[cls])
-        one = c.sum(0) + ALPHA
-        one /= one.sum()
-        seen, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-        p = np.where(seen > 0, (c + kinds * one) / np.maximum(seen + kinds, 1), one)
-        between[i] = -np.log(p).ravel()
-    return Models(vocabulary, between, within)
-
-
-def score(models: Models, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id_col, n_tokens, target_loss, background_loss, score)`` per row."""
-    docs = docs.select(F.col(text_col).alias("__text"), F.col(id_col))
-    kind = docs.schema.fields[1].dataType.simpleString()
+    ``known``: the corpora hold all of these texts, so no bigram can be new.
+    """
+    docs = docs.select(F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("__key"), F.col(id_col))
 
     def make():
         def batch(rows: pa.RecordBatch):
+            keys = rows.column(1).to_numpy()
             for part in slices(rows.column(0)):
-                numbers, first = models.vocabulary.numbers(part)
-                code, count = _bigrams(numbers, first), np.diff(first)
-                loss = np.zeros((2, len(part)))
-                some = np.flatnonzero(count)
-                for i in range(2):
-                    if len(some):
-                        each = models.between[i][code].astype(np.float64) + models.within[i][numbers]
-                        loss[i, some] = np.add.reduceat(each, first[some]) / count[some]
+                before, word, first = _bigrams(part)
+                text = np.repeat(np.arange(len(part)), np.diff(first))
+                at, n = _counts(before, word, text)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(1)[part.rows], pa.array(count.astype(np.int64)), pa.array(loss[0]),
-                     pa.array(loss[1]), pa.array(loss[0] - loss[1])],
-                    [id_col, "n_tokens", "target_loss", "background_loss", "score"])
+                    [pa.array(keys[part.rows][text[at]]), pa.array(before[at].view(np.int64)),
+                     pa.array(word[at].view(np.int64)), pa.array(n.astype(np.int32))], ["key", "v", "w", "n"])
         return batch
-    return arrow_map(docs, make, f"`{id_col}` {kind}, n_tokens long, target_loss double, "
-                                 "background_loss double, score double")
+    counted = arrow_map(docs.select("__text", "__key"), make, "key long, v long, w long, n int")
+    losses = models.losses(None if known else bigram_counts(docs.select("__text")).select("v", "w"))
+    # Equal texts have one key: their sums hold every copy, and are divided by the copies.
+    sums = (counted.select(F.xxhash64("v", "w").alias("pair"), "key", "n").join(losses.hint("merge"), "pair")
+            .groupBy("key").agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col(c)).alias(c) for c in models.names)))
+    copies = docs.groupBy(F.col("__key").alias("key")).agg(F.count("*").alias("copies"))
+    sums = (copies.join(sums.hint("merge"), "key").select(
+        "key", F.expr("n div copies").alias("n_tokens"), *((F.col(c) / F.col("n")).alias(c) for c in models.names)))
+    zero = F.lit(0.0)
+    out = docs.select("__key", id_col).join(sums.hint("merge"), F.col("__key") == F.col("key"), "left")
+    return out.select(id_col, F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
+                      *(F.coalesce(c, zero).alias(f"{c}_loss") for c in models.names),
+                      F.coalesce(F.col("target") - F.col("background"), zero).alias("score"))

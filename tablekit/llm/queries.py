@@ -162,7 +162,7 @@ def _(spark, sf_dir):
     # A merge join at every size: labelled ids have no bound that allows a broadcast.
     target = materialize(docs.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
     models = lm_score.fit(docs.select("text"), target)
-    return lm_score.score(models, docs, "doc_id", "text")
+    return lm_score.score(models, docs, "doc_id", "text", known=True)
 
 
 @query("op2_decontaminate")
