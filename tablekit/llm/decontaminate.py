@@ -11,8 +11,10 @@
    with it reaches ``COSINE`` are candidates.
 4. A candidate is contaminated if the longest common subsequence of item and
    document (words, in a window around the passage) covers ``COVER`` of the
-   item, and if the item's answer, its last ``ANSWER`` words, is covered by
-   ``COVER_ANSWER`` in the part that matched.
+   item, and if either the item's answer, its last ``ANSWER`` words, is covered
+   by ``COVER_ANSWER`` in the part that matched (paraphrases: scattered matches),
+   or one run of it with gaps of at most ``GAP`` words covers ``COVER`` of the
+   item by itself (partial copies, wherever the item is cut).
 
 The benchmark is the query set; ``ITEM_BLOCK`` items share one latent space, and
 larger benchmarks are taken in blocks, each with a pass over the documents.
@@ -41,6 +43,8 @@ ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 208, 224, 16, 1, 7
 FIT_ROWS, FIT_TASKS = 400, 2
 COSINE = 0.3
 COVER, ANSWER, COVER_ANSWER = 0.6, 8, 0.5
+#: Words left out between two matches of a run, in the item or in the text.
+GAP = 2
 
 
 def term(h: np.ndarray) -> np.ndarray:
@@ -171,24 +175,28 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     return q @ vector[:, np.argsort(-value)[:RANK]].astype(np.float32)
 
 
-def lcs_cover(item: np.ndarray, text: np.ndarray) -> tuple[float, float]:
-    """Shares of the item and of its answer in a longest common subsequence."""
+def lcs_cover(item: np.ndarray, text: np.ndarray) -> tuple[float, float, float]:
+    """Shares of the item, of its answer and of the longest run of matches with
+    gaps of at most ``GAP`` words, in a longest common subsequence."""
     if not len(item) or not len(text):
-        return 0.0, 0.0
+        return 0.0, 0.0, 0.0
     table = np.zeros((len(item) + 1, len(text) + 1), np.int32)
     for i in range(len(item)):
         gain = table[i, :-1] + (text == item[i])
         table[i + 1, 1:] = np.maximum.accumulate(np.maximum(gain, table[i, 1:]))
     hit, i, j = np.zeros(len(item), bool), len(item), len(text)
+    run, most, last = 0, 0, (i, j)
     while i and j:
         if item[i - 1] == text[j - 1] and table[i, j] == table[i - 1, j - 1] + 1:
             hit[i - 1] = True
+            run = run + 1 if max(last[0] - i, last[1] - j) <= GAP else 1
             i, j = i - 1, j - 1
+            most, last = max(most, run), (i, j)
         elif table[i - 1, j] >= table[i, j - 1]:
             i -= 1
         else:
             j -= 1
-    return float(hit.mean()), float(hit[-ANSWER:].mean())
+    return float(hit.mean()), float(hit[-ANSWER:].mean()), most / len(item)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -270,8 +278,8 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
                     near = h[max(lo, a[x] - longest):min(hi, b[x] + longest)]
                     if np.isin(item, near).mean() < COVER:
                         continue
-                    cover, answer = lcs_cover(item, near)
-                    if cover >= COVER and answer >= COVER_ANSWER:
+                    cover, answer, run = lcs_cover(item, near)
+                    if cover >= COVER and (answer >= COVER_ANSWER or run >= COVER):
                         key = (int(text[x]), int(ident[y]))
                         found = (cover, answer, float(cosine[x, y]))
                         best[key] = max(best.get(key, found), found)
