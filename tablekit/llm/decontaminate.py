@@ -3,10 +3,10 @@
 1. Passages (``WINDOW`` words, every ``STRIDE`` words) of all documents are
    TF-IDF vectors over hashed terms; document frequencies cover all documents.
 2. A randomised SVD of TF-IDF passages gives ``RANK`` latent dimensions. It is
-   fitted on the benchmark items and a bounded sample of documents, items
-   weighted to the energy of the sample, so that their directions are kept:
+   fitted on the benchmark items and the passages of all documents, items
+   weighted to the energy of the documents, so that their directions are kept:
    each power step multiplies by the matrix and its transpose inside the tasks
-   and sums the partial products of the partitions.
+   and sums the partial products of the tasks in shards of terms.
 3. Every passage of every document is projected; items whose latent cosine
    with it reaches ``COSINE`` are candidates.
 4. A candidate is contaminated if the longest common subsequence of item and
@@ -32,16 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Texts, arrow_map, buffers, fixed_sample, materialize, slices
+from .base import Texts, arrow_map, bounded_batches, buffers, slices
 from .words import BY_LETTER, words
 
 TERMS = 1 << 13
 STRIDE = 24
 WINDOW = 2 * STRIDE
 ITEM_BLOCK, RANK, OVERSAMPLE, POWER, SEED = 208, 224, 16, 1, 7
-#: Documents whose passages the SVD is fitted on, at most (about).
-FIT_ROWS, FIT_TASKS = 400, 2
-COSINE = 0.3
+COSINE = 0.15
 COVER, ANSWER, COVER_ANSWER = 0.6, 8, 0.5
 #: Words left out between two matches of a run, in the item or in the text.
 GAP = 2
@@ -121,52 +119,79 @@ def orthonormal(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _spread_sums(out: np.ndarray, t: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """``out[t[i]] += values[at[i]]`` for all i."""
+    for k in range(0, len(t), 1 << 13):
+        order = np.argsort(t[k:k + (1 << 13)], kind="stable")
+        own = t[k:k + (1 << 13)][order]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        out[own[starts]] += np.add.reduceat(values[at[k:k + (1 << 13)][order]], starts, axis=0)
+
+
 def randomised_svd(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Right singular vectors ``(TERMS, RANK)`` of the weighted TF-IDF passages of
     ``rows`` (text, weight).
 
     The matrix stays with the tasks. A step sends an orthonormal basis Q to
-    them and returns ``A' (A Q)``, whose partial sums are added in shards of
+    them and returns ``A' (A Q)``, one partial sum a task, added in shards of
     terms; only matrices of ``TERMS x (RANK + OVERSAMPLE)`` reach the driver.
     """
     rank = RANK + OVERSAMPLE
     q = None  # the first basis is random; tasks make it from the seed
+    bounded_batches(rows)
 
     def table(terms: np.ndarray, values: np.ndarray) -> list[pa.Array]:
-        # Half precision on the way: a subspace needs no more.
-        return [pa.array(terms), pa.array([row.tobytes() for row in values.astype(np.float16)], pa.binary())]
+        # Half precision on the way, each row by its largest value: a subspace needs no more.
+        scale = np.maximum(np.abs(values).max(1, initial=0), 1e-30).astype(np.float32)
+        small = (values / scale[:, None]).astype(np.float16)
+        return [pa.array(terms), pa.array(scale), pa.array([row.tobytes() for row in small], pa.binary())]
 
-    def rows_of(column: pa.ChunkedArray) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(-1, rank)
+    def rows_of(part: pa.Table) -> np.ndarray:
+        values = np.frombuffer(b"".join(part["v"].to_pylist()), np.float16).reshape(-1, rank)
+        return values.astype(np.float32) * part["s"].to_numpy()[:, None]
 
     def add(part: pa.Table) -> pa.Table:
         terms, at = np.unique(part["t"].to_numpy(), return_inverse=True)
         out = np.zeros((len(terms), rank), np.float32)
-        np.add.at(out, at, rows_of(part["v"]))
-        return pa.table(table(terms, out), names=["t", "v"])
+        np.add.at(out, at, rows_of(part))
+        return pa.table(table(terms, out), names=["t", "s", "v"])
 
     for step in range(POWER + 1):
-        def make(sent=None if q is None else q.astype(np.float16)):  # a task's copy is small
+        def run(parts, sent=None if q is None else q.astype(np.float16)):  # a task's copy is small
             q = (np.random.default_rng(SEED).normal(size=(TERMS, rank)) if sent is None else sent).astype(np.float32)
-
-            def batch(part: pa.RecordBatch):
-                out, weight = np.zeros((TERMS, rank), np.float32), part.column(1).to_numpy()
-                for run in slices(part.column(0)):
-                    h, first = words(run, BY_LETTER, True)
+            weighted = np.zeros((TERMS + 1, rank + 1), np.float32)  # the last row is padding
+            weighted[:-1, :-1] = q * idf[:, None]
+            weighted[:-1, -1] = idf ** 2
+            out = np.zeros((TERMS, rank), np.float32)
+            for part in parts:
+                weight = part.column(1).to_numpy()
+                for texts in slices(part.column(0), 256 << 10):
+                    h, first = words(texts, BY_LETTER, True)
                     text, start, stop = _windows(first)
-                    for a in range(0, len(start), 128):
-                        row, t, w = _tfidf_rows(h, idf, start[a:a + 128], stop[a:a + 128])
-                        terms, at = np.unique(t, return_inverse=True)
-                        dense = np.zeros((len(start[a:a + 128]), len(terms)), np.float32)
-                        np.add.at(dense, (row, at), w * weight[run.rows][text[a:a + 128]][row])
-                        out[terms] += dense.T @ (dense @ q[terms])
-                hit = np.flatnonzero(out.any(1))
-                yield pa.RecordBatch.from_arrays(table(hit, out[hit]), ["t", "v"])
-            return batch
-        parts = arrow_map(rows, make, "t long, v binary")
-        got = parts.groupBy(F.pmod("t", F.lit(16))).applyInArrow(add, "t long, v binary").toArrow()
+                    if not len(start):
+                        continue
+                    t = term(h)
+                    sums, lead = _block_sums(weighted, t, first)
+                    block = lead[text] + (start - first[:-1][text]) // STRIDE
+                    both = np.flatnonzero(stop - start > STRIDE)
+                    latent = sums[block]
+                    latent[both] += sums[block[both] + 1]
+                    # Both sides of A'A have the passage's norm and its text's weight.
+                    latent = latent[:, :-1] * (weight[texts.rows][text] ** 2 / np.maximum(latent[:, -1], 1e-12)
+                                               ).astype(np.float32)[:, None]
+                    back = np.zeros((lead[-1], rank), np.float32)
+                    back[block] = latent
+                    back[block[both] + 1] += latent[both]
+                    size = np.diff(first)
+                    own = np.repeat(np.arange(len(size)), size)
+                    _spread_sums(out, t, lead[own] + (np.arange(len(t)) - first[:-1][own]) // STRIDE, back)
+            out *= idf[:, None].astype(np.float32)
+            hit = np.flatnonzero(out.any(1))
+            yield pa.RecordBatch.from_arrays(table(hit, out[hit]), ["t", "s", "v"])
+        parts = rows.mapInArrow(run, "t long, s float, v binary")
+        got = parts.groupBy(F.pmod("t", F.lit(16))).applyInArrow(add, "t long, s float, v binary").toArrow()
         z = np.zeros((TERMS, rank), np.float32)
-        z[got["t"].to_numpy()] = rows_of(got["v"])
+        z[got["t"].to_numpy()] = rows_of(got)
         if step < POWER:
             q = orthonormal(z)
             rank = q.shape[1]
@@ -216,13 +241,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if len(keep):
         df, total = document_frequencies(docs.select("text"))
         idf = np.log((1 + total) / (1 + df)) + 0.05
-        sample = fixed_sample(docs, "id", FIT_ROWS).select("text").coalesce(FIT_TASKS)
-        sample = materialize(sample, "sample")
+        # Passages of all documents, about one every STRIDE words of six bytes.
+        windows = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] / (6 * STRIDE)
         idents = items["item"].to_numpy()
         for k in range(0, len(keep), ITEM_BLOCK):
             block = keep[k:k + ITEM_BLOCK]
             found = found.unionByName(_retrieve(
-                docs, sample, idf, idents[block], [item_h[a:b] for a, b in
+                docs, windows, idf, idents[block], [item_h[a:b] for a, b in
                                                    zip(item_first[block], item_first[block + 1])],
                 [column[int(i)].as_py() for i in block], out))
     return (found.groupBy("id", "item")
@@ -230,13 +255,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .withColumnsRenamed(names))
 
 
-def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.ndarray,
+def _retrieve(docs: DataFrame, windows: float, idf: np.ndarray, ident: np.ndarray,
               item_words: list[np.ndarray], item_texts: list[str], out: str) -> DataFrame:
     """Contaminated documents of one block of items."""
     spark = docs.sparkSession
-    windows = sample.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] / (6 * STRIDE)
     weight = float(np.sqrt(max(1.0, windows / len(ident))))
-    rows = sample.select("text", F.lit(1.0).alias("weight")).unionByName(
+    # One partial sum a core: few matrices are moved, whatever the number of files.
+    rows = docs.select("text", F.lit(1.0).alias("weight")).coalesce(spark.sparkContext.defaultParallelism).unionByName(
         spark.createDataFrame(pa.table({"text": item_texts, "weight": [weight] * len(ident)})).coalesce(1))
     basis = randomised_svd(rows, idf)
     sent = (basis * 32).astype(np.float16)  # half precision on the way to the tasks
@@ -249,11 +274,17 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
                               np.flatnonzero(np.diff(row, prepend=-1)), axis=0)
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
     longest = int(size.max())
+    # Places of the items' words among all of them; padding and other words come last.
+    known = np.unique(np.concatenate(item_words))
+    own_place = np.full((len(size), longest), len(known))
+    for y, item in enumerate(item_words):
+        own_place[y, :len(item)] = np.searchsorted(known, item)
 
     def make():
         weighted = np.zeros((TERMS + 1, sent.shape[1] + 1), np.float32)  # the last row is padding
         weighted[:-1, :-1] = sent.astype(np.float32) / 32 * idf[:, None]
         weighted[:-1, -1] = idf ** 2
+        present = np.zeros(len(known) + 2, bool)
 
         def batch(rows: pa.RecordBatch):
             ids = rows.column(1).to_numpy()
@@ -271,18 +302,24 @@ def _retrieve(docs: DataFrame, sample: DataFrame, idf: np.ndarray, ident: np.nda
                 latent = latent[:, :-1] / np.sqrt(np.maximum(latent[:, -1:], 1e-12))
                 best: dict[tuple[int, int], tuple] = {}
                 cosine = latent @ queries.T
-                for x, y in zip(*np.nonzero(cosine >= COSINE)):
-                    item = item_words[y]
+                likely = cosine >= COSINE
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                place = np.where(known[place] == h, place, len(known) + 1)
+                for x in np.flatnonzero(likely.any(1)):
                     # The item may begin before or end after the window.
                     lo, hi = first[text[x]], first[text[x] + 1]
-                    near = h[max(lo, a[x] - longest):min(hi, b[x] + longest)]
-                    if np.isin(item, near).mean() < COVER:
-                        continue
-                    cover, answer, run = lcs_cover(item, near)
-                    if cover >= COVER and (answer >= COVER_ANSWER or run >= COVER):
-                        key = (int(text[x]), int(ident[y]))
-                        found = (cover, answer, float(cosine[x, y]))
-                        best[key] = max(best.get(key, found), found)
+                    lo, hi = max(lo, a[x] - longest), min(hi, b[x] + longest)
+                    present[place[lo:hi]] = True
+                    present[-2:] = False
+                    ys = np.flatnonzero(likely[x])
+                    ys = ys[present[own_place[ys]].sum(1) >= COVER * size[ys]]
+                    present[place[lo:hi]] = False
+                    for y in ys:
+                        cover, answer, run = lcs_cover(item_words[y], h[lo:hi])
+                        if cover >= COVER and (answer >= COVER_ANSWER or run >= COVER):
+                            key = (int(text[x]), int(ident[y]))
+                            found = (cover, answer, float(cosine[x, y]))
+                            best[key] = max(best.get(key, found), found)
                 if best:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([int(ids[part.rows][d]) for d, _ in best]), pa.array([i for _, i in best]),
