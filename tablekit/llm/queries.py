@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import langid, lm_score, toxicity
-from .base import fixed_sample, fold, materialize
+from .base import fixed_sample, fold
 from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
@@ -160,7 +160,7 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
     # A merge join at every size: labelled ids have no bound that allows a broadcast.
-    target = materialize(docs.join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
+    target = docs.join(good.hint("merge"), "doc_id", "left_semi").select("text")
     models = lm_score.fit(docs.select("text"), target)
     return lm_score.score(models, docs, "doc_id", "text", known=True)
 
