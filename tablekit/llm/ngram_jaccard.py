@@ -52,8 +52,9 @@ from .words import BY_SPACE, mix, words
 SHINGLE = 3
 #: Linked when ``DEN * intersection >= NUM * union``.
 NUM, DEN = 90, 100
-#: Coordinates of a document's point, and groups within one band.
-GROUPS, BAND_GROUPS = 32, 64
+#: Coordinates of a document's point (more below a threshold of bands, where the
+#: bound must tell more apart), and groups within one band.
+GROUPS, FINE_GROUPS, BAND_GROUPS = 32, 128, 64
 #: Points in a leaf of the packed R-tree, and documents on a side of a tile.
 LEAF, TILE = 16, 1024
 #: Shingles that a band holds on average, at least; rows of the sample for common
@@ -76,6 +77,23 @@ class Rule:
         return self.num + self.den >= 2 * BAND_LEAST * (self.den - self.num)
 
 
+    @property
+    def groups(self) -> int:
+        return GROUPS if self.banded else FINE_GROUPS
+
+    def pack(self, s: np.ndarray) -> bytes:
+        """A set's point, low bytes of all coordinates first (the others compress away)."""
+        point = np.bincount(s & np.uint64(self.groups - 1), minlength=self.groups).astype("<u4")
+        return point.tobytes() if self.banded else point.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+    def unpack(self, points: list[bytes]) -> np.ndarray:
+        raw = b"".join(points)
+        if self.banded:
+            return np.frombuffer(raw, "<u4").reshape(-1, GROUPS)
+        planes = np.frombuffer(raw, np.uint8).reshape(-1, 4, FINE_GROUPS)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4").reshape(-1, FINE_GROUPS)
+
+
 def shingles(h: np.ndarray, most: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes of one document's word hashes."""
     n = len(h)
@@ -154,8 +172,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, rule: Rule = Rule()) -
                     n.append(len(s))
                     low.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                     high.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-                    points.append(np.bincount(s & np.uint64(GROUPS - 1), minlength=GROUPS)
-                                  .astype("<u4").tobytes())
+                    points.append(rule.pack(s))
                     if not rule.banded:
                         keys.append(prefix_keys(s, common, rule).view(np.int64))
                         continue
@@ -187,8 +204,7 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule
         def batch(rows: pa.RecordBatch):
             if rows.num_rows:
                 col = {f: rows.column(i) for i, f in enumerate(rows.schema.names)}
-                pa_, pb_ = (np.frombuffer(b"".join(col[c].to_pylist()), "<u4").reshape(-1, GROUPS)
-                            for c in ("pa", "pb"))
+                pa_, pb_ = (rule.unpack(col[c].to_pylist()) for c in ("pa", "pb"))
                 size = col["na"].to_numpy() + col["nb"].to_numpy()
                 keep = np.minimum(pa_, pb_).sum(1) * (rule.num + rule.den) >= rule.num * size
                 yield pa.RecordBatch.from_arrays([col["a"], col["b"]], ["a", "b"]).filter(pa.array(keep))
@@ -278,7 +294,7 @@ def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame, rule: Rul
                        "id", "n", "component", "point")
 
     def node(table: pa.Table) -> pa.Table:
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
+        points = rule.unpack(table["point"].to_pylist())
         a, b = tree_join(*(table[c].to_numpy() for c in ("id", "n", "component")),
                          points.astype(np.int32), table["side"].to_numpy(), rule)
         pick = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
