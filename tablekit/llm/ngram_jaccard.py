@@ -318,7 +318,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = (sigs.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
              .where("low <> high").select("key"))
     # Members of nodes, copies replaced by their representative.
-    rows = materialize(sigs.join(nodes, "key").join(owner.select("id", "rep").distinct(), "id")
+    rows = materialize(sigs.join(nodes.hint("merge"), "key")
+                       .join(owner.select("id", "rep").distinct().hint("merge"), "id")
                        .select("key", F.col("rep").alias("id")).distinct(), "members")
     ends = rows.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last")
     members = materialize(rows.join(ends.select("key", "rep"), "key"), "members")
