@@ -14,6 +14,7 @@ from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .ngram_jaccard import jaccard_components
 from .pack import pack
+from .token_align import alignment
 from .token_file import read_tokens, write_tokens
 from .url_filter import filter_urls
 from .warc import read_archive, write_archive
@@ -187,3 +188,8 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "llm", "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op11_token_align")
+def _(spark, sf_dir):
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
