@@ -39,7 +39,7 @@ from ..session import scratch_path
 from .base import Texts, arrow_map, slices
 
 #: Distinct pieces that one worker remembers; all are dropped when there are more.
-MEMORY = 1 << 20
+MEMORY = 1 << 19
 #: Bytes of new pieces that are encoded and aligned together.
 CALL_BYTES = 1 << 16
 #: Bytes of texts in a chunk; a longer text is a chunk of its own.
