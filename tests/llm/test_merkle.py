@@ -95,7 +95,7 @@ def test_a_hot_group_of_several_rounds(spark):
 
 
 def test_folding_starts_from_the_retained_state():
-    nodes = [sha256(bytes([i])).digest() for i in range(300)]
+    nodes = [sha256(i.to_bytes(2)).digest() for i in range(300)]
     t = merkle.Subtree(nodes, 3)
     for i in (0, 15, 16, 299):
         assert t.fold(i, nodes[i].hex().encode()) == t.root
