@@ -197,7 +197,6 @@ ORACLES: dict[str, str] = {
     "word_count": WORD_COUNT,
     "word_count_sink": WORD_COUNT,
     "text_scan": ALL_LINES,
-    "min_partition_scan": f"SELECT CAST(count(*) AS BIGINT) AS n, CAST(16 AS BIGINT) AS partitions FROM ({ALL_LINES})",
     "drop_header_equal": (f"WITH lines AS {LINES} SELECT doc_id, line_no, value FROM lines "
                           "WHERE value <> (SELECT value FROM lines ORDER BY doc_id, line_no "
                           "LIMIT 1)"),
@@ -341,10 +340,6 @@ ORACLES: dict[str, str] = {
         f"WITH {RATINGS} SELECT u AS o_custkey, i AS l_partkey, CAST(CAST(q AS FLOAT) AS DOUBLE) AS rating, "
         "(u NOT IN (SELECT u FROM r WHERE b < 9000) OR i NOT IN (SELECT i FROM r WHERE b < 9000)) AS unseen, "
         "true AS fits FROM r WHERE b >= 9000"),
-    "text_nb": (
-        "SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS label, CAST(len(" + LOWER_TOKENS.format(t="d.text")
-        + ") AS BIGINT) AS tokens, true AS in_classes FROM documents d JOIN labels l ON d.doc_id = l.doc_id "
-        f"WHERE {_bucket('d.doc_id')} >= 9000"),
     "decision_tree": ("SELECT vec_id, CAST(label AS DOUBLE) AS label, true AS in_classes, true AS beats_majority "
                       f"FROM embeddings WHERE {_bucket('vec_id')} >= 9000"),
     "tree_report": ("SELECT count(DISTINCT label) > 1 AS depth_ok, count(DISTINCT label) > 1 AS nodes_ok, "

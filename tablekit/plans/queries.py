@@ -104,15 +104,6 @@ def q_text_scan(spark, sf_dir):
     return text.read_lines(spark, _documents_as_text_files(spark, sf_dir))
 
 
-@query("min_partition_scan")
-def q_min_partition_scan(spark, sf_dir):
-    """A2: text scan dealt over 16 partitions; every line is read once, and all
-    partitions hold lines (there are more lines than partitions)."""
-    lines = text.read_lines(spark, _documents_as_text_files(spark, sf_dir), min_partitions=16)
-    parts = lines.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    return parts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("partitions"))
-
-
 @query("drop_header_equal")
 def q_drop_header_equal(spark, sf_dir):
     """A3: drop every line equal to the first line (first by doc, then line)."""
@@ -639,18 +630,6 @@ def _labelled_docs(spark, sf_dir):
     return d.join(lab, "doc_id")
 
 
-@query("text_nb")
-def q_text_nb(spark, sf_dir):
-    """Tokenizer -> HashingTF -> IDF -> NaiveBayes pipeline, 90/10 split."""
-    docs = _labelled_docs(spark, sf_dir)
-    train, test = relational.hash_split(docs, ["doc_id"], [0.9, 0.1])
-    model = features.fit_pipeline(features.tfidf_stages("text") + [models.naive_bayes()],
-                                  train)
-    total = F.aggregate(vector_to_array("__tf"), F.lit(0.0), lambda a, x: a + x)
-    return model.transform(test).select("doc_id", "label", total.cast("bigint").alias("tokens"),
-                                        F.col("prediction").isin(0.0, 1.0).alias("in_classes"))
-
-
 NB_LANGS = ["de", "en", "es", "fr"]
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import io
+from contextlib import contextmanager, redirect_stdout
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,14 @@ def preview(df: DataFrame, n: int = 20, truncate: bool | int = True) -> None:
     df.show(n, truncate=truncate)
 
 
+def preview_lines(df: DataFrame, n: int = 20, truncate: bool | int = True) -> list[str]:
+    """What ``preview`` prints, as lines."""
+    out = io.StringIO()
+    with redirect_stdout(out):
+        preview(df, n, truncate)
+    return out.getvalue().rstrip("\n").split("\n")
+
+
 def take_bounded(df: DataFrame, n: int) -> list:
     """At most ``n`` rows to the driver, never an unbounded collect."""
     return df.limit(n).collect()
@@ -102,5 +111,5 @@ def persisted(df: DataFrame):
 
 
 __all__ = ["write_key_value_text", "read_key_value_text", "load_overwrite",
-           "insert_overwrite", "write_bucketed", "preview",
+           "insert_overwrite", "write_bucketed", "preview", "preview_lines",
            "take_bounded", "cached", "persisted", "cut_lineage"]

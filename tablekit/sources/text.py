@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .splits import read_lines_split
+
 
 def read_lines(spark: SparkSession, path: str | list[str],
                min_partitions: int | None = None) -> DataFrame:
     """A1/A2: one row per line, column ``value``.
 
-    ``min_partitions`` mirrors ``textFile(path, n)``: the lines are then dealt
-    round-robin over that many partitions.
+    ``min_partitions`` mirrors ``textFile(path, n)``: the files are cut into at
+    least that many splits (see ``splits``); no line is shuffled.
     """
-    df = spark.read.text(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    return read_lines_split(spark, path, min_partitions) if min_partitions else spark.read.text(path)
 
 
 def first_value(lines: DataFrame, col: str = "value") -> str | None:
