@@ -24,6 +24,8 @@ from tablekit.llm.url_filter import filter_urls
 from tablekit.llm.warc import parse, read_archive, read_records, write_archive
 from tablekit.session import scratch_path
 
+from test_near_copies import brute as near_copies_brute
+
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i * 7919 % 5000}" for i in range(30_000))
@@ -353,7 +355,9 @@ def test_pipeline_stages_decide(spark):
     kept = {r[0] for r in corpus_pipeline.language(spark, given, SF).select("doc_id").collect()}
     assert kept == set(rows) - {5000, 5001}
     kept = {r[0] for r in corpus_pipeline.dedup(spark, docs, SF).select("doc_id").collect()}
-    want = jaccard_brute([(i, t) for i, t in rows.items() if i < 400])
+    # The stage's own width and threshold, not those of the op7 query.
+    want = near_copies_brute([(i, t) for i, t in rows.items() if i < 400], corpus_pipeline.DEDUP_WORDS,
+                             corpus_pipeline.DEDUP_NUM, corpus_pipeline.DEDUP_DEN)
     small = docs.where("doc_id < 400")
     assert {r[0] for r in corpus_pipeline.dedup(spark, small, SF).select("doc_id").collect()} == \
         {i for i, (_, c) in want.items() if i == c}
@@ -381,7 +385,10 @@ CONTRACT = {
     "op6_url_filter": {"page_id", "host", "path", "rule", "verdict"},
     "op7_ngram_jaccard": {"doc_id", "n_shingles", "component_id"},
     "op8_warc_revisit": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
-    "op9_lm_score": {"doc_id", "score"}, "op10_langid": {"doc_id", "held_out", "lang_pred", "score"}}
+    "op9_lm_score": {"doc_id", "score"}, "op10_langid": {"doc_id", "held_out", "lang_pred", "score"},
+    "op11_token_align": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+    "op12_chat_format": {"conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"},
+    "op13_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"}}
 
 
 @pytest.mark.parametrize("name", sorted(CONTRACT))
@@ -390,7 +397,7 @@ def test_query_runs_over_the_whole_table(spark, name):
     assert CONTRACT[name] <= set(out.columns)
     rows = out.toPandas()
     key = rows.columns[0]
-    if name not in ("op2_decontaminate", "op4_pack"):
+    if name not in ("op2_decontaminate", "op4_pack", "op12_chat_format"):
         source = {"vec_id": "embeddings", "page_id": "pages"}.get(key, "documents")
         assert sorted(rows[key]) == sorted(r[0] for r in queries.table(spark, SF, source).select(key).collect())
     if "held_out" in rows:
