@@ -22,8 +22,11 @@ from a sample and changes the nodes only, never the links.
 
 In a node that holds documents not yet linked, a packed R-tree over the full
 count vectors is joined with itself: node pairs whose boxes, then points whose
-coordinates, bound the overlap too low are dropped. Surviving pairs are
-verified on the shingle sets of the whole texts.
+coordinates, bound the overlap too low are dropped. What is left is bounded once
+more by a much finer count vector (2 to 4 groups a shingle), of which only the
+parities are kept: two sets differ in at least as many shingles as parities.
+Pairs that survive both are verified on the shingle sets of the whole texts, so
+texts move for pairs that are linked or close to it only.
 
 Nodes are never gathered whole. First every member is compared with the
 smallest id of its node (linear in the node), which settles families of copies.
@@ -60,6 +63,8 @@ LEAF, TILE = 16, 1024
 #: Shingles that a band holds on average, at least; rows of the sample for common
 #: shingles, and how many of them hold a common one.
 BAND_LEAST, COMMON_ROWS, COMMON = 8, 1000, 10
+#: Bytes of parities that are compared at once.
+PARITY_BYTES = 4 << 20
 
 _WEIGHT = mix(np.arange(1, BAND_GROUPS + 1, dtype=np.uint64))
 
@@ -86,6 +91,10 @@ class Rule:
         point = np.bincount(s & np.uint64(self.groups - 1), minlength=self.groups).astype("<u4")
         return point.tobytes() if self.banded else point.view(np.uint8).reshape(-1, 4).T.tobytes()
 
+    def near(self, apart: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether sets of ``sizes`` together may be linked if they differ in ``apart`` or more."""
+        return apart * (self.den + self.num) <= sizes * (self.den - self.num)
+
     def unpack(self, points: list[bytes]) -> np.ndarray:
         raw = b"".join(points)
         if self.banded:
@@ -109,6 +118,32 @@ def shingles(h: np.ndarray, most: int = SHINGLE) -> np.ndarray:
     return out[keep]
 
 
+def parities(s: np.ndarray) -> bytes:
+    """The parities of a set's counts in 2 to 4 groups a shingle, a power of two, 64 at least."""
+    groups = max(64, 1 << (2 * len(s) - 1).bit_length())
+    held = np.bincount(((s >> np.uint64(32)) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.packbits((held & 1).astype(bool)).tobytes()
+
+
+def differing(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """How many parities differ in each pair: at least so many shingles are in one set only.
+
+    The vector of more groups is folded first: a group of the shorter one holds the
+    shingles of several, so its parity is theirs together.
+    """
+    out = np.zeros(len(a), np.int64)
+    sizes = np.array([[len(x), len(y)] for x, y in zip(a, b)], np.int64).reshape(-1, 2)
+    for la, lb in np.unique(sizes, axis=0).tolist():
+        rows = np.flatnonzero((sizes == (la, lb)).all(1))
+        for at in range(0, len(rows), max(1, PARITY_BYTES // max(la, lb))):
+            part = rows[at:at + max(1, PARITY_BYTES // max(la, lb))]
+            x, y = (np.frombuffer(b"".join([v[i] for i in part]), "<u8").reshape(len(part), -1) for v in (a, b))
+            least = min(la, lb) // 8
+            x, y = (np.bitwise_xor.reduce(v.reshape(len(part), -1, least), axis=1) for v in (x, y))
+            out[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
 def slab_starts(limit: int, num: int = NUM, den: int = DEN) -> list[int]:
     """First sizes of the slabs up to ``limit``, and two beyond."""
     starts = [1]
@@ -166,13 +201,14 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, rule: Rule = Rule()) -
         def batch(rows: pa.RecordBatch):
             for part in slices(rows.column(1)):
                 hashes, first = words(part, BY_SPACE)
-                n, low, high, points, keys = [], [], [], [], []
+                n, low, high, points, odd, keys = [], [], [], [], [], []
                 for i in range(len(part)):
                     s = shingles(hashes[first[i]:first[i + 1]], rule.width)
                     n.append(len(s))
                     low.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                     high.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                     points.append(rule.pack(s))
+                    odd.append(parities(s))
                     if not rule.banded:
                         keys.append(prefix_keys(s, common, rule).view(np.int64))
                         continue
@@ -185,20 +221,20 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, rule: Rule = Rule()) -
                     keys.append(np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0)[part.rows], pa.array(n, pa.int64()), pa.array(low, pa.int64()),
-                     pa.array(high, pa.int64()), pa.array(points, pa.binary()),
+                     pa.array(high, pa.int64()), pa.array(points, pa.binary()), pa.array(odd, pa.binary()),
                      pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "n", "f1", "f2", "point", "keys"])
+                    ["id", "n", "f1", "f2", "point", "odd", "keys"])
         return batch
     return arrow_map(docs, make,
-                     "id long, n long, f1 long, f2 long, point binary, keys array<long>")
+                     "id long, n long, f1 long, f2 long, point binary, odd binary, keys array<long>")
 
 
 def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The pairs ``(a, b)`` that are linked, checked by bound and then by sets.
 
-    ``reps`` has the points, ``held`` the texts of all documents in pairs.
+    ``reps`` has the points and parities, ``held`` the texts of all documents in pairs.
     """
-    near = (pairs.join(reps.toDF("a", "na", "pa"), "a").join(reps.toDF("b", "nb", "pb"), "b"))
+    near = (pairs.join(reps.toDF("a", "na", "pa", "oa"), "a").join(reps.toDF("b", "nb", "pb", "ob"), "b"))
 
     def bound():
         def batch(rows: pa.RecordBatch):
@@ -207,6 +243,9 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule
                 pa_, pb_ = (rule.unpack(col[c].to_pylist()) for c in ("pa", "pb"))
                 size = col["na"].to_numpy() + col["nb"].to_numpy()
                 keep = np.minimum(pa_, pb_).sum(1) * (rule.num + rule.den) >= rule.num * size
+                left = np.flatnonzero(keep)
+                odd = [col[c].take(pa.array(left)).to_pylist() for c in ("oa", "ob")]
+                keep[left] = rule.near(differing(*odd), size[left])
                 yield pa.RecordBatch.from_arrays([col["a"], col["b"]], ["a", "b"]).filter(pa.array(keep))
         return batch
     near = materialize(arrow_map(near, bound, "a long, b long"), "near")
@@ -242,11 +281,12 @@ def _leaves(n: np.ndarray, points: np.ndarray) -> list[np.ndarray]:
     return [order[i:i + LEAF] for i in range(0, len(order), LEAF)]
 
 
-def tree_join(ids, n, comp, points, side, rule: Rule = Rule()) -> tuple[list, list]:
-    """Pairs of different components whose overlap bound reaches the threshold.
+def tree_join(ids, n, comp, points, odd, side, rule: Rule = Rule()) -> tuple[list, list]:
+    """Pairs of different components that may reach the threshold by their bounds.
 
     ``side``: 0 and 1 for the two sides of a tile, 2 if both are the same rows.
-    Boxes are compared first, then the points of surviving leaf pairs.
+    Boxes are compared first, then the points of surviving leaf pairs, then the
+    parities of surviving pairs.
     """
     out_a, out_b = [], []
     sides = [np.flatnonzero(side == k) for k in (0, 1)] if (side != 2).any() else None
@@ -273,6 +313,9 @@ def tree_join(ids, n, comp, points, side, rule: Rule = Rule()) -> tuple[list, li
         ok = ((over >= rule.num * (n[leaf][:, None] + n[other][None, :]))
               & (comp[leaf][:, None] != comp[other][None, :]))
         x, y = np.nonzero(ok)
+        apart = differing([odd[i] for i in leaf[x]], [odd[i] for i in other[y]])
+        close = rule.near(apart, n[leaf[x]] + n[other[y]])
+        x, y = x[close], y[close]
         out_a.append(np.minimum(ids[leaf[x]], ids[other[y]]))
         out_b.append(np.maximum(ids[leaf[x]], ids[other[y]]))
     return out_a, out_b
@@ -291,12 +334,12 @@ def cross_pairs(members: DataFrame, reps: DataFrame, comps: DataFrame, rule: Rul
     rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        F.when(F.col("own") == F.col("other"), 2)
                        .when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-                       "id", "n", "component", "point")
+                       "id", "n", "component", "point", "odd")
 
     def node(table: pa.Table) -> pa.Table:
         points = rule.unpack(table["point"].to_pylist())
         a, b = tree_join(*(table[c].to_numpy() for c in ("id", "n", "component")),
-                         points.astype(np.int32), table["side"].to_numpy(), rule)
+                         points.astype(np.int32), table["odd"].to_pylist(), table["side"].to_numpy(), rule)
         pick = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
         return pa.table(pick, names=["a", "b"])
     return rows.groupBy("key", "i", "j").applyInArrow(node, "a long, b long").where("a < b").distinct()
@@ -325,7 +368,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = materialize(rows.join(ends.select("key", "rep"), "key"), "members")
     # Points and texts of the members alone; merge joins, as neither side has a bound.
     wanted = materialize(members.select("id").distinct(), "wanted")
-    reps = materialize(prof.select("id", "n", "point").join(wanted.hint("merge"), "id", "left_semi")
+    reps = materialize(prof.select("id", "n", "point", "odd").join(wanted.hint("merge"), "id", "left_semi")
                        .dropDuplicates(["id"]), "points")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     held = materialize(texts.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "texts")

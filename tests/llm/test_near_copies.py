@@ -6,6 +6,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablekit.llm import ngram_jaccard, queries
@@ -66,3 +67,40 @@ def test_stage_removes_five_word_near_copies(spark):
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()], 5, 80, 100)
     kept = {r["doc_id"] for r in corpus_pipeline.dedup(spark, docs, SF).select("doc_id").collect()}
     assert kept == {i for i, (_, c) in want.items() if i == c}
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for n, m, both in ((1, 1, 0), (5, 3, 3), (40, 45, 38), (500, 2000, 450), (3000, 2900, 2890), (70_000, 100, 100)):
+        pool = np.unique(rng.integers(0, 1 << 64, n + m + 64, dtype=np.uint64))[:n + m - both]
+        rng.shuffle(pool)
+        a, b = np.sort(pool[:n]), np.sort(pool[n - both:])
+        x, y = ngram_jaccard.parities(a), ngram_jaccard.parities(b)
+        found = ngram_jaccard.differing([x, y, x], [y, x, x])
+        apart = len(a) + len(b) - 2 * both
+        assert found[0] == found[1] <= apart and found[2] == 0
+        assert apart > len(a) / 10 or found[0] > 0.7 * apart  # close to it where it decides
+    assert len(ngram_jaccard.differing([], [])) == 0
+
+
+def test_unlinked_documents_of_one_base_are_no_candidates(spark):
+    """Documents around a common base, below the threshold: few leave the tiles."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(300)]
+
+    def member():
+        words = list(base)
+        for at in rng.choice(300, 12, replace=False):  # each spoils five shingles
+            words[at] = f"x{rng.integers(0, 10**9)}"
+        return " ".join(words)
+    counts = []
+    for size in (100, 400):
+        docs = spark.createDataFrame([(i, member()) for i in range(size)], "doc_id long, text string")
+        rule = ngram_jaccard.Rule(5, 80, 100)
+        prof = ngram_jaccard.profiles(docs, "doc_id", "text", rule).cache()
+        members = prof.select(F.explode("keys").alias("key"), "id")
+        comps = spark.createDataFrame([], "id long, component long")
+        reps = prof.select("id", "n", "point", "odd")
+        counts.append(ngram_jaccard.cross_pairs(members, reps, comps, rule).count())
+        assert jaccard_components(docs, width=5, num=80, den=100).select("component_id").distinct().count() == size
+    assert counts[1] <= 400 * 0.05, counts
