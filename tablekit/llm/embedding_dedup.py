@@ -38,6 +38,12 @@ _SINGLE = (1 << 24) // (127 * 127)
 _EPS = 1e-9
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, such that squares neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(vectors).max(1))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def quantise(vectors: np.ndarray):
     """``(q, s, e, m)`` of unit vectors: int8 codes, step, residual norm, norm of s*q."""
     norm = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
@@ -50,6 +56,8 @@ def quantise(vectors: np.ndarray):
 
 def tile_links(x: np.ndarray, y: np.ndarray, same: bool, threshold: float):
     """Yields index arrays ``(i, j)`` of linked rows of x and y; i < j if ``same``."""
+    x = scaled(x)
+    y = x if same else scaled(y)
     qx, sx, ex, mx, nx = quantise(x)
     qy, sy, ey, my, ny = (qx, sx, ex, mx, nx) if same else quantise(y)
     kind = np.float32 if x.shape[1] <= _SINGLE else np.float64

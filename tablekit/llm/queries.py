@@ -68,11 +68,13 @@ def _(spark, sf_dir):
 
 
 @query("op1_embedding_dedup", """
-WITH RECURSIVE v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+WITH RECURSIVE g AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+         -floor(log2(list_max(list_transform(embedding::DOUBLE[], lambda x: abs(x))))) AS k FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0),
+v AS (SELECT vec_id, list_transform(e, lambda x: x * pow(2.0, floor(k / 2)) * pow(2.0, k - floor(k / 2))) AS e FROM g),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
       WHERE list_dot_product(a.e, b.e)
             / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9),
