@@ -9,12 +9,21 @@ context of a text's first word is a start mark. A text's score is its mean loss
 under the target model minus that under the background model: the lower, the
 more it is like the target.
 
-Nothing is cut by rank or count: words and bigrams of both corpora are Spark
-tables that grow with the input, and only the number of words and the two sums
-of counts reach the driver. Texts are scored by joining their own counted bigrams
-with the table of bigram losses, and a sum for each text. Joins are merge joins
-at every size; hot words and bigrams are split by the adaptive skew join. Words,
-bigrams and texts are compared by a 64-bit hash.
+Nothing is cut by rank or count, and no bigram is a row. A chunk, some MB of
+texts, is one row: its distinct words and its texts as places among them.
+
+* A chunk's distinct bigrams are cut into shards by their hash and sent as sorted,
+  packed arrays. A shard's task adds them up over all chunks and answers each
+  chunk with the counts of its bigrams in both corpora.
+* Of the chunks that hold a bigram, one is told to count it as a kind of its
+  context, so the kinds of a word are sums over chunks, too.
+* Counts of words are a Spark table with a row per word, summed over the chunks'
+  words and joined back to them.
+* With all that a chunk's task adds up the losses of its texts.
+
+A common word or bigram is at most one entry per chunk, and the hash deals
+bigrams evenly, so no shard is hot; the number of shards follows the number of
+bigrams. Words are compared by a 64-bit hash, bigrams by a 64-bit hash of two.
 
 Defined results: null and empty texts and texts without words have 0 tokens,
 losses 0 and score 0. A word that neither corpus has gets the unigram of count 0,
@@ -29,114 +38,238 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .base import arrow_map, materialize, slices
 from .words import BY_LETTER, mix, words
 
-#: Smoothing count of a word, and words that smoothing reckons with at least.
-ALPHA, CLASSES = 0.1, 1_023
-#: Bytes of text whose bigrams are counted together before they leave Python.
-COUNT_BYTES = 8 << 20
+#: Smoothing count of a word.
+ALPHA = 0.1
+#: Bytes of text in a chunk; a longer text is a chunk of its own.
+CHUNK_BYTES = 8 << 20
+#: Bigrams of all chunks that a shard holds, about.
+SHARD_PAIRS = 1 << 21
+
+#: What a text is for, as bits.
+TARGET, BACKGROUND, WANTED = 1, 2, 4
+COUNTS = ["ends_t", "ends_b", "seen_t", "seen_b", "kinds_t", "kinds_b"]
+CHUNK = ("chunk long, words array<long>, ends_t array<long>, ends_b array<long>, seen_t array<long>, "
+         "seen_b array<long>, ids array<long>, sizes array<int>, uses array<int>, places binary")
+
+
+def squeeze(*columns: np.ndarray) -> bytes:
+    """Equally long columns as compressed bytes, low bytes of all numbers first."""
+    rows = np.stack([c.astype(np.uint64) for c in columns])
+    return zstandard.ZstdCompressor(level=1).compress(
+        np.ascontiguousarray(rows.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)).tobytes())
+
+
+def expand(raw: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
+@dataclass
+class Chunk:
+    """Texts as places among the chunk's words; word 0 is the start mark."""
 
+    words: np.ndarray
+    place: np.ndarray   # of every word of every text
+    before: np.ndarray  # of the word before it
+    sizes: np.ndarray   # words per text
+    uses: np.ndarray    # bits per text
 
-def _bigrams(part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(before, word, first)``: the word before a text's first one is 0."""
-    h, first = words(part, BY_LETTER, True)
-    before = np.zeros_like(h)
-    before[1:] = h[:-1]
-    starts = first[:-1]
-    before[starts[starts < len(h)]] = 0
-    return before, h, first
+    @classmethod
+    def of(cls, words_, place, sizes, uses) -> "Chunk":
+        before = np.zeros_like(place)
+        before[1:] = place[:-1]
+        first = np.cumsum(sizes) - sizes
+        before[first[sizes > 0]] = 0
+        return cls(words_, place, before, sizes, uses)
 
+    @classmethod
+    def read(cls, words_, sizes, uses, places: bytes) -> "Chunk":
+        return cls.of(words_.view(np.uint64), expand(places, 1)[0].astype(np.int64), sizes.astype(np.int64), uses)
 
-def _counts(before: np.ndarray, word: np.ndarray, text: np.ndarray | None = None):
-    """Positions of the distinct bigrams (of each text) and their counts."""
-    code = mix(before * np.uint64(0x9E3779B97F4A7C15) + word)
-    if text is not None:
-        code = mix(code + text.astype(np.uint64))
-    _, at, n = np.unique(code, return_index=True, return_counts=True)
-    return at, n
+    def used(self, bit: int) -> np.ndarray:
+        """Whether each place belongs to a text of that use."""
+        return np.repeat(self.uses & bit > 0, self.sizes)
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(codes, at, number)``: sorted distinct bigrams, a place of each, and each place's bigram."""
+        code = mix(self.words[self.before] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.place])
+        return np.unique(code, return_index=True, return_inverse=True)
 
-def bigram_counts(texts: DataFrame) -> DataFrame:
-    """``(v, w, n)``: bigrams of the first column, counted within a batch."""
+
+def write_chunks(rows: DataFrame, path: str) -> None:
+    """``rows``: ``(text, id, use)``."""
     def make():
-        def batch(rows: pa.RecordBatch):
-            for part in slices(rows.column(0), COUNT_BYTES):
-                before, word, _ = _bigrams(part)
-                at, n = _counts(before, word)
+        task, seq = TaskContext.get().partitionId(), 0
+
+        def batch(table: pa.RecordBatch):
+            nonlocal seq
+            for part in slices(table.column(0), CHUNK_BYTES):
+                h, first = words(part, BY_LETTER, True)
+                own, place = np.unique(h, return_inverse=True)
+                uses = table.column(2)[part.rows].to_numpy()
+                c = Chunk.of(np.concatenate([np.zeros(1, np.uint64), own]), place + 1, np.diff(first), uses)
+                size = len(c.words)
+                counts = [np.bincount(x[c.used(bit)], minlength=size) for x in (c.place, c.before)
+                          for bit in (TARGET, BACKGROUND)]
+                seq += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(before[at].view(np.int64)), pa.array(word[at].view(np.int64)), pa.array(n.astype(np.int64))],
-                    ["v", "w", "n"])
+                    [pa.array([task << 32 | seq - 1]), pa.array([c.words.view(np.int64)], pa.list_(pa.int64())),
+                     *(pa.array([x], pa.list_(pa.int64())) for x in counts),
+                     pa.array([table.column(1)[part.rows].to_pylist()], pa.list_(pa.int64())),
+                     pa.array([c.sizes.astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([uses.astype(np.int32)], pa.list_(pa.int32())), pa.array([squeeze(c.place)], pa.binary())],
+                    [x.split()[0] for x in CHUNK.split(", ")])
         return batch
-    return arrow_map(texts, make, "v long, w long, n long")
+    arrow_map(rows, make, CHUNK).write.option("compression", "zstd").parquet(path)
 
 
-@dataclass
-class Models:
-    pairs: DataFrame  # v, w, target, background: counts of every bigram
-    names: tuple[str, str] = ("target", "background")
-
-    def losses(self, wanted: DataFrame | None = None) -> DataFrame:
-        """``(pair, target, background)``: losses of all bigrams, and of ``wanted`` (v, w)."""
-        pairs, zero = self.pairs, F.lit(0).cast("bigint")
-        after = pairs.groupBy("v").agg(*(f(c).alias(f"{k}_{c}") for c in self.names
-                                         for k, f in (("seen", F.sum), ("kinds", lambda c: F.count(F.when(F.col(c) > 0, 1))))))
-        ends = materialize(pairs.groupBy("w").agg(*(F.sum(c).alias(f"ends_{c}") for c in self.names)), "words")
-        sums = ends.agg(F.count("*").alias("words"), *(F.coalesce(F.sum(f"ends_{c}"), zero).alias(c) for c in self.names)).first()
-        if wanted is not None:
-            new = wanted.distinct().join(pairs.hint("merge"), ["v", "w"], "left_anti")
-            pairs = pairs.unionByName(new.select("v", "w", *(zero.alias(c) for c in self.names)))
-        pairs = pairs.join(after.hint("merge"), "v", "left").join(ends.hint("merge"), "w", "left")
-
-        def loss(c: str) -> Column:
-            def of(name):
-                return F.coalesce(F.col(name), zero)
-            one = (of(f"ends_{c}") + ALPHA) / F.lit(sums[c] + ALPHA * max(sums["words"] + 1, CLASSES + 1))
-            seen, kinds = of(f"seen_{c}"), of(f"kinds_{c}")
-            return -F.log(F.when(seen > 0, (F.col(c) + kinds * one) / (seen + kinds)).otherwise(one))
-        return pairs.select(F.xxhash64("v", "w").alias("pair"), *(loss(c).alias(c) for c in self.names))
+def _chunks_of(table: pa.RecordBatch):
+    """The chunks of a batch whose first columns are words, sizes, uses and places."""
+    for i in range(table.num_rows):
+        columns = [table.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(3)]
+        yield i, Chunk.read(*columns, table.column(3)[i].as_py())
 
 
-def fit(background: DataFrame, target: DataFrame) -> Models:
-    """Count both corpora; each input's first column is the text."""
-    none = F.lit(0).cast("bigint")
-    both = (bigram_counts(target).select("v", "w", F.col("n").alias("target"), none.alias("background"))
-            .unionByName(bigram_counts(background).select("v", "w", none.alias("target"), F.col("n").alias("background"))))
-    return Models(materialize(both.groupBy("v", "w").agg(F.sum("target").alias("target"),
-                                                         F.sum("background").alias("background")), "bigrams"))
+def _answers(chunks: DataFrame) -> DataFrame:
+    """``(chunk, packed array<binary>)``: per distinct bigram of a chunk its counts in the
+    target and the background, and which of them the chunk counts as a kind (bits)."""
+    total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    shift = max(0, int(total // SHARD_PAIRS)).bit_length()
+
+    def make():
+        def batch(table: pa.RecordBatch):
+            for i, c in _chunks_of(table):
+                codes, _, number = c.pairs()
+                n = [np.bincount(number[c.used(bit)], minlength=len(codes)) for bit in (TARGET, BACKGROUND)]
+                shard = (codes >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(codes), np.int64)
+                edge = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(codes) else np.zeros(1, np.int64)
+                cut = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[edge[:-1]]), pa.array([table.column(4)[i].as_py()] * len(cut), pa.int64()),
+                     pa.array([squeeze(np.diff(codes[a:b], prepend=np.uint64(0)), *(x[a:b] for x in n)) for a, b in cut],
+                              pa.binary())], ["shard", "chunk", "packed"])
+        return batch
+    asked = arrow_map(chunks.select("words", "sizes", "uses", "places", "chunk"), make, "shard long, chunk long, packed binary")
 
+    def count(table: pa.Table) -> pa.Table:
+        asks = [expand(x, 3) for x in table["packed"].to_pylist()]
+        edge = np.cumsum([0] + [a.shape[1] for a in asks])
+        _, number = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in asks]), return_inverse=True)
+        owner, sums = np.zeros(len(number), np.uint64), []
+        for bit in (0, 1):
+            n = np.concatenate([a[1 + bit] for a in asks])
+            sums.append(np.bincount(number, n.astype(np.float64))[number].astype(np.uint64))
+            holds = np.flatnonzero(n)
+            owner[holds[np.unique(number[holds], return_index=True)[1]]] |= np.uint64(1 << bit)
+        packed = [squeeze(sums[0][a:b], sums[1][a:b], owner[a:b]) for a, b in zip(edge[:-1], edge[1:])]
+        return pa.table({"chunk": table["chunk"], "shard": table["shard"], "packed": pa.array(packed, pa.binary())})
+    told = asked.groupBy("shard").applyInArrow(count, "chunk long, shard long, packed binary")
+    return (told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "packed"))).alias("x"))
+            .select("chunk", F.col("x.packed").alias("packed")))
 
-def score(models: Models, docs: DataFrame, id_col: str, text_col: str, known: bool = False) -> DataFrame:
-    """``(id_col, n_tokens, target_loss, background_loss, score)`` per row.
 
-    ``known``: the corpora hold all of these texts, so no bigram can be new.
+def _told(column: pa.ListScalar) -> np.ndarray:
+    """The answers of a chunk's shards, in order of the bigrams: three rows."""
+    parts = [expand(x, 3) for x in column.as_py()] if column.is_valid else []
+    return np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((3, 0), np.int64)
+
+
+def word_counts(chunks: DataFrame, answers: DataFrame) -> DataFrame:
+    """``(word, *COUNTS)``: how often a word ends and begins a bigram of each corpus, and
+    the kinds of words after it."""
+    def make():
+        def batch(table: pa.RecordBatch):
+            for i, c in _chunks_of(table):
+                _, at, _ = c.pairs()
+                owner = _told(table.column(4)[i])[2]
+                kinds = [np.bincount(c.before[at[owner & bit > 0]], minlength=len(c.words)) for bit in (1, 2)]
+                yield pa.RecordBatch.from_arrays(
+                    [table.column(0)[i].values, *(table.column(k)[i].values for k in range(5, 9)),
+                     *(pa.array(k.astype(np.int64)) for k in kinds)], ["word", *COUNTS])
+        return batch
+    columns = ["words", "sizes", "uses", "places", "packed", *COUNTS[:4]]
+    each = arrow_map(chunks.join(answers, "chunk", "left").select(*columns), make,
+                     "word long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return each.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+def score_texts(rows: DataFrame, id_col: str, text_col: str, target: Column, background: Column,
+                wanted: Column) -> DataFrame:
+    """``(id_col, n_tokens, target_loss, background_loss, score)`` per wanted row.
+
+    The conditions say which rows each model learns from and which are scored; all
+    that is read once. A null condition is false.
     """
-    docs = docs.select(F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("__key"), F.col(id_col))
+    spark = rows.sparkSession
+    use = sum((F.when(F.coalesce(c, F.lit(False)), bit).otherwise(0)
+               for c, bit in ((target, TARGET), (background, BACKGROUND), (wanted, WANTED))), F.lit(0))
+    path = scratch_path(spark, "llm", "lm_chunks")
+    write_chunks(rows.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("id"),
+                             use.cast("int").alias("use")), path)
+    chunks = spark.read.schema(CHUNK).parquet(path)
+    answers = materialize(_answers(chunks), "lm_answers")
+    table = materialize(word_counts(chunks, answers), "lm_words")
+    zero = F.lit(0).cast("bigint")
+    sums = table.agg(F.count(F.when(F.col("ends_t") + F.col("ends_b") > 0, 1)).alias("words"),
+                     *(F.coalesce(F.sum(c), zero).alias(c) for c in COUNTS[:2])).first()
+    asked = chunks.select("chunk", F.posexplode("words").alias("pos", "word"))
+    known = (asked.join(table, "word").groupBy("chunk")
+             .agg(F.sort_array(F.collect_list(F.struct("pos", *COUNTS))).alias("x"))
+             .select("chunk", *(F.col(f"x.{c}").alias(c) for c in COUNTS)))
+    cells, totals = ALPHA * (sums["words"] + 1), (sums["ends_t"], sums["ends_b"])
 
     def make():
-        def batch(rows: pa.RecordBatch):
-            keys = rows.column(1).to_numpy()
-            for part in slices(rows.column(0)):
-                before, word, first = _bigrams(part)
-                text = np.repeat(np.arange(len(part)), np.diff(first))
-                at, n = _counts(before, word, text)
+        def batch(table: pa.RecordBatch):
+            for i, c in _chunks_of(table):
+                number = c.pairs()[2]
+                told = _told(table.column(4)[i])
+                column = {x: table.column(6 + k)[i].values.to_numpy(zero_copy_only=False) for k, x in enumerate(COUNTS)}
+                text = np.repeat(np.arange(len(c.sizes)), c.sizes)
+                losses = []
+                for k, name in enumerate("tb"):
+                    one = ((column[f"ends_{name}"] + ALPHA) / (totals[k] + cells))[c.place]
+                    seen, kinds = (column[f"{x}_{name}"][c.before] for x in ("seen", "kinds"))
+                    p = np.where(seen > 0, (told[k][number] + kinds * one) / np.maximum(seen + kinds, 1), one)
+                    losses.append(np.bincount(text, -np.log(p), len(c.sizes)) / np.maximum(c.sizes, 1))
+                keep = c.uses & WANTED > 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[part.rows][text[at]]), pa.array(before[at].view(np.int64)),
-                     pa.array(word[at].view(np.int64)), pa.array(n.astype(np.int32))], ["key", "v", "w", "n"])
+                    [table.column(5)[i].values.filter(pa.array(keep)), pa.array(c.sizes[keep].astype(np.int64)),
+                     *(pa.array(x[keep]) for x in (*losses, losses[0] - losses[1]))],
+                    ["id", "n_tokens", "target_loss", "background_loss", "score"])
         return batch
-    counted = arrow_map(docs.select("__text", "__key"), make, "key long, v long, w long, n int")
-    losses = models.losses(None if known else bigram_counts(docs.select("__text")).select("v", "w"))
-    # Equal texts have one key: their sums hold every copy, and are divided by the copies.
-    sums = (counted.select(F.xxhash64("v", "w").alias("pair"), "key", "n").join(losses.hint("merge"), "pair")
-            .groupBy("key").agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col(c)).alias(c) for c in models.names)))
-    copies = docs.groupBy(F.col("__key").alias("key")).agg(F.count("*").alias("copies"))
-    sums = (copies.join(sums.hint("merge"), "key").select(
-        "key", F.expr("n div copies").alias("n_tokens"), *((F.col(c) / F.col("n")).alias(c) for c in models.names)))
-    zero = F.lit(0.0)
-    out = docs.select("__key", id_col).join(sums.hint("merge"), F.col("__key") == F.col("key"), "left")
-    return out.select(id_col, F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"),
-                      *(F.coalesce(c, zero).alias(f"{c}_loss") for c in models.names),
-                      F.coalesce(F.col("target") - F.col("background"), zero).alias("score"))
+    both = (chunks.select("chunk", "words", "sizes", "uses", "places", "ids")
+            .join(answers.join(known, "chunk", "full"), "chunk", "left"))
+    out = arrow_map(both.select("words", "sizes", "uses", "places", "packed", "ids", *COUNTS), make,
+                    "id long, n_tokens long, target_loss double, background_loss double, score double")
+    return out.withColumnRenamed("id", id_col)
+
+
+@dataclass
+class Models:
+    """Two corpora, in the first column of each frame."""
+
+    background: DataFrame
+    target: DataFrame
+
+
+def fit(background: DataFrame, target: DataFrame) -> Models:
+    return Models(background, target)
+
+
+def score(models: Models, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``score_texts`` for documents that need not be in a corpus, and corpora that need not share texts."""
+    none = F.lit(None).cast("bigint").alias("id")
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("id"), F.lit(WANTED).alias("use"))
+    for corpus, use in ((models.target, TARGET), (models.background, BACKGROUND)):
+        rows = rows.unionByName(corpus.select(F.col(corpus.columns[0]).cast("string").alias("text"), none, F.lit(use).alias("use")))
+    out = score_texts(rows, "id", "text", *(F.col("use") == bit for bit in (TARGET, BACKGROUND, WANTED)))
+    return out.withColumnRenamed("id", id_col)

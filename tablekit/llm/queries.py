@@ -158,15 +158,19 @@ def _(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+#: Labelled ids up to which they are sent to every task (16 bytes each); beyond, a merge join.
+LABEL_ROWS = 1 << 20
+
+
 @query("op9_lm_score")
 def _(spark, sf_dir):
     """Target corpus: documents labelled as good; background: all documents."""
     docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    # A merge join at every size: labelled ids have no bound that allows a broadcast.
-    target = docs.join(good.hint("merge"), "doc_id", "left_semi").select("text")
-    models = lm_score.fit(docs.select("text"), target)
-    return lm_score.score(models, docs, "doc_id", "text", known=True)
+    good = table(spark, sf_dir, "labels").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    small = good.count() <= LABEL_ROWS
+    good = good.withColumn("__good", F.lit(True))
+    docs = docs.select("doc_id", "text").join(F.broadcast(good) if small else good.hint("merge"), "doc_id", "left")
+    return lm_score.score_texts(docs, "doc_id", "text", F.col("__good"), F.lit(True), F.lit(True))
 
 
 @query("op2_decontaminate")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablekit.llm import lm_score
 
@@ -36,4 +37,29 @@ def test_rare_words_have_losses_of_their_own(spark):
     assert (got[1]["target_loss"], got[1]["background_loss"]) == pytest.approx((target_loss, background_loss), rel=1e-9)
     assert got[1]["score"] < got[2]["score"]
     assert got[1]["n_tokens"] == got[4]["n_tokens"] == 2 and got[1]["score"] == pytest.approx(got[4]["score"])
-    assert models.pairs.select("w").distinct().count() == size
+
+
+@pytest.mark.parametrize("size", [500, 1500])
+def test_one_formula_for_every_vocabulary(spark, size):
+    """No number of words is a switch: a text of unseen words loses ln(size + 1) a word."""
+    frame = lambda t: spark.createDataFrame([(x,) for x in t], "text string")
+    corpus = [" ".join(f"v{i}" for i in range(size))]
+    docs = spark.createDataFrame([(1, "new words only")], "doc_id long, text string")
+    got = lm_score.score(lm_score.fit(frame(corpus), frame([])), docs, "doc_id", "text").first()
+    assert got["target_loss"] == pytest.approx(np.log(size + 1), rel=1e-9)
+    alone = lm_score.ALPHA / (size + lm_score.ALPHA * (size + 1))
+    first = np.log((1 + 1) / alone)  # after the start mark, which one word follows
+    assert got["background_loss"] == pytest.approx((first - 2 * np.log(alone)) / 3, rel=1e-9)
+
+
+def test_shards_and_chunks_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 60, rng.integers(0, 90))), bool(i % 3)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
+
+    def run(parts):
+        out = lm_score.score_texts(docs.repartition(parts), "doc_id", "text", F.col("good"), F.lit(True), F.lit(True))
+        return {r["doc_id"]: (r["n_tokens"], round(r["target_loss"], 9), round(r["background_loss"], 9)) for r in out.collect()}
+    whole = run(1)
+    monkeypatch.setattr(lm_score, "SHARD_PAIRS", 50)
+    assert run(9) == whole and len(whole) == 120
