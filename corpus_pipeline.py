@@ -50,21 +50,27 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     comps = jaccard_components(docs, width=DEDUP_WORDS, num=DEDUP_NUM, den=DEDUP_DEN)
     gone = comps.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*_named(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(found, "doc_id", "left_anti").select(*_named(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
 
 
+def _named(docs: DataFrame) -> list:
+    """All columns by their names as they are, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def _carried(docs: DataFrame) -> list:
     """All columns but id and text under names that no operator's output has."""
-    return [F.col(c).alias(f"__in_{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    return [c.alias(f"__in_{i}") for i, (name, c) in enumerate(zip(docs.columns, _named(docs)))
+            if name not in ("doc_id", "text")]
 
 
 def _columns(out: DataFrame, docs: DataFrame) -> DataFrame:

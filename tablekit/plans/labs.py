@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from .. import sinks, streaming
 from ..functions import (assemble, impute_sentinel, indicators, numeric_columns, recode_binary,
                          remove_char)
-from ..operators import evaluate, features, models, profile, relational
-from ..sources import (drop_lines_containing, drop_lines_equal, labelled_messages, quoted_fields,
-                       read_declared, read_json, read_lines, schema_rows, typed_split)
+from ..operators import evaluate, features, models, profile, relational, trees
+from ..sources import (drop_lines_containing, drop_lines_equal, first_line_of_files, labelled_messages,
+                       quoted_fields, read_declared, read_json, read_lines, schema_rows, typed_split)
 
 SEED = 42
 
@@ -181,7 +181,7 @@ def iris_tree(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, Dat
             "species_index": relational.distinct_rows(indexed, "SPECIES", "IND_SPECIES"),
             "summary": profile.summary_stats(indexed, num),
             "corr": profile.corr_with_target(indexed, "IND_SPECIES", num),
-            "tree": models.tree_report(spark, model),
+            "tree": models.tree_report(spark, model), "nodes": trees.tree_nodes(spark, model),
             "predictions": pred.select("prediction", "species", "label"),
             "accuracy": evaluate.accuracy(pred), "confusion": evaluate.confusion(pred)}
 
@@ -191,7 +191,7 @@ def auto_clusters(spark: SparkSession, path: str,
                   seed: int = AUTO_SEED) -> dict[str, DataFrame]:
     """Drop the header line, recode doors/body, centre and scale the chosen
     columns, k-means, and the (cluster, x, y) table behind the scatter plot."""
-    lines = drop_lines_equal(read_lines(spark, path))
+    lines = drop_lines_equal(read_lines(spark, path), first_line_of_files(spark, path))
     parts = F.split("value", ",", -1)
     data = lines.select(recode_binary(parts.getItem(3), AUTO_DOORS_ONE, 1.0, 2.0).alias("DOORS"),
                         recode_binary(parts.getItem(4), AUTO_BODY_ONE, 1.0, 2.0).alias("BODY"),
@@ -225,7 +225,7 @@ def sms_naive_bayes(spark: SparkSession, path: str, truncate_at_comma: bool = Fa
 def bank_forest(spark: SparkSession, path: str, seed: int = SEED) -> dict[str, DataFrame]:
     """Semicolon lines with quotes removed: recodes and indicator flags, profile,
     correlation with the outcome, PCA(3), indexed label, 70/30 random forest."""
-    lines = drop_lines_equal(read_lines(spark, path))
+    lines = drop_lines_equal(read_lines(spark, path), first_line_of_files(spark, path))
     parts = F.split(remove_char("value", '"'), ";", -1)
     data = lines.select(
         recode_binary(parts.getItem(16), BANK_NO, 0.0, 1.0).alias("OUTCOME"),

@@ -340,7 +340,7 @@ ORACLES: dict[str, str] = {
         f"WITH {RATINGS} SELECT u AS o_custkey, i AS l_partkey, CAST(CAST(q AS FLOAT) AS DOUBLE) AS rating, "
         "(u NOT IN (SELECT u FROM r WHERE b < 9000) OR i NOT IN (SELECT i FROM r WHERE b < 9000)) AS unseen, "
         "true AS fits FROM r WHERE b >= 9000"),
-    "decision_tree": ("SELECT vec_id, CAST(label AS DOUBLE) AS label, true AS in_classes, true AS beats_majority "
+    "decision_tree": ("SELECT vec_id, CAST(label AS DOUBLE) AS label, true AS follows_rules, true AS beats_majority "
                       f"FROM embeddings WHERE {_bucket('vec_id')} >= 9000"),
     "tree_report": ("SELECT count(DISTINCT label) > 1 AS depth_ok, count(DISTINCT label) > 1 AS nodes_ok, "
                     "count(DISTINCT label) > 1 AS rules_ok FROM embeddings"),

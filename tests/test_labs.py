@@ -97,6 +97,8 @@ def test_iris_tree(spark, tmp_dir):
     assert out["species_index"].count() == 3
     t = out["tree"].first()
     assert t.depth <= 2 and t.num_nodes <= 7
+    nodes = out["nodes"].collect()
+    assert len(nodes) == t.num_nodes and sum(r.n for r in nodes if r.feature is None) == nodes[0].n
     acc = out["accuracy"].first().accuracy
     assert 0.0 <= acc <= 1.0
 

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablekit import sinks
+from tablekit.sources import tables
 from tablekit.sources import (declare_table, drop_lines_containing, drop_lines_equal,
                               labelled_messages,
                               first_line, first_n_lines, literal_table, numbered_lines,
@@ -178,3 +181,26 @@ def test_literal_table_is_plan_literals(spark):
     assert "ExistingRDD" not in plan and "EvalPython" not in plan
     assert sorted((r.k, r.label) for r in df.collect()) == [("F", "finished"), ("O", None)]
     assert literal_table(spark, [], "k string").count() == 0
+
+
+def test_spread_by_files_or_bytes(spark, tmp_dir):
+    """Few small files are spread; many files, or files of many splits, are read as they are."""
+    path = f"{tmp_dir}/t"
+    spark.range(50_000).coalesce(1).write.parquet(path)
+    scan = spark.read.parquet(path)
+    size = tables.scan_bytes(scan)
+    assert abs(size - sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet"))) <= 4096
+
+    def shuffled(df):
+        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    assert shuffled(tables.spread(scan, ["id"], 4))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split, want in ((f"{size // 4}b", False), (f"{size}", True), ("128m", True), ("1k", False)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            assert shuffled(tables.spread(scan, ["id"], 4)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    many = f"{tmp_dir}/many"
+    spark.range(100).repartition(5).write.parquet(many)
+    assert not shuffled(tables.spread(spark.read.parquet(many), ["id"], 5))
