@@ -1,21 +1,25 @@
 """Adaptive context-mixing range coder for token ids, many blocks in lockstep.
 
-A block is coded on its own: it starts from an empty model and carries a
-checksum. Step t codes the t-th id of every block at once, so each numpy call
-works on one id of up to ``LANES`` blocks.
+The file starts with a table of its ids and how often each occurs. A block is
+coded on its own: its model starts from that table, and it carries a checksum.
+Step t codes the t-th id of every block at once, so each numpy call works on one
+id of up to ``LANES`` blocks.
 
 Predictions of an id, from the ids before it in its block:
 
 * order 2: the id that last followed the two ids before;
 * order 1: the id that last followed the id before;
-* order 0: an adaptive distribution over the ids' magnitudes.
+* order 0: a distribution over all ids. The ids in ascending order are cut into
+  groups of about equal frequency; the groups' shares start as the table has them
+  and adapt within the block, an id's share of its group is the table's.
 
 The chance that the order-2 prediction is right mixes two adaptive estimates,
 one by the confidence of both predictions and one by the recent outcomes; the
-mixing weight follows whichever has been better. The magnitudes' distribution
-is taken anew from their (ageing) counts every ``REFRESH`` ids. An interval of
-``ONE`` is split into "order 2 is right", "order 1 is right" and the magnitudes, whose lower bits
-follow as they are. All arithmetic is on integers, so decoding repeats it.
+mixing weight follows whichever has been better. The groups' distribution is
+taken anew from their (ageing) counts every ``REFRESH`` ids. An interval of
+``ONE`` is split into "order 2 is right", "order 1 is right" and the groups; an
+id's interval within its group follows. All arithmetic is on integers, so
+decoding repeats it.
 """
 
 from __future__ import annotations
@@ -26,23 +30,49 @@ import zlib
 import numpy as np
 
 LANES, SHORTEST, LONGEST = 2048, 512, 2048
-MAGIC = b"TKCM\x01"
+MAGIC = b"TKCM\x02"
 
 _BITS = 16
 ONE = 1 << _BITS
-REFRESH, _AGE = 16, 400    # steps between distributions; counts are halved above
+REFRESH, _AGE = 16, 4096   # steps between distributions; counts are halved above
+GROUPS, _START = 32, 2048  # groups of order 0; what their counts add up to at first
 _SLOTS1, _SLOTS2 = 10, 11  # log2 of the prediction slots of a block
 _MOST2, _MOST1 = ONE - (ONE >> 4), ONE - (ONE >> 2)
 _U = np.uint64
 _LOW32 = _U(0xFFFFFFFF)
-_NARROW = 15               # raw bits of the first part
+
+
+class _Table:
+    """The distinct ids of a file in ascending order, their frequencies and groups."""
+
+    def __init__(self, ids: np.ndarray, freq: np.ndarray):
+        self.ids, self.freq = ids.astype(np.int64), freq.astype(np.int64)
+        self.upto = np.concatenate([[0], np.cumsum(self.freq)])
+        middle = self.upto[:-1] + self.freq // 2
+        _, first, self.group = np.unique(middle * GROUPS // self.upto[-1], return_index=True, return_inverse=True)
+        self.begin = self.upto[first]
+        self.total = np.diff(np.append(self.begin, self.upto[-1]))
+        self.start = np.maximum(self.total * _START // self.upto[-1], 1).astype(np.int32)
+
+    def pack(self) -> bytes:
+        raw = zlib.compress(np.diff(self.ids, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+                            + self.freq.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
+        return struct.pack("<II", len(self.ids), len(raw)) + raw
+
+    @classmethod
+    def unpack(cls, raw: bytes, at: int) -> tuple["_Table", int]:
+        n, size = struct.unpack_from("<II", raw, at)
+        planes = np.frombuffer(zlib.decompress(raw[at + 8:at + 8 + size]), np.uint8).reshape(2, 4, n)
+        step, freq = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4")[:, :, 0]
+        return cls(np.cumsum(step.astype(np.int64)), freq), at + 8 + size
 
 
 class _Model:
-    """Adaptive state of all blocks; ``kinds`` bounds the magnitudes in use."""
+    """Adaptive state of all blocks; ``start`` are the counts of order 0's groups at first."""
 
-    def __init__(self, lanes: int, kinds: int):
-        self.kinds, n = kinds, lanes
+    def __init__(self, lanes: int, start: np.ndarray):
+        kinds = self.kinds = len(start)
+        n = lanes
         self.row1 = np.arange(n, dtype=np.int64) << _SLOTS1
         self.row2 = np.arange(n, dtype=np.int64) << _SLOTS2
         self.row32, self.row8 = np.arange(n) * 32, np.arange(n) * 8
@@ -53,7 +83,7 @@ class _Model:
         self.recent2 = np.full(n * 8, ONE // 4, np.int32)
         self.weight = np.full(n, ONE // 2, np.int32)
         self.history = np.zeros(n, np.int64)
-        self.count = np.ones((n, kinds), np.int32)
+        self.count = np.tile(start, (n, 1))
         self.cdf = np.zeros((n, kinds + 1), np.int32)  # in units of ONE / 4
         self.steps = np.arange(kinds + 1, dtype=np.int32)
         self.flat, self.cell = np.arange(n) * (kinds + 1), np.arange(n) * kinds
@@ -105,7 +135,7 @@ class _Model:
             self._refresh()
 
     def bounds(self, rest: np.ndarray, at: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Offset of a magnitude in the rest of the interval, at least 1 wide each."""
+        """Offset of a group in the rest of the interval, at least 1 wide each."""
         return kind + ((rest - self.kinds) * self.cdf.ravel()[self.flat[at] + kind] >> (_BITS - 2))
 
     def find(self, rest: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -113,10 +143,6 @@ class _Model:
         return (edges <= value[:, None]).sum(1, dtype=np.int64)
 
 
-def _magnitude(ids: np.ndarray) -> np.ndarray:
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
-
-
 def _shape(n: int) -> tuple[int, int]:
     """``(length, blocks)``: all blocks but the last have ``length`` ids."""
     length = int(np.clip(-(-n // LANES), SHORTEST, LONGEST))
@@ -127,11 +153,12 @@ def encode(ids: np.ndarray) -> bytes:
     """Blocks of ids below 2^31, with their sizes and checksums."""
     n = len(ids)
     length, lanes = _shape(n)
-    grid = np.zeros(lanes * length, np.int64)  # the last block goes on with zeros
-    grid[:n] = ids
+    found, number, freq = np.unique(ids, return_inverse=True, return_counts=True)
+    table = _Table(found, freq) if n else _Table(np.zeros(1), np.ones(1))
+    grid = np.zeros(lanes * length, np.int64)  # the last block goes on with the smallest id
+    grid[:n] = number
     grid = np.ascontiguousarray(grid.reshape(lanes, length).T)
-    kinds = int(_magnitude(ids.max(initial=0)[None] if n else np.zeros(1)).max()) + 1
-    model = _Model(lanes, kinds)
+    model = _Model(lanes, table.start)
     low, rng = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
     cap = 2 * length + 4
     out, used = np.empty(lanes * cap, np.uint32), np.arange(lanes) * cap
@@ -146,14 +173,14 @@ def encode(ids: np.ndarray) -> bytes:
             used[at] += 1
             low[at], rng[at] = a << _U(32), r << _U(32)
 
-    kind_of = [_magnitude(row) for row in grid]
     for t in range(length):
-        x = grid[t]
+        number = grid[t]
+        x = table.ids[number]
         p2, p1, h2, h12 = model.predict()
         hit2 = x == p2
         hit1 = (x == p1) & ~hit2
         begin, end = np.where(hit2, 0, h2).astype(np.int64), np.where(hit2, h2, h12).astype(np.int64)
-        kind = np.where(hit2 | hit1, -1, kind_of[t])
+        kind = np.where(hit2 | hit1, -1, table.group[number])
         at = np.flatnonzero(kind >= 0)
         k, base = kind[at], h12[at]
         rest = ONE - base
@@ -162,21 +189,12 @@ def encode(ids: np.ndarray) -> bytes:
         r = rng >> _U(_BITS)
         low += r * begin.astype(_U)
         rng = r * (end - begin).astype(_U)
-        bits = np.maximum(k - 1, 0)
-        first = np.minimum(bits, _NARROW).astype(_U)
-        raw = (x[at] & ((1 << bits) - 1)).astype(_U)
-        r = rng[at] >> first
-        low[at] += r * (raw & ((_U(1) << first) - _U(1)))
-        rng[at] = r
         emit()
-        if kinds > _NARROW + 1:  # the upper raw bits of large ids
-            wide = np.flatnonzero(bits > _NARROW)
-            if len(wide):
-                lane, more = at[wide], (bits[wide] - _NARROW).astype(_U)
-                r = rng[lane] >> more
-                low[lane] += r * (raw[wide] >> _U(_NARROW))
-                rng[lane] = r
-                emit()
+        own = number[at]
+        r = rng[at] // table.total[k].astype(_U)
+        low[at] += r * (table.upto[own] - table.begin[k]).astype(_U)
+        rng[at] = r * table.freq[own].astype(_U)
+        emit()
         model.update(x, hit2, hit1, kind)
     for _ in range(2):
         out[used] = low >> _U(32)
@@ -187,22 +205,23 @@ def encode(ids: np.ndarray) -> bytes:
     body = b"".join(out[a:b].astype("<u4").tobytes() for a, b in zip(start, used))
     raw = np.ascontiguousarray(ids.astype("<u4"))
     sums = np.array([zlib.crc32(raw[k * length:(k + 1) * length]) for k in range(lanes)], "<u4")
-    return MAGIC + struct.pack("<IIII", n, length, lanes, kinds) + sizes.tobytes() + sums.tobytes() + body
+    return MAGIC + struct.pack("<III", n, length, lanes) + table.pack() + sizes.tobytes() + sums.tobytes() + body
 
 
 def decode(raw: bytes) -> np.ndarray:
     """The ids of ``encode``; raises if a block's checksum does not fit."""
-    head = len(MAGIC) + 16
+    head = len(MAGIC) + 12
     if raw[:len(MAGIC)] != MAGIC:
         raise ValueError("not a block of token ids")
-    n, length, lanes, kinds = struct.unpack("<IIII", raw[len(MAGIC):head])
+    n, length, lanes = struct.unpack("<III", raw[len(MAGIC):head])
+    table, head = _Table.unpack(raw, head)
     sizes = np.frombuffer(raw, "<u4", lanes, head).astype(np.int64)
     sums = np.frombuffer(raw, "<u4", lanes, head + 4 * lanes)
     words = np.frombuffer(raw, "<u4", offset=head + 8 * lanes).astype(_U)
     words = np.append(words, np.zeros(1, _U))
     stop = np.cumsum(sizes)
     at_word = stop - sizes
-    model = _Model(lanes, kinds)
+    model = _Model(lanes, table.start)
     low, rng = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
     code = (words[at_word] << _U(32)) | words[at_word + 1]
     at_word += 2
@@ -237,25 +256,15 @@ def decode(raw: bytes) -> np.ndarray:
         end[at] = base + model.bounds(rest, at, k + 1)
         low += r * begin.astype(_U)
         rng = r * (end - begin).astype(_U)
-        bits = np.maximum(k - 1, 0)
-        first = np.minimum(bits, _NARROW).astype(_U)
-        r = rng[at] >> first
-        part = np.minimum((code[at] - low[at]) // r, (_U(1) << first) - _U(1))
-        low[at] += r * part
-        rng[at] = r
-        got = part.astype(np.int64)
         fill()
-        if kinds > _NARROW + 1:
-            wide = np.flatnonzero(bits > _NARROW)
-            if len(wide):
-                lane, more = at[wide], (bits[wide] - _NARROW).astype(_U)
-                r = rng[lane] >> more
-                part = np.minimum((code[lane] - low[lane]) // r, (_U(1) << more) - _U(1))
-                low[lane] += r * part
-                rng[lane] = r
-                got[wide] |= part.astype(np.int64) << _NARROW
-                fill()
-        x[at] = np.where(k > 0, got | (np.int64(1) << bits), 0)
+        total = table.total[k]
+        r = rng[at] // total.astype(_U)
+        part = np.minimum(((code[at] - low[at]) // r).astype(np.int64), total - 1) + table.begin[k]
+        own = np.searchsorted(table.upto, part, side="right") - 1
+        low[at] += r * (table.upto[own] - table.begin[k]).astype(_U)
+        rng[at] = r * table.freq[own].astype(_U)
+        fill()
+        x[at] = table.ids[own]
         grid[t] = x
         model.update(x, hit2, hit1, kind)
     ids = grid.T.ravel()[:n].astype("<u4")

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tablekit.llm import base, idcoder, pack, tokens, url_filter, words
@@ -75,6 +76,27 @@ def test_coder_learns_and_checks():
         idcoder.decode(b"other" + raw[5:])
 
 
+def test_coded_ids_are_smaller_than_simpler_codes():
+    """All documents of sf0.01: below order-0 entropy and the table, and below zlib of 16-bit ids."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    encode = tokens.Encoder(tokenizer_path()).tokenizer.encode_batch_fast
+    ids = np.concatenate([np.array([*e.ids, 0], np.uint32) for e in encode([t or "" for t in texts], add_special_tokens=False)])
+    raw = idcoder.encode(ids)
+    found, n = np.unique(ids, return_counts=True)
+    entropy = -(n * np.log2(n / len(ids))).sum() / 8
+    assert (idcoder.decode(raw) == ids).all()
+    assert len(raw) < min(entropy + len(idcoder._Table(found, n).pack()), len(zlib.compress(ids.astype("<u2").tobytes(), 6)))
+
+
+def test_a_block_is_decoded_alone():
+    """Blocks share the table only: a damaged block leaves the others readable."""
+    ids = np.random.default_rng(2).integers(0, 300, 4 * idcoder.SHORTEST).astype(np.uint32)
+    raw = bytearray(idcoder.encode(ids))
+    raw[-3] ^= 0xFF  # in the last block's words
+    with pytest.raises(ValueError, match="block 3"):
+        idcoder.decode(bytes(raw))
+
+
 def _cost(cuts, penalty, chosen):
     total = 0
     for a, b in itertools.pairwise(chosen):
