@@ -9,21 +9,21 @@ context of a text's first word is a start mark. A text's score is its mean loss
 under the target model minus that under the background model: the lower, the
 more it is like the target.
 
-Nothing is cut by rank or count, and no bigram is a row. A chunk, some MB of
-texts, is one row: its distinct words and its texts as places among them.
+Nothing is cut by rank or count, and no word or bigram is a row. A chunk, some MB
+of texts, is one row: its distinct words and its texts as places among them.
 
 * A chunk's distinct bigrams are cut into shards by their hash and sent as sorted,
   packed arrays. A shard's task adds them up over all chunks and answers each
   chunk with the counts of its bigrams in both corpora.
 * Of the chunks that hold a bigram, one is told to count it as a kind of its
   context, so the kinds of a word are sums over chunks, too.
-* Counts of words are a Spark table with a row per word, summed over the chunks'
-  words and joined back to them.
+* A chunk's words are sent in the same way, with how often they end and begin
+  bigrams and with their kinds, and answered with the sums.
 * With all that a chunk's task adds up the losses of its texts.
 
-A common word or bigram is at most one entry per chunk, and the hash deals
-bigrams evenly, so no shard is hot; the number of shards follows the number of
-bigrams. Words are compared by a 64-bit hash, bigrams by a 64-bit hash of two.
+A common word or bigram is at most one entry per chunk, and the hash deals them
+evenly, so no shard is hot; the number of shards follows the number of words.
+Words are compared by a 64-bit hash, bigrams by a 64-bit hash of two.
 
 Defined results: null and empty texts and texts without words have 0 tokens,
 losses 0 and score 0. A word that neither corpus has gets the unigram of count 0,
@@ -56,9 +56,7 @@ SHARD_PAIRS = 1 << 21
 
 #: What a text is for, as bits.
 TARGET, BACKGROUND, WANTED = 1, 2, 4
-COUNTS = ["ends_t", "ends_b", "seen_t", "seen_b", "kinds_t", "kinds_b"]
-CHUNK = ("chunk long, words array<long>, ends_t array<long>, ends_b array<long>, seen_t array<long>, "
-         "seen_b array<long>, ids array<long>, sizes array<int>, uses array<int>, places binary")
+CHUNK = "chunk long, words binary, ids array<long>, sizes array<int>, uses array<int>, places binary"
 
 
 def squeeze(*columns: np.ndarray) -> bytes:
@@ -92,8 +90,8 @@ class Chunk:
         return cls(words_, place, before, sizes, uses)
 
     @classmethod
-    def read(cls, words_, sizes, uses, places: bytes) -> "Chunk":
-        return cls.of(words_.view(np.uint64), expand(places, 1)[0].astype(np.int64), sizes.astype(np.int64), uses)
+    def read(cls, sizes, uses, words_: bytes, places: bytes) -> "Chunk":
+        return cls.of(np.frombuffer(words_, "<u8"), expand(places, 1)[0].astype(np.int64), sizes.astype(np.int64), uses)
 
     def used(self, bit: int) -> np.ndarray:
         """Whether each place belongs to a text of that use."""
@@ -114,92 +112,109 @@ def write_chunks(rows: DataFrame, path: str) -> None:
             nonlocal seq
             for part in slices(table.column(0), CHUNK_BYTES):
                 h, first = words(part, BY_LETTER, True)
-                own, place = np.unique(h, return_inverse=True)
-                uses = table.column(2)[part.rows].to_numpy()
-                c = Chunk.of(np.concatenate([np.zeros(1, np.uint64), own]), place + 1, np.diff(first), uses)
-                size = len(c.words)
-                counts = [np.bincount(x[c.used(bit)], minlength=size) for x in (c.place, c.before)
-                          for bit in (TARGET, BACKGROUND)]
+                own, place, n = np.unique(h, return_inverse=True, return_counts=True)
+                often = np.argsort(-n, kind="stable")  # small places for common words compress best
+                rank = np.empty(len(own), np.int64)
+                rank[often] = np.arange(1, len(own) + 1)
                 seq += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([task << 32 | seq - 1]), pa.array([c.words.view(np.int64)], pa.list_(pa.int64())),
-                     *(pa.array([x], pa.list_(pa.int64())) for x in counts),
+                    [pa.array([task << 32 | seq - 1]),
+                     pa.array([np.concatenate([np.zeros(1, np.uint64), own[often]]).astype("<u8").tobytes()], pa.binary()),
                      pa.array([table.column(1)[part.rows].to_pylist()], pa.list_(pa.int64())),
-                     pa.array([c.sizes.astype(np.int32)], pa.list_(pa.int32())),
-                     pa.array([uses.astype(np.int32)], pa.list_(pa.int32())), pa.array([squeeze(c.place)], pa.binary())],
+                     pa.array([np.diff(first).astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([table.column(2)[part.rows].to_numpy().astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([squeeze(rank[place])], pa.binary())],
                     [x.split()[0] for x in CHUNK.split(", ")])
         return batch
     arrow_map(rows, make, CHUNK).write.option("compression", "zstd").parquet(path)
 
 
+#: Columns that a chunk is read from.
+TEXTS = ["sizes", "uses", "words", "places"]
+
+
 def _chunks_of(table: pa.RecordBatch):
-    """The chunks of a batch whose first columns are words, sizes, uses and places."""
+    """The chunks of a batch whose first columns are ``TEXTS``."""
     for i in range(table.num_rows):
-        columns = [table.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(3)]
-        yield i, Chunk.read(*columns, table.column(3)[i].as_py())
+        lists = [table.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(2)]
+        yield i, Chunk.read(*lists, *(table.column(k)[i].as_py() for k in (2, 3)))
 
 
-def _answers(chunks: DataFrame) -> DataFrame:
-    """``(chunk, packed array<binary>)``: per distinct bigram of a chunk its counts in the
-    target and the background, and which of them the chunk counts as a kind (bits)."""
-    total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    shift = max(0, int(total // SHARD_PAIRS)).bit_length()
+def _requests(chunk: int, shift: int, keys: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """``(shard, chunk, packed)``: sorted keys with their columns, cut by the keys' upper bits."""
+    shard = (keys >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(keys), np.int64)
+    edge = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(keys) else np.zeros(1, np.int64)
+    packed = [squeeze(np.diff(keys[a:b], prepend=np.uint64(0)), *(x[a:b] for x in columns))
+              for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(shard[edge[:-1]]), pa.array([chunk] * len(packed), pa.int64()),
+                                       pa.array(packed, pa.binary())], ["shard", "chunk", "packed"])
+
+
+def _by_chunk(asked: DataFrame, columns: int, kinds: bool) -> DataFrame:
+    """Sum the requests' columns per key and answer each chunk, ``(chunk, packed array<binary>, found)``.
 
+    With ``kinds`` a last column tells, as bits, for which corpora the chunk is the one
+    that counts the key; ``found`` are the keys that either of the first two columns holds.
+    """
+    def answer(table: pa.Table) -> pa.Table:
+        asks = [expand(x, columns + 1) for x in table["packed"].to_pylist()]
+        edge = np.cumsum([0] + [a.shape[1] for a in asks]).tolist()
+        _, number = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in asks]), return_inverse=True)
+        each = [np.concatenate([a[1 + k] for a in asks]) for k in range(columns)]
+        totals = [np.bincount(number, n.astype(np.float64)) for n in each]
+        out = [t[number].astype(np.uint64) for t in totals]
+        if kinds:
+            owner = np.zeros(len(number), np.uint64)
+            for bit, n in enumerate(each[:2]):
+                holds = np.flatnonzero(n)
+                owner[holds[np.unique(number[holds], return_index=True)[1]]] |= np.uint64(1 << bit)
+            out.append(owner)
+        packed = [squeeze(*(x[a:b] for x in out)) for a, b in zip(edge[:-1], edge[1:])]
+        found = [int(((totals[0] > 0) | (totals[1] > 0)).sum())] + [0] * (len(packed) - 1)
+        return pa.table({"chunk": table["chunk"], "shard": table["shard"], "packed": pa.array(packed, pa.binary()),
+                         "found": pa.array(found, pa.int64())})
+    told = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, packed binary, found long")
+    return (told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "packed"))).alias("x"),
+                                      F.sum("found").alias("found"))
+            .select("chunk", F.col("x.packed").alias("packed"), "found"))
+
+
+def _told(column: pa.ListScalar, columns: int) -> np.ndarray:
+    """The answers of a chunk's shards in order of its keys, a row per column."""
+    parts = [expand(x, columns) for x in column.as_py()] if column.is_valid else []
+    return np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((columns, 0), np.int64)
+
+
+def _bigram_answers(chunks: DataFrame, shift: int) -> DataFrame:
+    """Counts of each chunk's distinct bigrams in the target and the background, and the owner's bits."""
     def make():
         def batch(table: pa.RecordBatch):
             for i, c in _chunks_of(table):
                 codes, _, number = c.pairs()
-                n = [np.bincount(number[c.used(bit)], minlength=len(codes)) for bit in (TARGET, BACKGROUND)]
-                shard = (codes >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(codes), np.int64)
-                edge = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(codes) else np.zeros(1, np.int64)
-                cut = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[edge[:-1]]), pa.array([table.column(4)[i].as_py()] * len(cut), pa.int64()),
-                     pa.array([squeeze(np.diff(codes[a:b], prepend=np.uint64(0)), *(x[a:b] for x in n)) for a, b in cut],
-                              pa.binary())], ["shard", "chunk", "packed"])
+                yield _requests(table.column(4)[i].as_py(), shift, codes, *(
+                    np.bincount(number[c.used(bit)], minlength=len(codes)) for bit in (TARGET, BACKGROUND)))
         return batch
-    asked = arrow_map(chunks.select("words", "sizes", "uses", "places", "chunk"), make, "shard long, chunk long, packed binary")
+    return _by_chunk(arrow_map(chunks.select(*TEXTS, "chunk"), make, "shard long, chunk long, packed binary"), 2, True)
 
-    def count(table: pa.Table) -> pa.Table:
-        asks = [expand(x, 3) for x in table["packed"].to_pylist()]
-        edge = np.cumsum([0] + [a.shape[1] for a in asks])
-        _, number = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in asks]), return_inverse=True)
-        owner, sums = np.zeros(len(number), np.uint64), []
-        for bit in (0, 1):
-            n = np.concatenate([a[1 + bit] for a in asks])
-            sums.append(np.bincount(number, n.astype(np.float64))[number].astype(np.uint64))
-            holds = np.flatnonzero(n)
-            owner[holds[np.unique(number[holds], return_index=True)[1]]] |= np.uint64(1 << bit)
-        packed = [squeeze(sums[0][a:b], sums[1][a:b], owner[a:b]) for a, b in zip(edge[:-1], edge[1:])]
-        return pa.table({"chunk": table["chunk"], "shard": table["shard"], "packed": pa.array(packed, pa.binary())})
-    told = asked.groupBy("shard").applyInArrow(count, "chunk long, shard long, packed binary")
-    return (told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "packed"))).alias("x"))
-            .select("chunk", F.col("x.packed").alias("packed")))
-
-
-def _told(column: pa.ListScalar) -> np.ndarray:
-    """The answers of a chunk's shards, in order of the bigrams: three rows."""
-    parts = [expand(x, 3) for x in column.as_py()] if column.is_valid else []
-    return np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((3, 0), np.int64)
-
-
-def word_counts(chunks: DataFrame, answers: DataFrame) -> DataFrame:
-    """``(word, *COUNTS)``: how often a word ends and begins a bigram of each corpus, and
-    the kinds of words after it."""
+
+def _word_answers(chunks: DataFrame, bigrams: DataFrame, shift: int) -> DataFrame:
+    """Of each chunk's words in ascending order: how often they end and begin a bigram of
+    the target and the background, and the kinds of words after them."""
     def make():
         def batch(table: pa.RecordBatch):
             for i, c in _chunks_of(table):
+                size = len(c.words)
                 _, at, _ = c.pairs()
-                owner = _told(table.column(4)[i])[2]
-                kinds = [np.bincount(c.before[at[owner & bit > 0]], minlength=len(c.words)) for bit in (1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [table.column(0)[i].values, *(table.column(k)[i].values for k in range(5, 9)),
-                     *(pa.array(k.astype(np.int64)) for k in kinds)], ["word", *COUNTS])
+                owner = _told(table.column(4)[i], 3)[2]
+                counts = [np.bincount(x[c.used(bit)], minlength=size) for x in (c.place, c.before)
+                          for bit in (TARGET, BACKGROUND)]
+                counts += [np.bincount(c.before[at[owner & bit > 0]], minlength=size) for bit in (1, 2)]
+                order = np.argsort(c.words)
+                yield _requests(table.column(5)[i].as_py(), shift, c.words[order], *(x[order] for x in counts))
         return batch
-    columns = ["words", "sizes", "uses", "places", "packed", *COUNTS[:4]]
-    each = arrow_map(chunks.join(answers, "chunk", "left").select(*columns), make,
-                     "word long, " + ", ".join(f"{c} long" for c in COUNTS))
-    return each.groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    asked = arrow_map(chunks.select(*TEXTS, "chunk").join(bigrams, "chunk", "left").select(*TEXTS, "packed", "chunk"),
+                      make, "shard long, chunk long, packed binary")
+    return _by_chunk(asked, 6, False)
 
 
 def score_texts(rows: DataFrame, id_col: str, text_col: str, target: Column, background: Column,
@@ -216,39 +231,40 @@ def score_texts(rows: DataFrame, id_col: str, text_col: str, target: Column, bac
     write_chunks(rows.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("bigint").alias("id"),
                              use.cast("int").alias("use")), path)
     chunks = spark.read.schema(CHUNK).parquet(path)
-    answers = materialize(_answers(chunks), "lm_answers")
-    table = materialize(word_counts(chunks, answers), "lm_words")
-    zero = F.lit(0).cast("bigint")
-    sums = table.agg(F.count(F.when(F.col("ends_t") + F.col("ends_b") > 0, 1)).alias("words"),
-                     *(F.coalesce(F.sum(c), zero).alias(c) for c in COUNTS[:2])).first()
-    asked = chunks.select("chunk", F.posexplode("words").alias("pos", "word"))
-    known = (asked.join(table, "word").groupBy("chunk")
-             .agg(F.sort_array(F.collect_list(F.struct("pos", *COUNTS))).alias("x"))
-             .select("chunk", *(F.col(f"x.{c}").alias(c) for c in COUNTS)))
-    cells, totals = ALPHA * (sums["words"] + 1), (sums["ends_t"], sums["ends_b"])
+
+    def words_of(bits: int) -> Column:
+        counted = F.zip_with("sizes", "uses", lambda n, u: F.when(u.bitwiseAND(bits) > 0, n).otherwise(0))
+        return F.sum(F.aggregate(counted, F.lit(0).cast("long"), lambda a, x: a + x))
+    total, *totals = (x or 0 for x in chunks.agg(*map(words_of, (TARGET | BACKGROUND | WANTED, TARGET, BACKGROUND))).first())
+    shift = max(0, int(total // SHARD_PAIRS)).bit_length()
+    bigrams = materialize(_bigram_answers(chunks, shift), "lm_bigrams")
+    known = materialize(_word_answers(chunks, bigrams, shift), "lm_words")
+    # The start mark ends no bigram, so it is no word of the vocabulary.
+    cells = ALPHA * ((known.agg(F.sum("found")).first()[0] or 0) + 1)
 
     def make():
         def batch(table: pa.RecordBatch):
             for i, c in _chunks_of(table):
                 number = c.pairs()[2]
-                told = _told(table.column(4)[i])
-                column = {x: table.column(6 + k)[i].values.to_numpy(zero_copy_only=False) for k, x in enumerate(COUNTS)}
+                told = _told(table.column(4)[i], 3)
+                words_ = np.empty((6, len(c.words)), np.int64)
+                words_[:, np.argsort(c.words)] = _told(table.column(5)[i], 6)
                 text = np.repeat(np.arange(len(c.sizes)), c.sizes)
                 losses = []
-                for k, name in enumerate("tb"):
-                    one = ((column[f"ends_{name}"] + ALPHA) / (totals[k] + cells))[c.place]
-                    seen, kinds = (column[f"{x}_{name}"][c.before] for x in ("seen", "kinds"))
+                for k in (0, 1):
+                    ends, seen, kinds = words_[k][c.place], words_[2 + k][c.before], words_[4 + k][c.before]
+                    one = (ends + ALPHA) / (totals[k] + cells)
                     p = np.where(seen > 0, (told[k][number] + kinds * one) / np.maximum(seen + kinds, 1), one)
                     losses.append(np.bincount(text, -np.log(p), len(c.sizes)) / np.maximum(c.sizes, 1))
                 keep = c.uses & WANTED > 0
                 yield pa.RecordBatch.from_arrays(
-                    [table.column(5)[i].values.filter(pa.array(keep)), pa.array(c.sizes[keep].astype(np.int64)),
+                    [table.column(6)[i].values.filter(pa.array(keep)), pa.array(c.sizes[keep].astype(np.int64)),
                      *(pa.array(x[keep]) for x in (*losses, losses[0] - losses[1]))],
                     ["id", "n_tokens", "target_loss", "background_loss", "score"])
         return batch
-    both = (chunks.select("chunk", "words", "sizes", "uses", "places", "ids")
-            .join(answers.join(known, "chunk", "full"), "chunk", "left"))
-    out = arrow_map(both.select("words", "sizes", "uses", "places", "packed", "ids", *COUNTS), make,
+    told = bigrams.select("chunk", F.col("packed").alias("b")).join(
+        known.select("chunk", F.col("packed").alias("w")), "chunk", "full")
+    out = arrow_map(chunks.join(told, "chunk", "left").select(*TEXTS, "b", "w", "ids"), make,
                     "id long, n_tokens long, target_loss double, background_loss double, score double")
     return out.withColumnRenamed("id", id_col)
 
