@@ -63,8 +63,9 @@ LEAF, TILE = 16, 1024
 #: Shingles that a band holds on average, at least; rows of the sample for common
 #: shingles, and how many of them hold a common one.
 BAND_LEAST, COMMON_ROWS, COMMON = 8, 1000, 10
-#: Bytes of parities that are compared at once.
-PARITY_BYTES = 4 << 20
+#: Bytes of parities that are compared at once; ids (16 bytes each) that are sent to
+#: every task, above which a merge join takes their place.
+PARITY_BYTES, NEAR_IDS = 4 << 20, 1 << 20
 
 _WEIGHT = mix(np.arange(1, BAND_GROUPS + 1, dtype=np.uint64))
 
@@ -229,10 +230,11 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, rule: Rule = Rule()) -
                      "id long, n long, f1 long, f2 long, point binary, odd binary, keys array<long>")
 
 
-def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule()) -> DataFrame:
+def verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The pairs ``(a, b)`` that are linked, checked by bound and then by sets.
 
-    ``reps`` has the points and parities, ``held`` the texts of all documents in pairs.
+    ``reps`` has the points and parities of all documents in pairs. Of ``texts``
+    (id, text) only those move whose pairs the bounds have left.
     """
     near = (pairs.join(reps.toDF("a", "na", "pa", "oa"), "a").join(reps.toDF("b", "nb", "pb", "ob"), "b"))
 
@@ -270,6 +272,10 @@ def verify(pairs: DataFrame, reps: DataFrame, held: DataFrame, rule: Rule = Rule
                 keep.append(rule.den * both >= rule.num * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(rows.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
         return batch
+    wanted = materialize(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near_ids")
+    few = wanted.count() <= NEAR_IDS
+    held = materialize(texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), "id", "left_semi")
+                       .dropDuplicates(["id"]), "texts")
     full = (near.join(held.toDF("b", "tb"), "b").join(held.toDF("a", "ta"), "a")
             .select("a", "b", "ta", "tb"))
     return materialize(arrow_map(full, sets, "a long, b long"), "links")
@@ -366,17 +372,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        .select("key", F.col("rep").alias("id")).distinct(), "members")
     ends = rows.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep <> last")
     members = materialize(rows.join(ends.select("key", "rep"), "key"), "members")
-    # Points and texts of the members alone; merge joins, as neither side has a bound.
+    # Points of the members alone; a merge join, as neither side has a bound.
     wanted = materialize(members.select("id").distinct(), "wanted")
     reps = materialize(prof.select("id", "n", "point", "odd").join(wanted.hint("merge"), "id", "left_semi")
                        .dropDuplicates(["id"]), "points")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    held = materialize(texts.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "texts")
 
     star = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    links = verify(star, reps, held, rule)
+    links = verify(star, reps, texts, rule)
     comps = connected_components(links)
-    more = verify(cross_pairs(members, reps, comps, rule), reps, held, rule)
+    more = verify(cross_pairs(members, reps, comps, rule), reps, texts, rule)
     comps = connected_components(links.unionByName(more)).withColumnRenamed("id", "rep")
     return owner.join(comps, "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
