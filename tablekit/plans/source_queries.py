@@ -3,7 +3,7 @@ JSON read once, batch ledgers, functions in SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import sinks, streaming
@@ -95,6 +95,24 @@ def q_staged_key_value(spark, sf_dir):
     return sinks.read_key_value_text(spark, staged.current_folder(spark, path), "word", "n")
 
 
+@query("sink_order")
+def q_sink_order(spark, sf_dir):
+    """The order of the written files themselves: words that are smaller than the
+    word on the line before, in a file and from one file to the next."""
+    path = scratch_path(spark, "word_count_order")
+    folder = staged.replace_key_value_text(q_word_count(spark, sf_dir), path, "word", "n")
+    lines = positions.positioned_lines(spark, folder).withColumn("word", F.regexp_extract("value", r"(?s)^(.*)\t", 1))
+    before = F.lag("word").over(Window.partitionBy("file").orderBy("line_no"))
+    files = lines.withColumn("down", (before > F.col("word")).cast("int")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("down"), F.lit(0)).alias("down"), F.min("position").alias("at"),
+        F.min_by("word", "line_no").alias("first"), F.max_by("word", "line_no").alias("last"))
+    # A row per file from here on.
+    falls = (F.lag("last").over(Window.orderBy("at")) > F.col("first")).cast("bigint")
+    return files.withColumn("falls", falls).agg(
+        F.sum("n").alias("n"), F.sum("down").alias("inversions_within"),
+        F.coalesce(F.sum("falls"), F.lit(0).cast("bigint")).alias("inversions_between"))
+
+
 # ---------------------------------------------------------------- JSON read once
 
 def _json_with_bad_lines(spark, sf_dir) -> str:
@@ -283,6 +301,8 @@ ORACLES: dict[str, str] = {
                           "(SELECT unnest(string_split(text, chr(10))) AS value FROM documents)",
     "staged_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey < 3",
     "staged_key_value": WORD_COUNT,
+    "sink_order": "SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS inversions_within, "
+                  f"CAST(0 AS BIGINT) AS inversions_between FROM ({WORD_COUNT})",
     "json_once": (
         "SELECT " + ", ".join(f"CASE WHEN bad IS NULL THEN {c} END AS {c}" for c in (
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")) + ", CASE WHEN bad IS NULL THEN "
