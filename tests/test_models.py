@@ -109,8 +109,8 @@ def test_naive_bayes_flags_formula(spark):
 
 def test_pipeline_text_nb_runs(spark):
     df = queries()["text_nb"](spark, SF_SMALL)
-    assert set(df.columns) == {"doc_id", "label", "tokens", "in_classes"}
-    assert df.where("not in_classes or tokens < 1").count() == 0
+    assert set(df.columns) == {"doc_id", "label", "tokens", "prediction"}
+    assert df.where("prediction not in (0.0, 1.0) or tokens < 1").count() == 0
 
 
 def test_random_forest_pca_predicts_known_labels(spark):
