@@ -6,7 +6,8 @@ one pass counts the lines per block, the counts before each block are added up
 over files and blocks (a table with a row per block, not per line), and a second
 pass adds them. Lines are never sorted and no task sees more than its splits.
 
-Files are in the order of their paths.
+Files are in the order of their paths. A large file may be a folder of part files,
+as Spark writes it: line numbers then go on from part to part.
 """
 
 from __future__ import annotations
@@ -29,20 +30,25 @@ def _scan(spark: SparkSession, path: str | list[str], files: list[str] | None) -
                         F.monotonically_increasing_id().alias("at"), "value")
 
 
-def _blocks(scan: DataFrame) -> DataFrame:
+def _blocks(scan: DataFrame, parts: bool = False) -> DataFrame:
     """``(file, start, first, lines, in_file, in_all)`` per block: the smallest number of its
-    lines, their count, and the lines before it in the file and in all files."""
+    lines, their count, and the lines before it in the file (with ``parts``, in the file's
+    folder) and in all files."""
     out = scratch_path(scan.sparkSession, "blocks")
     (scan.groupBy("file", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("lines"))
          .write.parquet(out))
     blocks = scan.sparkSession.read.parquet(out)
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    in_file = F.coalesce(F.sum("lines").over(before.partitionBy("file").orderBy("start")), F.lit(0))
+    in_part = F.coalesce(F.sum("lines").over(before.partitionBy("file").orderBy("start")), F.lit(0))
+    folder = F.regexp_replace("file", "[^/]*$", "")
+    in_folder = F.coalesce(F.sum("lines").over(before.partitionBy(folder).orderBy("file")), F.lit(0))
     files = blocks.groupBy("file").agg(F.sum("lines").alias("lines"))
-    files = files.select("file", F.coalesce(F.sum("lines").over(before.orderBy("file")), F.lit(0)).alias("before"))
+    files = files.select("file", F.coalesce(F.sum("lines").over(before.orderBy("file")), F.lit(0)).alias("before"),
+                         (in_folder if parts else F.lit(0)).alias("parts_before"))
     out = scratch_path(scan.sparkSession, "blocks")
-    (blocks.withColumn("in_file", in_file).join(files, "file")
-           .withColumn("in_all", F.col("in_file") + F.col("before")).drop("before").write.parquet(out))
+    (blocks.withColumn("in_part", in_part).join(files, "file")
+           .select("file", "start", "first", "lines", (F.col("in_part") + F.col("parts_before")).alias("in_file"),
+                   (F.col("in_part") + F.col("before")).alias("in_all")).write.parquet(out))
     return scan.sparkSession.read.parquet(out)  # its size is known: broadcast while small
 
 
@@ -53,10 +59,14 @@ def _numbered(scan: DataFrame, blocks: DataFrame) -> DataFrame:
                     (F.col("in_all") + order).alias("position"), "value"))
 
 
-def positioned_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, line_no, position, value)``: places from 1, in the file and over all files."""
+def positioned_lines(spark: SparkSession, path: str | list[str], parts: bool = False) -> DataFrame:
+    """``(file, line_no, position, value)``: places from 1, in the file and over all files.
+
+    With ``parts`` the files of a folder are parts of one, in the order of their
+    paths: ``line_no`` counts the lines of the folder.
+    """
     scan = _scan(spark, path, None)
-    return _numbered(scan, _blocks(scan))
+    return _numbered(scan, _blocks(scan, parts))
 
 
 def first_lines_of_files(spark: SparkSession, path: str | list[str], n: int, strict: bool = True) -> DataFrame:

@@ -7,6 +7,8 @@ import os
 import duckdb
 
 import __spark_entry__ as entry
+from tablekit.plans import source_queries
+from tablekit.sources import positions
 
 
 def documents(spark, folder, rows) -> str:
@@ -27,3 +29,25 @@ def test_min_partition_scan_deals_lines_over_all_partitions(spark, tmp_dir):
     assert got.columns == ["n", "partitions"]
     assert [tuple(r) for r in got.collect()] == [(900, 16)] == by_sql(sf, "min_partition_scan")
     assert "RoundRobinPartitioning(16)" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_folder_is_written_in_parts_and_numbered_through(spark, tmp_dir, monkeypatch):
+    sf = documents(spark, tmp_dir, [(i, "\n".join(f"line {i} {k}" for k in range(i % 7 + 1))) for i in range(2000, 0, -1)])
+    monkeypatch.setattr(source_queries, "PART_BYTES", 5000)
+    path = source_queries._folders_of_lines(spark, sf)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+    assert len(sizes) > 4 * source_queries.FOLDERS and max(sizes) < 4 * 5000
+    for name in ("file_positions", "file_first_lines", "file_drop_header"):
+        got = entry.queries()[name](spark, sf)  # columns in the order of the SQL
+        assert sorted(map(tuple, got.collect())) == sorted(by_sql(sf, name)), name
+
+
+def test_line_numbers_go_on_over_the_parts_of_a_folder(spark, tmp_dir):
+    for folder, part, lines in (("a", "1", 3), ("a", "2", 2), ("a-b", "1", 1), ("b", "1", 2)):
+        os.makedirs(f"{tmp_dir}/{folder}", exist_ok=True)
+        with open(f"{tmp_dir}/{folder}/part-{part}.txt", "w") as f:
+            f.writelines(f"{folder} {part} {k}\n" for k in range(lines))
+    for parts, want in ((True, [1, 1, 2, 3, 4, 5, 1, 2]), (False, [1, 1, 2, 3, 1, 2, 1, 2])):
+        rows = positions.positioned_lines(spark, [f"{tmp_dir}/{d}" for d in ("a", "a-b", "b")], parts).orderBy("position").collect()
+        assert [r["line_no"] for r in rows] == want and [r["position"] for r in rows] == list(range(1, 9))
+        assert [r["value"][:3] for r in rows] == ["a-b", "a 1", "a 1", "a 1", "a 2", "a 2", "b 1", "b 1"]
