@@ -33,6 +33,32 @@ def _fit(estimator, train: DataFrame):
         train.unpersist()
 
 
+#: Rows of a training partition of trees: while a forest is fitted, each of its rows
+#: takes some 200 bytes (20 trees, few features).
+TREE_ROWS = 1 << 18
+
+
+def _fit_trees(estimator, train: DataFrame):
+    """As ``_fit``, on partitions that grow in number with the rows: trees keep every
+    partition's rows as objects. A set with larger partitions is dealt anew."""
+    level = train.storageLevel
+    if level.useMemory or level.useDisk:
+        return _fit_dealt(estimator, train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_dealt(estimator, train)
+    finally:
+        train.unpersist()
+
+
+def _fit_dealt(estimator, kept: DataFrame):
+    sizes = kept.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most <= 2 * TREE_ROWS:
+        return estimator.fit(kept)
+    return _fit(estimator, kept.repartition(-(-rows // TREE_ROWS)))
+
+
 # ---- I1/I2 linear regression -------------------------------------------------------
 
 def linear_regression(train: DataFrame, features: str = "features", label: str = "label",
@@ -54,8 +80,8 @@ def regression_report(spark: SparkSession, model, names: list[str]) -> DataFrame
 def decision_tree(train: DataFrame, features: str = "features", label: str = "label",
                   max_depth: int = 2, seed: int = 42):
     """Classification tree of a fixed depth."""
-    return _fit(DecisionTreeClassifier(featuresCol=features, labelCol=label,
-                                       maxDepth=max_depth, seed=seed), train)
+    return _fit_trees(DecisionTreeClassifier(featuresCol=features, labelCol=label,
+                                             maxDepth=max_depth, seed=seed), train)
 
 
 def tree_report(spark: SparkSession, model) -> DataFrame:
@@ -68,9 +94,9 @@ def tree_report(spark: SparkSession, model) -> DataFrame:
 def random_forest(train: DataFrame, features: str = "features", label: str = "label",
                   num_trees: int = 20, max_depth: int = 5, seed: int = 42):
     """Random forest (Spark defaults: 20 trees of depth 5)."""
-    return _fit(RandomForestClassifier(featuresCol=features, labelCol=label,
-                                       numTrees=num_trees, maxDepth=max_depth,
-                                       seed=seed), train)
+    return _fit_trees(RandomForestClassifier(featuresCol=features, labelCol=label,
+                                             numTrees=num_trees, maxDepth=max_depth,
+                                             seed=seed), train)
 
 
 # ---- I6 naive Bayes ---------------------------------------------------------------

@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tablekit.functions.vectors import assemble
+from tablekit.operators import models
 from tablekit.plans import source_queries
-from tablekit.sources import positions
+from tablekit.sources import positions, tables
 
 
 def documents(spark, folder, rows) -> str:
@@ -51,3 +54,29 @@ def test_line_numbers_go_on_over_the_parts_of_a_folder(spark, tmp_dir):
         rows = positions.positioned_lines(spark, [f"{tmp_dir}/{d}" for d in ("a", "a-b", "b")], parts).orderBy("position").collect()
         assert [r["line_no"] for r in rows] == want and [r["position"] for r in rows] == list(range(1, 9))
         assert [r["value"][:3] for r in rows] == ["a-b", "a 1", "a 1", "a 1", "a 2", "a 2", "b 1", "b 1"]
+
+
+class Fitted:
+    """An estimator that tells the rows of each partition it is fitted on."""
+
+    def fit(self, train):
+        assert train.storageLevel.useMemory
+        return sorted(r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_trees_are_fitted_on_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(models, "TREE_ROWS", 100)
+    for parts, want in ((1, 50), (40, 40)):  # one large partition is dealt anew, small ones are kept
+        sizes = models._fit_trees(Fitted(), spark.range(5000).repartition(parts))
+        assert len(sizes) == want and sum(sizes) == 5000 and max(sizes) <= 2 * 100
+    rows = spark.range(3000).repartition(1).selectExpr("id % 3 AS x", "cast(id % 3 = 1 AS double) AS label")
+    forest = models.random_forest(assemble(rows, ["x"]), num_trees=3, max_depth=2)
+    assert forest.transform(assemble(rows, ["x"])).where("prediction <> label").count() == 0
+
+
+def test_spread_rows_grows_with_the_rows(spark, tmp_dir):
+    spark.range(5000).coalesce(1).write.parquet(f"{tmp_dir}/t")
+    scan, least = spark.read.parquet(f"{tmp_dir}/t"), spark.sparkContext.defaultParallelism
+    for rows, want in ((50, 100), (1 << 18, least)):
+        got = tables.spread_rows(scan, ["id"], rows)
+        assert got.rdd.getNumPartitions() == max(want, least) and got.distinct().count() == 5000
