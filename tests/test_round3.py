@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+import pickle
 
 import duckdb
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tablekit.functions.vectors import assemble
+from tablekit.llm import words
+from tablekit.llm.base import Texts
 from tablekit.operators import models
 from tablekit.plans import source_queries
 from tablekit.sources import positions, tables
@@ -80,3 +85,12 @@ def test_spread_rows_grows_with_the_rows(spark, tmp_dir):
     for rows, want in ((50, 100), (1 << 18, least)):
         got = tables.spread_rows(scan, ["id"], rows)
         assert got.rdd.getNumPartitions() == max(want, least) and got.distinct().count() == 5000
+
+
+def test_functions_are_sent_without_what_the_driver_computed():
+    text = np.frombuffer(b"some words", np.uint8)
+    one = words.words(Texts(text, np.array([0, len(text)]), slice(0, 1)), words.BY_LETTER)
+    sent = cloudpickle.dumps(words.words)
+    assert words._POWERS and len(sent) < 100_000
+    there = pickle.loads(sent)(Texts(text, np.array([0, len(text)]), slice(0, 1)), words.BY_LETTER)
+    assert there[0].tolist() == one[0].tolist() and there[1].tolist() == one[1].tolist()
