@@ -67,16 +67,18 @@ class Encoder:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.start, self.count = np.zeros(1, np.int64), 0
 
-    def _append(self, piece: str, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-        if self.count + 1 >= len(self.start):
-            self.start = np.concatenate([self.start, np.empty(len(self.start) + 1024, np.int64)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.known[piece] = self.count
-        self.count += 1
-        self.start[self.count] = self.used
+    def _append(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Remember pieces whose ids lie one after another in ``ids`` and end at ``ends``."""
+        many, total = len(pieces), int(ends[-1])
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), total), np.uint32)])
+        if self.count + many >= len(self.start):
+            self.start = np.concatenate([self.start, np.empty(len(self.start) + max(1024, many), np.int64)])
+        self.flat[self.used:self.used + total] = ids[:total]
+        self.start[self.count + 1:self.count + many + 1] = self.used + ends
+        self.known.update(zip(pieces, range(self.count, self.count + many)))
+        self.used += total
+        self.count += many
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
@@ -92,10 +94,10 @@ class Encoder:
         groups = list(zip(edge[:-1], edge[1:]))
         for (a, b), ids in zip(groups, self._encode(["".join(joint[a:b]) for a, b in groups])):
             ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(size[a:b]), side="left") + 1
-            for piece, lo, hi in zip(joint[a:b], np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist()):
-                self._append(piece, ids[lo:hi])
-        for piece, ids in zip(sole, self._encode(sole)):
-            self._append(piece, ids)
+            self._append(joint[a:b], ids, np.minimum(ends, len(ids)))
+        if sole:
+            own = self._encode(sole)
+            self._append(sole, np.concatenate(own), np.cumsum([len(ids) for ids in own]))
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, first)``: text i has the ids ``ids[first[i]:first[i + 1]]``."""
@@ -129,7 +131,7 @@ class Encoder:
         new = [p for p in names if p not in known]
         if new:
             self._learn(new)
-        number = np.fromiter((known[p] for p in names), np.int64, len(names))[pieces.indices.to_numpy()]
+        number = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[pieces.indices.to_numpy()]
         lo = self.start[number]
         size = self.start[number + 1] - lo
         total = np.concatenate([[0], np.cumsum(size)])
