@@ -48,10 +48,12 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 def windows(cuts: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     """Chosen cuts, from 0 to the end; ``cuts`` ascend from 0, gaps are at most ``LENGTH``."""
     m = len(cuts)
-    short = []
+    short: dict[int, list[int]] = {}  # few cuts have another one at such a distance
     for size in UNPADDED:
         i = np.searchsorted(cuts, cuts - size)
-        short.append(np.where(cuts[np.minimum(i, m - 1)] == cuts - size, i, -1).tolist())
+        hit = np.flatnonzero(cuts[np.minimum(i, m - 1)] == cuts - size)
+        for j, at in zip(hit.tolist(), i[hit].tolist()):
+            short.setdefault(j, []).append(at)
     pos, pen = cuts.tolist(), penalty.tolist()
     cost, back, key = [0] * m, [0] * m, [0] * m
     queue, head = [0], 0  # indices by ascending key
@@ -61,9 +63,8 @@ def windows(cuts: np.ndarray, penalty: np.ndarray) -> np.ndarray:
             head += 1
         i = queue[head]
         best, at = key[i] + LENGTH - p, i
-        for options in short:
-            i = options[j]
-            if i >= 0 and cost[i] + SHORT < best:
+        for i in short.get(j, ()):
+            if cost[i] + SHORT < best:
                 best, at = cost[i] + SHORT, i
         cost[j], back[j] = best + pen[j], at
         key[j] = k = cost[j] + p

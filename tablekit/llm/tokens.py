@@ -18,7 +18,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from .base import Texts
+from .base import Texts, buffers
+from .words import hash_spans
 
 #: Distinct pieces that one worker remembers; all are dropped when there are more.
 MEMORY = 1 << 19
@@ -47,6 +48,20 @@ def encoder(path: str) -> "Encoder":
     return _ENCODERS[path]
 
 
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype: type):
+        self.data, self.used = np.empty(1 << 12, dtype), 0
+
+    def append(self, values: np.ndarray) -> None:
+        to = self.used + len(values)
+        if to > len(self.data):
+            self.data = np.concatenate([self.data, np.empty(max(len(self.data), to), self.data.dtype)])
+        self.data[self.used:to] = values
+        self.used = to
+
+
 class Encoder:
     def __init__(self, path: str):
         import os
@@ -63,41 +78,72 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.count = np.zeros(1, np.int64), 0
-
-    def _append(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        """Remember pieces whose ids lie one after another in ``ids`` and end at ``ends``."""
-        many, total = len(pieces), int(ends[-1])
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), total), np.uint32)])
-        if self.count + many >= len(self.start):
-            self.start = np.concatenate([self.start, np.empty(len(self.start) + max(1024, many), np.int64)])
-        self.flat[self.used:self.used + total] = ids[:total]
-        self.start[self.count + 1:self.count + many + 1] = self.used + ends
-        self.known.update(zip(pieces, range(self.count, self.count + many)))
-        self.used += total
-        self.count += many
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending hashes, their pieces
+        self.flat, self.first, self.size = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.text, self.byte, self.length = _Growing(np.uint8), _Growing(np.int64), _Growing(np.int64)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, names: pa.Array, keys: np.ndarray) -> np.ndarray:
+        """Remember pieces; their numbers."""
+        pieces, (data, offs) = names.to_pylist(), buffers(names)
+        size = np.diff(offs)
         # Pieces that begin with white space and do not end with it can share a call.
-        joint = [p for p in pieces if p[0] in " \n\r\t\v\f" and not p[-1].isspace()]
-        sole = [p for p in pieces if p[0] not in " \n\r\t\v\f" or p[-1].isspace()]
-        size = np.fromiter((len(p.encode()) for p in joint), np.int64, len(joint))
-        call = np.cumsum(size) // CALL_BYTES
+        shares = np.fromiter((p[0] in " \n\r\t\v\f" and not p[-1].isspace() for p in pieces), bool, len(pieces))
+        joint, sole = np.flatnonzero(shares), np.flatnonzero(~shares)
+        first, many = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        call = np.cumsum(size[joint]) // CALL_BYTES
         edge = np.flatnonzero(np.diff(call, prepend=-1, append=-1)) if len(joint) else np.zeros(1, np.int64)
-        groups = list(zip(edge[:-1], edge[1:]))
-        for (a, b), ids in zip(groups, self._encode(["".join(joint[a:b]) for a, b in groups])):
-            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(size[a:b]), side="left") + 1
-            self._append(joint[a:b], ids, np.minimum(ends, len(ids)))
-        if sole:
-            own = self._encode(sole)
-            self._append(sole, np.concatenate(own), np.cumsum([len(ids) for ids in own]))
+        groups = [joint[x:y] for x, y in zip(edge[:-1], edge[1:])]
+        for own, ids in zip(groups, self._encode(["".join([pieces[i] for i in own]) for own in groups])):
+            ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(size[own]), side="left") + 1
+            ends = np.concatenate([[0], np.minimum(ends, len(ids))])
+            first[own], many[own] = self.flat.used + ends[:-1], np.diff(ends)
+            self.flat.append(ids[:ends[-1]])
+        for i, ids in zip(sole, self._encode([pieces[i] for i in sole])):
+            first[i], many[i] = self.flat.used, len(ids)
+            self.flat.append(ids)
+        number = self.first.used + np.arange(len(pieces))
+        self.first.append(first)
+        self.size.append(many)
+        self.byte.append(self.text.used + offs[:-1] - offs[0])
+        self.length.append(size)
+        self.text.append(data[offs[0]:offs[-1]])
+        keys, at = np.unique(keys, return_index=True)
+        place = np.searchsorted(self.keys, keys)
+        fresh = np.append(self.keys, np.uint64(0))[place] != keys  # a taken hash stays with its piece
+        fresh |= place == len(self.keys)
+        self.slot = np.insert(self.slot, place[fresh], number[at[fresh]])
+        self.keys = np.insert(self.keys, place[fresh], keys[fresh])
+        return number
+
+    def _numbers(self, names: pa.Array) -> np.ndarray:
+        """The numbers of distinct pieces; those that are not remembered are learnt.
+
+        Pieces are found by a 64-bit hash, and their bytes are compared."""
+        data, offs = buffers(names)
+        keys = hash_spans(data, offs[:-1], offs[1:])
+        if self.first.used > MEMORY:
+            self._reset()
+        number = np.full(len(names), -1)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            size = np.diff(offs)
+            like = np.flatnonzero((self.keys[at] == keys) & (self.length.data[self.slot[at]] == size))
+            own, size = self.slot[at[like]], size[like]
+            lead = np.cumsum(size) - size
+            step = np.arange(size.sum())
+            differ = (data[np.repeat(offs[like] - lead, size) + step]
+                      != self.text.data[np.repeat(self.byte.data[own] - lead, size) + step])
+            same = np.ones(len(like), bool)
+            same[np.searchsorted(lead, np.flatnonzero(differ), side="right") - 1] = False
+            number[like[same]] = own[same]
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn(names.take(pa.array(new)), keys[new])
+        return number
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, first)``: text i has the ids ``ids[first[i]:first[i + 1]]``."""
@@ -124,16 +170,8 @@ class Encoder:
         begin = np.flatnonzero(cut).astype(np.int32)
         pieces = pa.StringArray.from_buffers(
             len(begin), pa.py_buffer(np.append(begin, np.int32(len(data)))), pa.py_buffer(data)).dictionary_encode()
-        names = pieces.dictionary.to_pylist()
-        if len(self.known) > MEMORY:
-            self._reset()
-        known = self.known
-        new = [p for p in names if p not in known]
-        if new:
-            self._learn(new)
-        number = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[pieces.indices.to_numpy()]
-        lo = self.start[number]
-        size = self.start[number + 1] - lo
+        number = self._numbers(pieces.dictionary)[pieces.indices.to_numpy()]
+        lo, size = self.first.data[number], self.size.data[number]
         total = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(lo - total[:-1], size) + np.arange(total[-1])]
+        ids = self.flat.data[np.repeat(lo - total[:-1], size) + np.arange(total[-1])]
         return ids, total[np.searchsorted(begin, offs)], begin, total[:-1]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+
 from tablekit.llm import decontaminate, words
 from tablekit.llm.base import Texts
 
