@@ -6,7 +6,8 @@
    fitted on the benchmark items and the passages of all documents, items
    weighted to the energy of the documents, so that their directions are kept:
    each power step multiplies by the matrix and its transpose inside the tasks
-   and sums the partial products of the tasks in shards of terms.
+   and sums the partial products of the tasks in shards of terms. The hashed
+   terms of all texts are kept once, two bytes a word, for 1. and 2.
 3. Every passage of every document is projected; items whose latent cosine
    with it reaches ``COSINE`` are candidates.
 4. A candidate is contaminated if the longest common subsequence of item and
@@ -327,8 +328,8 @@ def _retrieve(docs: DataFrame, terms: DataFrame, windows: float, idf: np.ndarray
     spark = docs.sparkSession
     weight = float(np.sqrt(max(1.0, windows / len(ident))))
     # A few partial sums a core: few matrices are moved, whatever the number of files.
-    own = spark.createDataFrame(pa.table({"terms": pa.array([term(h).astype(TERM).tobytes() for h in item_words], pa.binary()),
-                                          "weight": [weight] * len(ident)}))
+    held = pa.array([term(h).astype(TERM).tobytes() for h in item_words], pa.binary())
+    own = spark.createDataFrame(pa.table({"terms": held, "weight": [weight] * len(ident)}))
     rows = (terms.select("terms", F.lit(1.0).alias("weight")).coalesce(3 * spark.sparkContext.defaultParallelism)
             .unionByName(own.coalesce(1)))
     basis = randomised_svd(rows, idf)
@@ -378,7 +379,7 @@ def _retrieve(docs: DataFrame, terms: DataFrame, windows: float, idf: np.ndarray
                 x = xs[edge[:-1]]
                 # The item may begin before or end after the window.
                 los, his = np.maximum(first[text[x]], a[x] - longest), np.minimum(first[text[x] + 1], b[x] + longest)
-                for x, lo, hi, k, to in zip(x.tolist(), los.tolist(), his.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
+                for x, lo, hi, k, to in zip(*(v.tolist() for v in (x, los, his, edge[:-1], edge[1:]))):
                     ys = own_ys[k:to]
                     present[place[lo:hi]] = True
                     present[-2:] = False
